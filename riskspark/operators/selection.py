@@ -160,5 +160,3 @@ def prune_columns(df: DataFrame, columns: list[str], label: str = "isFraud", *,
         scores = [(c, 0.0) for c in strong + weak]
     chosen = {c for c, _ in scores[:keep]}
     return [c for c in left if c in chosen]
-
-
