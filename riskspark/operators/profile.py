@@ -91,12 +91,18 @@ def value_range(df: DataFrame, column) -> tuple[float | None, float | None]:
 
 
 def histogram_bin(c: Column, low: float, high: float, bins: int) -> Column:
-    """Equal-width bin number; the last bin is closed; NULL outside the range."""
+    """Equal-width bin number; the last bin is closed; NULL outside the range.
+
+    The division alone can miss an edge by a rounding error, so the number is set right against the edges themselves.
+    """
     if high == low:
         low, high = low - 0.5, high + 0.5
     width = (high - low) / bins
-    n = F.least(F.floor((c - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
-    return F.when((c >= low) & (c <= high), n)
+    n = F.least(F.floor((c - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("bigint")
+    edge = lambda i: F.lit(low) + i * F.lit(width)
+    down = (c < edge(n)).cast("int")
+    up = ((c >= edge(n + 1)) & (n < bins - 1)).cast("int")
+    return F.when((c >= low) & (c <= high), n - down + up)
 
 
 def class_histogram(df: DataFrame, value: Column, label: str = "isFraud", bins: int = 50, edges_from: int = 0) -> DataFrame:

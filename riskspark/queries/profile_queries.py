@@ -91,7 +91,7 @@ def ag05(spark, d):
 
 
 def _block_sql(key):
-    g = "".join(f", round(avg({v}) OVER w, 6) AS {key}_{v}_mean, round(stddev_samp({v}) OVER w, 6) AS {key}_{v}_std, count({v}) OVER w AS {key}_{v}_count"
+    g = "".join(f", round(avg({v}) OVER w, 8) AS {key}_{v}_mean, round(stddev_samp({v}) OVER w, 8) AS {key}_{v}_std, count({v}) OVER w AS {key}_{v}_count"
                 for v in ["TransactionAmt", "dist1"])
     return f"SELECT TransactionID{g} FROM txn WINDOW w AS (PARTITION BY {key})"
 
@@ -100,7 +100,7 @@ def _block_sql(key):
 def ag06(spark, d):
     t = txn(spark, d).select("TransactionID", "card1", "addr1", "TransactionAmt", "dist1")
     out = B.with_group_stats(t, ["card1", "addr1"], ["TransactionAmt", "dist1"], "TransactionID").drop("card1", "addr1", "TransactionAmt", "dist1")
-    return rounded(out, *[c for c in out.columns if c.endswith(("_mean", "_std"))])
+    return out.select(*[F.round(c, 8).alias(c) if c.endswith(("_mean", "_std")) else F.col(c) for c in out.columns])
 
 
 def _norm(c):

@@ -34,8 +34,8 @@ def sc02(spark, d):
 
 
 @query("sc03_cyclic", f"""
-SELECT TransactionID, round(sin(2 * pi() * ({HOD}) / 24.0), 6) AS hour_sin, round(cos(2 * pi() * ({HOD}) / 24.0), 6) AS hour_cos,
-       round(sin(2 * pi() * ({DOW}) / 7.0), 6) AS day_sin, round(cos(2 * pi() * ({DOW}) / 7.0), 6) AS day_cos FROM txn""", "txn")
+SELECT TransactionID, round(sin(2 * pi() * ({HOD}) / 24.0), 6) + 0.0::DOUBLE AS hour_sin, round(cos(2 * pi() * ({HOD}) / 24.0), 6) + 0.0::DOUBLE AS hour_cos,
+       round(sin(2 * pi() * ({DOW}) / 7.0), 6) + 0.0::DOUBLE AS day_sin, round(cos(2 * pi() * ({DOW}) / 7.0), 6) + 0.0::DOUBLE AS day_cos FROM txn""", "txn")
 def sc03(spark, d):
     hs, hc = S.cyclic(S.hour_of_day("TransactionDT"), 24.0)
     ds, dc = S.cyclic(S.day_of_week("TransactionDT"), 7.0)

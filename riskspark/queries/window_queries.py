@@ -24,7 +24,7 @@ _LAGS = ", ".join(f"lag(fraud_count, {i}) OVER w AS lag_{i}" for i in range(1, 7
 
 @query("wn01_lags", f"""
 WITH l AS (SELECT hour_window, fraud_count, {_LAGS},
-  round(sin(2 * pi() * ((window_start // 3600) % 24) / 24.0), 6) AS hour_sin, round(cos(2 * pi() * ((window_start // 3600) % 24) / 24.0), 6) AS hour_cos FROM hourly WINDOW w AS (ORDER BY hour_window))
+  round(sin(2 * pi() * ((window_start // 3600) % 24) / 24.0), 6) + 0.0::DOUBLE AS hour_sin, round(cos(2 * pi() * ((window_start // 3600) % 24) / 24.0), 6) + 0.0::DOUBLE AS hour_cos FROM hourly WINDOW w AS (ORDER BY hour_window))
 SELECT * FROM l WHERE lag_6 IS NOT NULL""", "hourly")
 def wn01(spark, d):
     out = timeseries.lag_frame(timeseries.hourly(txn(spark, d)), 6, with_target=False)
