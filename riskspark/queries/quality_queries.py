@@ -46,12 +46,12 @@ def ev02(spark, d):
 
 
 _CURVE = """s AS (SELECT p, sum(isFraud) AS n1, sum(1 - isFraud) AS n0 FROM scored GROUP BY p),
-t AS (SELECT (SELECT sum(n1) FROM s)::DOUBLE AS P1, (SELECT sum(n0) FROM s)::DOUBLE AS N0),
+t AS (SELECT (SELECT sum(n1) FROM s)::DOUBLE AS all1, (SELECT sum(n0) FROM s)::DOUBLE AS all0),
 q AS (SELECT p, n1, n0, sum(n1) OVER w AS tp, sum(n0) OVER w AS fp FROM s WINDOW w AS (ORDER BY p DESC)),
-z AS (SELECT *, tp::DOUBLE / (tp + fp) AS pr, tp / P1 AS rc, lag(tp::DOUBLE / (tp + fp), 1, 1.0::DOUBLE) OVER (ORDER BY p DESC) AS prev FROM q, t)"""
+z AS (SELECT *, tp::DOUBLE / (tp + fp) AS pr, tp / all1 AS rc, lag(tp::DOUBLE / (tp + fp), 1, 1.0::DOUBLE) OVER (ORDER BY p DESC) AS prev FROM q, t)"""
 
 
-@query("ev03_roc_curve", f"WITH {_CURVE} SELECT p AS score, round(fp / N0, 6) AS fpr, round(rc, 6) AS tpr, round(pr, 6) AS precision, round(rc, 6) AS recall FROM z", "scored")
+@query("ev03_roc_curve", f"WITH {_CURVE} SELECT p AS score, round(fp / all0, 6) AS fpr, round(rc, 6) AS tpr, round(pr, 6) AS precision, round(rc, 6) AS recall FROM z", "scored")
 def ev03_curve(spark, d):
     return rounded(E.curve_points(scored(spark, d)), "fpr", "tpr", "precision", "recall")
 
@@ -64,7 +64,7 @@ def ev03(spark, d):
     return rounded(E.ranking_metrics(scored(spark, d)).select("auc_roc"), "auc_roc")
 
 
-@query("ev04_pr_areas", f"""WITH {_CURVE} SELECT round(sum(n1 / P1 * pr), 6) AS average_precision, round(sum(n1 / P1 * (pr + prev) / 2), 6) AS auc_pr FROM z""", "scored")
+@query("ev04_pr_areas", f"""WITH {_CURVE} SELECT round(sum(n1 / all1 * pr), 6) AS average_precision, round(sum(n1 / all1 * (pr + prev) / 2), 6) AS auc_pr FROM z""", "scored")
 def ev04(spark, d):
     return rounded(E.ranking_metrics(scored(spark, d)).select("average_precision", "auc_pr"), "average_precision", "auc_pr")
 
@@ -92,7 +92,7 @@ def ev07(spark, d):
 
 @query("ev08_target_gap", f"""
 WITH {_CURVE}, {_COUNTS}, m AS (SELECT tp::DOUBLE / (tp + fn) AS sens, tn::DOUBLE / (tn + fp) AS spec, 2.0::DOUBLE * tp / (2 * tp + fp + fn) AS f1 FROM c),
-roc AS (SELECT sum(n0 * (2 * tp - n1) / 2.0::DOUBLE) / any_value(P1 * N0) AS auc_roc, sum(n1 / P1 * (pr + prev) / 2) AS auc_pr FROM z),
+roc AS (SELECT sum(n0 * (2 * tp - n1) / 2.0::DOUBLE) / any_value(all1 * all0) AS auc_roc, sum(n1 / all1 * (pr + prev) / 2) AS auc_pr FROM z),
 l AS (SELECT 'auc_roc' AS metric, auc_roc AS cur, 0.918::DOUBLE AS target FROM roc UNION ALL SELECT 'auc_pr', auc_pr, 0.891 FROM roc UNION ALL SELECT 'f1', f1, 0.856 FROM m
  UNION ALL SELECT 'bal_acc', (sens + spec) / 2, 0.810 FROM m UNION ALL SELECT 'g_mean', sqrt(sens * spec), 0.824 FROM m)
 SELECT metric, round(cur, 6) AS "current", target, round(target - cur, 6) AS gap, round((target - cur) / target * 100, 6) AS gap_pct, CAST(abs(target - cur) > 0.05 AS INT) AS large_gap FROM l""", "scored")
