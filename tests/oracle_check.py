@@ -70,7 +70,7 @@ if __name__ == "__main__":
             else:
                 why = None if df.count() > 0 else "no rows"
         except Exception as e:  # report and go on with the next query
-            why = f"{type(e).__name__}: {str(e)[:600]}"
+            why = f"{type(e).__name__}: {str(e)[:300]}"
         took = time.time() - t0
         kind = "sql" if name in oracles else "rows"
         if why:
