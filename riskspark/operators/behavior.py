@@ -6,14 +6,14 @@ that stays even when one card or device holds a large share of the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.scalars import clean_text, composite_key, user_key
 from riskspark.plans.quantiles import column_quantiles, grouped_quantiles
 from riskspark.plans.ranking import global_position, running_totals
 from riskspark.plans.scratch import persist_table
-from riskspark.plans.skew import HOT_SHARE, lookup_join
+from riskspark.plans.skew import HOT_SHARE, lookup_join, stored_sizes
 
 # Key sets whose row count and median amount become features.
 GROUP_KEYS = [
@@ -163,13 +163,18 @@ def group_stats(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
 
 def with_group_stats(df: DataFrame, keys: list[str], values: list[str], id_col: str) -> DataFrame:
     """Join the block of :func:`group_stats` back, one lookup per key; a NULL key matches the NULL group."""
-    stats = persist_table(group_stats(df, keys, values), "groupstats")
+    return join_group_stats(df, persist_table(group_stats(df, keys, values), "groupstats"), keys, id_col)
+
+
+def join_group_stats(df: DataFrame, stats: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    """Add the stored block: ``<key>_<value>_<statistic>`` columns."""
+    sizes = stored_sizes(stats, "key", "n")
     out = df
     for k in keys:
         cols = [c for c in stats.columns if c not in ("key", "level")]
         mine = stats.where(F.col("key") == k).select(F.col("level").alias("_lev"), *[F.col(c).alias(f"{k}_{c}") for c in cols])
         keyed = out.withColumn("_lev", F.col(k).cast("string"))
-        out = lookup_join(keyed, mine, ["_lev"], f"{k}_n", F.col(id_col)).drop("_lev", f"{k}_n")
+        out = lookup_join(keyed, mine, ["_lev"], f"{k}_n", F.col(id_col), sizes=sizes[k]).drop("_lev", f"{k}_n")
     return out
 
 
@@ -189,14 +194,15 @@ def usable_key_sets(df: DataFrame, key_sets: list[list[str]] = GROUP_KEYS) -> li
 
 def with_key_sets(df: DataFrame, stats: DataFrame, key_sets: list[list[str]], overall: float, id_col: str,
                   amount: str = "TransactionAmt") -> DataFrame:
-    """``<set>__count``, ``<set>__amt_median``, ``<set>__amt_ratio``; an unseen key has count 0 and the overall median."""
-    stored = persist_table(stats, "keysets")
+    """``<set>__count``, ``<set>__amt_median``, ``<set>__amt_ratio`` from the stored table of :func:`key_set_stats`; an unseen
+    key has count 0 and the overall median."""
+    sizes = stored_sizes(stats, "key_set", "rows")
     out = df
     for ks in key_sets:
         name = "__".join(ks)
-        mine = stored.where(F.col("key_set") == name).select(
+        mine = stats.where(F.col("key_set") == name).select(
             F.col("key").alias("_key"), F.col("rows").alias("_rows"), F.col("amt_median").alias("_med"))
-        found = lookup_join(out.withColumn("_key", composite_key(ks)), mine, ["_key"], "_rows", F.col(id_col))
+        found = lookup_join(out.withColumn("_key", composite_key(ks)), mine, ["_key"], "_rows", F.col(id_col), sizes=sizes.get(name, (0, 0)))
         median = F.coalesce("_med", F.lit(overall))
         out = found.select(
             *out.columns,
@@ -207,36 +213,40 @@ def with_key_sets(df: DataFrame, stats: DataFrame, key_sets: list[list[str]], ov
     return out
 
 
-def entity_degrees(df: DataFrame, a: str, b: str) -> DataFrame:
-    """(key, rows, degree): distinct cleaned ``b`` per cleaned ``a``; the pairs are made distinct before they are counted."""
-    pairs = df.groupBy(clean_text(a).alias("key"), clean_text(b).alias("_b")).agg(F.count("*").alias("_n"))
-    return pairs.groupBy("key").agg(F.sum("_n").alias("rows"), F.count("*").alias("degree"))
+def entity_degrees(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(pair, key, rows, degree): distinct cleaned ``b`` per cleaned ``a`` for every pair (a, b) in one job; the pairs of
+    values are made distinct before they are counted."""
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(f"{a}>{b}").alias("pair"), clean_text(a).alias("key"), clean_text(b).alias("other")) for a, b in pairs])).alias("s"))
+    seen = long.groupBy("s.pair", "s.key", "s.other").agg(F.count("*").alias("_n"))
+    return seen.groupBy("pair", "key").agg(F.sum("_n").alias("rows"), F.count("*").alias("degree"))
 
 
 def with_entity_degrees(df: DataFrame, id_col: str, pairs: list[tuple[str, str]] = ENTITY_PAIRS) -> DataFrame:
     """Both degrees of each pair on every row."""
+    both = [p for a, b in pairs if a in df.columns and b in df.columns for p in ((a, b), (b, a))]
+    if not both:
+        return df
+    stats = persist_table(entity_degrees(df, both), "degrees")
+    sizes = stored_sizes(stats, "pair", "rows")
     out = df
-    for a, b in pairs:
-        if a not in df.columns or b not in df.columns:
-            continue
-        for x, y in ((a, b), (b, a)):
-            name = f"entity__{x}__unique_{y}"
-            stats = entity_degrees(df, x, y).select(F.col("key").alias("_key"), F.col("rows").alias("_rows"), F.col("degree").alias(name))
-            out = lookup_join(out.withColumn("_key", clean_text(x)), stats, ["_key"], "_rows", F.col(id_col)).drop("_key", "_rows")
+    for a, b in both:
+        pair, name = f"{a}>{b}", f"entity__{a}__unique_{b}"
+        mine = stats.where(F.col("pair") == pair).select(F.col("key").alias("_key"), F.col("rows").alias("_rows"), F.col("degree").alias(name))
+        keyed = out.withColumn("_key", clean_text(a))
+        out = lookup_join(keyed, mine, ["_key"], "_rows", F.col(id_col), sizes=sizes.get(pair, (0, 0))).drop("_key", "_rows")
     return out
 
 
 # ---- velocity and momentum ------------------------------------------------------------------------------------------
 
 def _velocity_by_frames(rows: DataFrame, windows: list[int]) -> DataFrame:
-    """Counts by range frames; for keys of moderate size."""
-    peers = Window.partitionBy("entity", "key", "t")
-    own = peers.orderBy("id")
-    out = rows.withColumns({"_same": F.count("*").over(peers), "_before": F.row_number().over(own) - 1})
-    frame = lambda w: Window.partitionBy("entity", "key").orderBy("t").rangeBetween(-w, 0)
-    return out.select(
-        "entity", "id", *[(F.count("*").over(frame(w)) - F.col("_same") + F.col("_before")).alias(f"cnt_{w}s") for w in windows]
-    )
+    """Counts by range frames, for keys of moderate size: rows before this one less the rows older than t - w. All frames
+    share one partitioning and one sort."""
+    own = Window.partitionBy("entity", "key")
+    earlier = F.row_number().over(own.orderBy("t", "id")) - 1
+    older = lambda w: F.count("*").over(own.orderBy("t").rangeBetween(Window.unboundedPreceding, -w - 1))
+    return rows.select("entity", "id", *[(earlier - older(w)).cast("bigint").alias(f"cnt_{w}s") for w in windows])
 
 
 def _velocity_by_rank(rows: DataFrame, windows: list[int]) -> DataFrame:
@@ -258,22 +268,22 @@ def _velocity_by_rank(rows: DataFrame, windows: list[int]) -> DataFrame:
 
 def velocity(df: DataFrame, entities: list[str], time: str, id_col: str, windows: list[int] = VELOCITY_WINDOWS,
              min_hot_rows: int = 1_000_000, hot_share: int = HOT_SHARE) -> DataFrame:
-    """(entity, id, cnt_<w>s): earlier rows of the same entity value with time at least t - w; ties ordered by id.
+    """(entity, id, cnt_<w>s): earlier rows of the same entity value with time at least t - w; ties ordered by id. Times are
+    whole seconds.
 
     Values of moderate size use range frames. A value with at least ``min_hot_rows`` rows and more than 1/``hot_share``
     of all rows is counted by global ranks, so no task ever holds a hot value whole.
     """
-    n_ent = len(entities)
-    long = df.select(F.col(time).alias("t"), F.col(id_col).alias("id"), F.explode(F.array(*[
+    long = df.select(F.col(time).cast("bigint").alias("t"), F.col(id_col).alias("id"), F.explode(F.array(*[
         F.struct(F.lit(e).alias("entity"), clean_text(e).alias("key")) for e in entities])).alias("s"))
     rows = long.select("s.entity", "s.key", "t", "id")
+    seen = Observation()
     sizes = rows.groupBy("entity", "key").agg(F.count("*").alias("_n"))
-    total = df.count()
-    hot = sizes.where((F.col("_n") >= min_hot_rows) & (F.col("_n") * hot_share > total)).select("entity", "key")
-    hot = persist_table(hot, "hotkeys")  # fewer than hot_share values per entity
+    big = persist_table(sizes.observe(seen, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).where(F.col("_n") >= min_hot_rows), "bigkeys")
+    per_entity = seen.get["rows"] // max(len(entities), 1)
+    hot = big.where(F.col("_n") * hot_share > per_entity).select("entity", "key")  # fewer than hot_share values per entity
     if hot.count() == 0:
         return _velocity_by_frames(rows, windows)
-    assert n_ent > 0
     cold_rows = rows.join(F.broadcast(hot), ["entity", "key"], "left_anti")
     hot_rows = rows.join(F.broadcast(hot), ["entity", "key"], "left_semi")
     return _velocity_by_frames(cold_rows, windows).unionByName(_velocity_by_rank(hot_rows, windows))
@@ -287,22 +297,27 @@ def with_velocity(df: DataFrame, entities: list[str], time: str, id_col: str, wi
     return df.join(wide, df[id_col] == wide["id"], "left").drop("id")
 
 
-def momentum(df: DataFrame, time: str, id_col: str, label: str, rows: int = 1000, delay: int = 0, chunk: int = 1_000_000,
+def momentum(df: DataFrame, time: str, id_col: str, label: str, rows: int = 1000, delay: int = 0, chunk: int = 100_000,
              out: str = "momentum") -> DataFrame:
     """Mean label of the ``rows`` rows before this one by (time, id); the first row gets the overall mean.
 
     ``delay`` leaves out that many latest rows, whose labels are not known yet. Positions are cut into chunks and the rows
-    just before a chunk are copied into it, so each task sees at most ``chunk + rows + delay`` rows.
+    just before a chunk are copied into it, so each task sees at most ``chunk + rows + delay`` rows. The mean is a
+    difference of two running sums, whatever the length of the frame.
     """
     placed = global_position(df, [time, id_col], "_pos", "momentum")
     reach = rows + delay
     if reach > chunk:
         raise ValueError("rows + delay must not exceed chunk")
-    own = F.floor(F.col("_pos") / chunk)
     last = F.col("_pos") % chunk >= chunk - reach
-    copied = placed.withColumn("_own", own).withColumn(
+    copied = placed.withColumn("_own", F.floor(F.col("_pos") / chunk)).withColumn(
         "_chunk", F.explode(F.when(last, F.array(F.col("_own"), F.col("_own") + 1)).otherwise(F.array(F.col("_own")))))
-    frame = Window.partitionBy("_chunk").orderBy("_pos").rowsBetween(-reach, -1 - delay)
+    order = Window.partitionBy("_chunk").orderBy("_pos")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0)
+    sums = copied.withColumns({"_s": F.coalesce(F.sum(label).over(before), zero), "_n": F.coalesce(F.count(label).over(before), zero)})
+    far, near = (lambda c: F.coalesce(F.lag(c, reach).over(order), zero)), (lambda c: F.coalesce(F.lag(c, delay).over(order), zero))
+    sums = sums.withColumns({"_total": near("_s") - far("_s"), "_seen": near("_n") - far("_n")})
     overall = df.agg(F.avg(label)).first()[0]
-    seen = copied.withColumn(out, F.coalesce(F.avg(label).over(frame), F.lit(overall)))
-    return seen.where(F.col("_chunk") == F.col("_own")).select(*df.columns, out)
+    mean = F.coalesce(F.try_divide(F.col("_total").cast("double"), F.col("_seen")), F.lit(overall))
+    return sums.where(F.col("_chunk") == F.col("_own")).select(*df.columns, mean.alias(out))

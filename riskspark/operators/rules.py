@@ -30,7 +30,7 @@ def to_basket(df: DataFrame, top_domains: list[str], label: str | None = None) -
         parts.append(amount_item("TransactionAmt"))
     if label:
         parts.append(F.when(F.col(label) == 1, "isFraud=Yes").otherwise("isFraud=No"))
-    return df.withColumn("items", F.array_sort(F.array_distinct(F.array_compact(F.array(*parts)))))
+    return df.withColumn("items", F.sort_array(F.array_except(F.array(*parts), F.array(F.lit(None).cast("string")))))
 
 
 def subsets(items):

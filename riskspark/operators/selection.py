@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from riskspark.operators.behavior import null_fractions
 from riskspark.plans.quantiles import column_quantiles
 
-EXPRESSION_PAIRS = 100  # up to this many pairs are plain aggregate expressions; more go through matrix products
+EXPRESSION_PAIRS = 6  # more pairs no longer fit one generated aggregate and go through matrix products
 
 
 def correlation(x, y) -> Column:

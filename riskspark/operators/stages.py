@@ -16,6 +16,7 @@ from riskspark.functions import scalars as S
 from riskspark.operators import behavior as B
 from riskspark.operators import clean, represent, rules, selection
 from riskspark.plans.scratch import persist_table
+from riskspark.plans.skew import lookup_join, stored_sizes
 
 
 class _Options(Params):
@@ -153,8 +154,6 @@ class BehaviorFeaturesModel(_Fitted):
         out = out.withColumns({"hour": S.hour_of_day(s["time"]), "dow": S.day_of_week(s["time"]), "day_of_month": S.day_of_month(s["time"])})
         out = B.apply_users(out, (self.tables["users"], s["overall"]), s["id"], s["amount"])
         if s["variant"] == "mean":
-            from riskspark.plans.skew import lookup_join
-
             out = lookup_join(out, self.tables["cards"], ["card1"], "card1_count", F.col(s["id"]))
             out = out.withColumns({"card1_count": F.coalesce("card1_count", F.lit(0)), "Amt_Log": S.log1p_nonneg(s["amount"])})
             return clean.fill(out.drop("Amt_to_Median_User", "user_count"), {c: -1.0 for c in _kept(df, list(s["medians"]))})
@@ -193,11 +192,10 @@ class EnsembleFeatures(_Fitter):
         aside = {o["id"], o["label"], o["time"], o["amount"], *o["exclude"]}
         numeric = [c for c in clean.columns_of_kind(df, "numeric") if c not in aside]
         texts = [c for c in clean.columns_of_kind(df, "text") if c not in aside]
-        counts = persist_table(B.level_counts(df, texts), "levels") if texts else None
-        n = df.count()
         tables = {}
         if texts:
-            tables["levels"] = persist_table(counts.withColumn("share", F.col("n") / F.lit(float(max(n, 1)))), "shares")
+            share = F.col("n") / F.lit(float(max(df.count(), 1)))
+            tables["levels"] = persist_table(B.level_counts(df, texts).withColumn("share", share), "levels")
         sets = B.usable_key_sets(df)
         tables["key_sets"] = persist_table(B.key_set_stats(df, sets, o["amount"]), "keysets")
         medians = clean.fit_medians(df, [*numeric, o["time"]])
@@ -209,8 +207,6 @@ class EnsembleFeatures(_Fitter):
 
 class EnsembleFeaturesModel(_Fitted):
     def _transform(self, df):
-        from riskspark.plans.skew import lookup_join
-
         s = self.state
         a = s["amount_stats"]
         time = F.coalesce(F.col(s["time"]), F.lit(s["medians"].get(s["time"]) or 0.0).cast("double"))
@@ -232,17 +228,18 @@ class EnsembleFeaturesModel(_Fitted):
             if c in s["text_columns"]:
                 cols += S.token_flags(c, c)
         keys = [F.col(c).alias(f"_in_{c}") for c in sorted({c for ks in s["sets"] for c in ks} | set(s["texts"]) | set(_kept(df, B.VELOCITY_ENTITIES)))]
-        raw_keys = [k for k in keys]
-        out = persist_table(df.select(*cols, *raw_keys), "ensemble")
+        out = persist_table(df.select(*cols, *keys), "ensemble")
         names = [c for c in out.columns if not c.startswith("_in_")]
         ids = F.col(s["id"])
         inputs = [c for c in out.columns if c.startswith("_in_")]
         key_frame = out.select(s["id"], s["amount"], s["time"], *[F.col(c).alias(c[4:]) for c in inputs])
         # text frequencies
         feats = key_frame
+        sizes = stored_sizes(self.tables["levels"], "column", "n") if s["texts"] else {}
         for c in s["texts"]:
             share = self.tables["levels"].where(F.col("column") == c).select(F.col("level").alias("_lev"), F.col("n").alias("_n"), F.col("share").alias(f"{c}_freq"))
-            feats = lookup_join(feats.withColumn("_lev", S.clean_text(c)), share, ["_lev"], "_n", ids).drop("_lev", "_n").fillna(0.0, [f"{c}_freq"])
+            keyed = feats.withColumn("_lev", S.clean_text(c))
+            feats = lookup_join(keyed, share, ["_lev"], "_n", ids, sizes=sizes[c]).drop("_lev", "_n").fillna(0.0, [f"{c}_freq"])
         feats = B.with_key_sets(feats, self.tables["key_sets"], s["sets"], a["median"], s["id"], s["amount"])
         feats = B.with_entity_degrees(feats, s["id"])
         feats = B.with_velocity(feats, _kept(key_frame, B.VELOCITY_ENTITIES), s["time"], s["id"])
@@ -271,8 +268,6 @@ class BlockFeatures(_Fitter):
 
 class BlockFeaturesModel(_Fitted):
     def _transform(self, df):
-        from riskspark.plans.skew import lookup_join
-
         s = self.state
         out = df.withColumns({"amt_log": S.log1p_nonneg(s["amount"]), **{f"{c}_missing": S.null_flag(c) for c in s["shown"]}})
         for c in s["texts"]:
@@ -280,10 +275,7 @@ class BlockFeaturesModel(_Fitted):
             keyed = out.withColumn("level", F.coalesce(F.col(c), F.lit("missing")))
             out = lookup_join(keyed, codes, ["level"], f"{c}_count", F.col(s["id"])).drop("level")
             out = out.fillna(-1, [f"{c}_code"]).fillna(0, [f"{c}_count"])
-        stats = [f"{v}_{m}" for v in s["values"] for m in ("mean", "std", "count")]
-        for g in s["groups"]:
-            mine = self.tables["groups"].where(F.col("key") == g).select(F.col("level").alias("_lev"), F.col("n").alias("_n"), *[F.col(x).alias(f"{g}_{x}") for x in stats])
-            out = lookup_join(out.withColumn("_lev", F.col(g).cast("string")), mine, ["_lev"], "_n", F.col(s["id"])).drop("_lev", "_n")
+        out = B.join_group_stats(out, self.tables["groups"], s["groups"], s["id"])
         if s["pca"]:
             out = represent.apply_pca(out, s["pca"], "v_pca_")
         return out.withColumn("missing_count", S.null_count([c for c in out.columns if c not in (s["id"], s["label"])]))

@@ -1,7 +1,8 @@
-"""Exact, linearly interpolated quantiles that never hold one group in one task.
+"""Exact, linearly interpolated quantiles that never hold an unbounded group in one task.
 
-Values are first counted per (group, value) with map-side combine, then range-partitioned on (group, value), so a hot
-group spreads over many partitions. Only the parts and groups that hold a wanted rank are looked at again.
+Inputs of at most ``SMALL_VALUES`` values (counted first) use Spark's exact ``percentile`` aggregate. Beyond that, values
+are counted per (group, value) with map-side combine and range-partitioned on (group, value), so a hot group spreads over
+many partitions, and only the parts and groups that hold a wanted rank are looked at again.
 """
 
 from __future__ import annotations
@@ -10,6 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.plans.ranking import ranged
+from riskspark.plans.scratch import persist_table
+
+
+SMALL_VALUES = 4_000_000
 
 
 def _select_ranks(counts: DataFrame, groups: list[str], wanted, tag: str) -> DataFrame:
@@ -46,11 +51,16 @@ def _select_ranks(counts: DataFrame, groups: list[str], wanted, tag: str) -> Dat
     return hit.select(*groups, "_n", F.explode(found).alias("_rank"), "_v")
 
 
-def grouped_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, float], tag: str = "quant") -> DataFrame:
+def grouped_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, float], tag: str = "quant",
+                      small_values: int = SMALL_VALUES) -> DataFrame:
     """One row per group: ``n`` non-null values and the quantiles named in ``probs``. NULL is a group of its own."""
+    present = df.where(F.col(value).isNotNull())
+    if present.count() <= small_values:
+        at = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs.values()]))
+        quick = present.groupBy(*groups).agg(F.count("*").alias("n"), at.alias("_q"))
+        return quick.select(*groups, "n", *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
     counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*groups, F.col(value).cast("double").alias("_v"))
+        present.groupBy(*groups, F.col(value).cast("double").alias("_v"))
         .agg(F.count("*").alias("_c"))
     )
 
@@ -80,54 +90,91 @@ def long_form(df: DataFrame, columns: list[str], keep: list[str] = (), name: str
     return typed.unpivot(list(keep), columns, name, value)
 
 
-def column_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float], accuracy: int = 5000) -> list[dict]:
+def column_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float], accuracy: int = 5000,
+                     small_values: int = SMALL_VALUES) -> list[dict]:
     """Exact quantiles of whole columns, as driver rows ``{"column", "n", <name>...}``.
 
-    A sketch pass brackets each wanted rank; a second pass counts what lies below and keeps only the values inside the
-    bracket (about 4/accuracy of the rows, counted per value), where the exact rank is then selected.
+    Beyond ``small_values`` values a sketch pass brackets each wanted rank; a second pass counts what lies below and keeps
+    only the values inside the bracket (about 4/accuracy of the rows, counted per value), where the exact rank is selected.
     """
-    margin = 2.0 / accuracy
-    pairs = [(c, name, float(p)) for c in columns for name, p in probs.items()]
     val = {c: F.col(c).cast("double") for c in columns}
-    marks = df.agg(
-        *[F.count(val[c]).alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[F.percentile_approx(val[c], [max(p - margin, 0.0), min(p + margin, 1.0)], accuracy).alias(f"b_{i}")
-          for i, (c, _, p) in enumerate(pairs)],
-    ).first()
-    sizes = {c: marks[f"n_{i}"] for i, c in enumerate(columns)}
-    live = [(i, c, name, p) for i, (c, name, p) in enumerate(pairs) if sizes[c] > 0]
-    low = {i: (float("-inf") if p - margin <= 0 else marks[f"b_{i}"][0]) for i, _, _, p in live}
-    high = {i: (float("inf") if p + margin >= 1 else marks[f"b_{i}"][1]) for i, _, _, p in live}
-    answers = {}
-    if live:
-        below = df.agg(*[F.count(F.when(val[c] < F.lit(low[i]), 1)).alias(f"k_{i}") for i, c, _, _ in live]).first()
-        slots = F.array(*[
-            F.when((val[c] >= F.lit(low[i])) & (val[c] <= F.lit(high[i])),
-                   F.struct(F.lit(i).alias("slot"), val[c].alias("_v")))
-            for i, c, _, _ in live
-        ])
-        inside = (
-            df.select(F.explode(F.filter(slots, lambda s: s.isNotNull())).alias("s"))
-            .groupBy(F.col("s.slot").alias("slot"), F.col("s._v").alias("_v"))
-            .agg(F.count("*").alias("_c"))
-        )
-        spots, marks_of = [], {}
-        for i, c, _, p in live:
-            where = p * (sizes[c] - 1)
-            lo, hi = int(where // 1), int(-(-where // 1))
-            marks_of[i] = (lo - below[f"k_{i}"], hi - below[f"k_{i}"], where - lo)
-            spots.append(F.when(F.col("slot") == i, F.array(*[F.lit(r).cast("bigint") for r in {marks_of[i][0], marks_of[i][1]}])))
-        for r in _select_ranks(inside, ["slot"], lambda n: F.coalesce(*spots), "colq").collect():
-            answers[(r["slot"], r["_rank"])] = r["_v"]
+    points = [float(p) for p in probs.values()]
+    counted = df.agg(*[F.count(val[c]) for c in columns]).first()
+    sizes = {c: counted[i] for i, c in enumerate(columns)}
+    if sum(sizes.values()) <= small_values:
+        row = df.agg(*[F.percentile(val[c], F.array(*[F.lit(p) for p in points])) for c in columns]).first()
+        return [{"column": c, "n": sizes[c], **dict(zip(probs, row[i] or [None] * len(points)))} for i, c in enumerate(columns)]
+    return _bracketed_quantiles(df, columns, probs, accuracy, val, sizes)
+
+
+def _bracketed_quantiles(df, columns, probs, accuracy, val, sizes) -> list[dict]:
+    """The edges of all brackets cut a column into cells. One pass counts the rows per cell and, inside brackets, per value;
+    the wanted ranks are then looked up in the few cells that hold them."""
+    margin = 2.0 / accuracy
+    points = [float(p) for p in probs.values()]
+    asked = [e for p in points for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    marks = df.agg(*[F.percentile_approx(val[c], asked, accuracy) for c in columns]).first()
+    cells, lows, highs = [], {}, {}
+    for ci, c in enumerate(columns):
+        if sizes[c] == 0:
+            continue
+        lows[ci] = sorted({float("-inf") if p - margin <= 0 else marks[ci][2 * k] for k, p in enumerate(points)})
+        highs[ci] = sorted({float("inf") if p + margin >= 1 else marks[ci][2 * k + 1] for k, p in enumerate(points)})
+        started = " + ".join(f"cast(_v{ci} >= {_literal(e)} as int)" for e in lows[ci])
+        ended = " + ".join(f"cast(_v{ci} > {_literal(e)} as int)" for e in highs[ci])
+        inside = " or ".join(
+            f"(_v{ci} >= {_literal(lo)} and _v{ci} <= {_literal(hi)})" for lo, hi in _brackets(marks[ci], points, margin))
+        cells.append(f"if(_v{ci} is null, null, named_struct('ci', {ci}, 'cell', {started} + {ended}, '_v', if({inside}, _v{ci}, null)))")
+    counted = (
+        df.select(*[val[c].alias(f"_v{ci}") for ci, c in enumerate(columns)])
+        .select(F.explode(F.expr(f"array({', '.join(cells)})")).alias("s"))
+        .where(F.col("s").isNotNull())
+        .groupBy("s.ci", "s.cell", "s._v")
+        .agg(F.count("*").alias("_c"))
+    )
+    counted = persist_table(counted, "cells")
+    totals = sorted((r["ci"], r["cell"], r["n"]) for r in counted.groupBy("ci", "cell").agg(F.sum("_c").alias("n")).collect())
+    wanted: dict[tuple[int, int], set[int]] = {}
+    spots = {}
+    for ci, c in enumerate(columns):
+        for k, p in enumerate(points):
+            if sizes[c]:
+                where = p * (sizes[c] - 1)
+                low = int(where // 1)
+                pair = []
+                for rank in (low, low + (1 if where > low else 0)):
+                    before = 0
+                    for _, cell, n in (t for t in totals if t[0] == ci):
+                        if rank < before + n:
+                            pair.append((cell, rank - before))
+                            wanted.setdefault((ci, cell), set()).add(rank - before)
+                            break
+                        before += n
+                spots[(ci, k)] = (pair, where - low)
+    ranks = F.coalesce(*[
+        F.when((F.col("ci") == ci) & (F.col("cell") == cell), F.array(*[F.lit(r).cast("bigint") for r in sorted(rs)]))
+        for (ci, cell), rs in wanted.items()])
+    needed = counted.withColumn("_w", ranks).where(F.col("_w").isNotNull()).drop("_w")
+    found = {(r["ci"], r["cell"], r["_rank"]): r["_v"] for r in _select_ranks(needed, ["ci", "cell"], lambda n: ranks, "colq").collect()}
     out = []
-    for c in columns:
+    for ci, c in enumerate(columns):
         row = {"column": c, "n": sizes[c]}
-        for i, (pc, name, _) in enumerate(pairs):
-            if pc == c:
-                row[name] = None
-                if sizes[c] > 0:
-                    lo, hi, frac = marks_of[i]
-                    a, b = answers[(i, lo)], answers[(i, hi)]
-                    row[name] = a + (b - a) * frac
+        for k, name in enumerate(probs):
+            row[name] = None
+            if (ci, k) in spots:
+                (a, b), frac = spots[(ci, k)]
+                low, high = found[(ci, *a)], found[(ci, *b)]
+                if low is None or high is None:
+                    raise RuntimeError(f"a wanted rank of {c} fell outside its bracket; raise accuracy")
+                row[name] = low + (high - low) * frac
         out.append(row)
     return out
+
+
+def _literal(v: float) -> str:
+    return f"double('{v}')"
+
+
+def _brackets(marks, points, margin):
+    for k, p in enumerate(points):
+        yield (float("-inf") if p - margin <= 0 else marks[2 * k], float("inf") if p + margin >= 1 else marks[2 * k + 1])

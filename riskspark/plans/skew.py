@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskspark.plans.scratch import persist_table
@@ -21,21 +21,27 @@ def lookup_join(
     broadcast_rows: int = BROADCAST_ROWS,
     hot_share: int = HOT_SHARE,
     salts: int = 64,
+    sizes: tuple[int, int] | None = None,
     tag: str = "lookup",
 ) -> DataFrame:
     """Left join on ``keys`` (NULL matches NULL). ``rows`` names the per-key row count in ``stats``.
 
     Statistics of at most ``broadcast_rows`` rows are broadcast after that count is checked. Larger ones are shuffled;
     rows of hot keys are spread over ``salts`` by a hash of ``spread_by`` and only the hot statistics are repeated.
+    ``sizes`` (keys, rows) says that ``stats`` is already a stored table of that size.
     """
-    stored = persist_table(stats, tag)
+    stored = stats
+    if sizes is None:
+        seen = Observation()
+        stored = persist_table(stats.observe(seen, F.count("*").alias("keys"), F.coalesce(F.sum(rows), F.lit(0)).alias("rows")), tag)
+        sizes = seen.get["keys"], seen.get["rows"]
+    size, total = sizes
     renamed = {k: f"_k_{i}" for i, k in enumerate(keys)}
     side = stored.withColumnsRenamed(renamed)
     on = None
     for k, r in renamed.items():
         part = F.col(k).eqNullSafe(F.col(r))
         on = part if on is None else on & part
-    size, total = side.agg(F.count("*"), F.coalesce(F.sum(rows), F.lit(0))).first()
     extra = [c for c in stats.columns if c not in keys]
     if size <= broadcast_rows:
         return fact.join(F.broadcast(side), on, "left").select(*fact.columns, *extra)
@@ -49,3 +55,9 @@ def lookup_join(
         salted_fact.join(salted_side, on & (F.col("_salt") == F.col("_side_salt")), "left")
         .select(*fact.columns, *extra)
     )
+
+
+def stored_sizes(stored: DataFrame, part: str, rows: str) -> dict[str, tuple[int, int]]:
+    """(keys, rows) of each part of one stored table that holds several lookups, in one job."""
+    g = stored.groupBy(part).agg(F.count("*").alias("keys"), F.sum(rows).alias("rows")).collect()
+    return {r[0]: (r["keys"], r["rows"]) for r in g}

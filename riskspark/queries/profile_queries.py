@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskspark.functions import scalars as S
 from riskspark.operators import behavior as B
 from riskspark.operators import io_checks, joins, profile, selection, timeseries
+from riskspark.plans.scratch import persist_table
 from riskspark.queries.registry import query
 from riskspark.queries.scalar_queries import DOW, HOD
 from riskspark.sources.views import V_COLUMNS, identity, scored, txn, wide
@@ -131,7 +132,7 @@ _SETS = [["card1"], ["card1", "addr1"], ["card1", "P_emaildomain"], ["card1", "D
 def ag08(spark, d):
     t = txn_with_device(spark, d)
     sets = B.usable_key_sets(t)
-    stats = B.key_set_stats(t, sets)
+    stats = persist_table(B.key_set_stats(t, sets), "keysets")
     overall = B.fit_amount(t)["median"]
     out = B.with_key_sets(t.select("TransactionID", "TransactionAmt", "card1", "addr1", "P_emaildomain", "DeviceType", "DeviceInfo"), stats, sets, overall, "TransactionID")
     cols = [c for c in out.columns if c.endswith(("__count", "__amt_median", "__amt_ratio"))]
