@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators.behavior import null_fractions
-from riskspark.plans.quantiles import column_quantiles
+from riskspark.plans.quantiles import column_quantiles, indexed_long_form, per_column
 
 EXPRESSION_PAIRS = 6  # more pairs no longer fit one generated aggregate and go through matrix products
 
@@ -113,19 +113,17 @@ def mutual_information(df: DataFrame, columns: list[str], label: str = "isFraud"
 
     All columns are counted in one groupBy(column, bin, label), whose size is columns x bins x classes.
     """
-    filled = df.select(F.col(label).alias("_y"), *[F.coalesce(F.col(c).cast("double"), F.lit(float(fill))).alias(c) for c in columns])
+    inputs = [F.coalesce(F.col(c).cast("double"), F.lit(float(fill))) for c in columns]
+    filled = df.select(F.col(label).alias("_y"), *[x.alias(c) for x, c in zip(inputs, columns)])
     probs = {f"q{i}": i / bins for i in range(1, bins)}
-    cuts = {r["column"]: [r[q] for q in probs] for r in column_quantiles(filled, columns, probs)}
-
-    def bin_of(c):
-        out = F.lit(0)
-        for cut in cuts[c]:
-            if cut is not None:
-                out = out + (F.col(c) > F.lit(cut)).cast("int")
-        return out.alias(c)
-
-    binned = filled.select("_y", *[bin_of(c) for c in columns]).unpivot(["_y"], columns, "column", "bin")
-    cells = binned.groupBy("column", "bin", "_y").agg(F.count("*").alias("n"))
+    cuts = column_quantiles(filled, columns, probs)
+    top = float("inf")
+    at = F.lit(0)
+    for q in probs:
+        at = at + (F.col("v") > per_column([top if r[q] is None else r[q] for r in cuts])).cast("int")
+    long = indexed_long_form(filled, [F.col(c) for c in columns], ["_y"])
+    cells = long.groupBy("ci", at.alias("bin"), "_y").agg(F.count("*").alias("n"))
+    cells = cells.withColumn("column", F.get(F.array(*[F.lit(c) for c in columns]), F.col("ci")))
     by = Window.partitionBy
     n, all_n = F.col("n"), F.sum("n").over(by("column"))
     term = n / all_n * F.log(n * all_n / (F.sum("n").over(by("column", "bin")) * F.sum("n").over(by("column", "_y"))))

@@ -7,11 +7,12 @@ many partitions, and only the parts and groups that hold a wanted rank are looke
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.plans.ranking import ranged
-from riskspark.plans.scratch import persist_table
 
 
 SMALL_VALUES = 4_000_000
@@ -90,91 +91,68 @@ def long_form(df: DataFrame, columns: list[str], keep: list[str] = (), name: str
     return typed.unpivot(list(keep), columns, name, value)
 
 
-def column_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float], accuracy: int = 5000,
+def indexed_long_form(df: DataFrame, columns: list[Column], keep: list[str] = ()) -> DataFrame:
+    """(keep..., ``ci``, ``v``): non-null doubles with the position of their column. One small expression per output row, so
+    generated code stays small however wide the table is."""
+    names = [str(i) for i in range(len(columns))]
+    typed = df.select(*keep, *[c.cast("double").alias(n) for n, c in zip(names, columns)])
+    long = typed.unpivot(list(keep), names, "_name", "v").where(F.col("v").isNotNull())
+    return long.select(*keep, F.col("_name").cast("int").alias("ci"), "v")
+
+
+def per_column(values: list[float]) -> Column:
+    """The entry of a driver list that belongs to the column ``ci``."""
+    return F.get(F.array(*[F.lit(float(v)) for v in values]), F.col("ci"))
+
+
+def column_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float], cells: int = 20_000,
                      small_values: int = SMALL_VALUES) -> list[dict]:
     """Exact quantiles of whole columns, as driver rows ``{"column", "n", <name>...}``.
 
-    Beyond ``small_values`` values a sketch pass brackets each wanted rank; a second pass counts what lies below and keeps
-    only the values inside the bracket (about 4/accuracy of the rows, counted per value), where the exact rank is selected.
+    Beyond ``small_values`` values an equal-width histogram of each column (one row per non-empty cell) shows which cells
+    hold the wanted ranks; only the values of those cells are counted and ranked.
     """
-    val = {c: F.col(c).cast("double") for c in columns}
-    points = [float(p) for p in probs.values()]
-    counted = df.agg(*[F.count(val[c]) for c in columns]).first()
-    sizes = {c: counted[i] for i, c in enumerate(columns)}
-    if sum(sizes.values()) <= small_values:
-        row = df.agg(*[F.percentile(val[c], F.array(*[F.lit(p) for p in points])) for c in columns]).first()
-        return [{"column": c, "n": sizes[c], **dict(zip(probs, row[i] or [None] * len(points)))} for i, c in enumerate(columns)]
-    return _bracketed_quantiles(df, columns, probs, accuracy, val, sizes)
-
-
-def _bracketed_quantiles(df, columns, probs, accuracy, val, sizes) -> list[dict]:
-    """The edges of all brackets cut a column into cells. One pass counts the rows per cell and, inside brackets, per value;
-    the wanted ranks are then looked up in the few cells that hold them."""
-    margin = 2.0 / accuracy
+    val = [F.col(c).cast("double") for c in columns]
     points = [float(p) for p in probs.values()]
-    asked = [e for p in points for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    marks = df.agg(*[F.percentile_approx(val[c], asked, accuracy) for c in columns]).first()
-    cells, lows, highs = [], {}, {}
-    for ci, c in enumerate(columns):
-        if sizes[c] == 0:
-            continue
-        lows[ci] = sorted({float("-inf") if p - margin <= 0 else marks[ci][2 * k] for k, p in enumerate(points)})
-        highs[ci] = sorted({float("inf") if p + margin >= 1 else marks[ci][2 * k + 1] for k, p in enumerate(points)})
-        started = " + ".join(f"cast(_v{ci} >= {_literal(e)} as int)" for e in lows[ci])
-        ended = " + ".join(f"cast(_v{ci} > {_literal(e)} as int)" for e in highs[ci])
-        inside = " or ".join(
-            f"(_v{ci} >= {_literal(lo)} and _v{ci} <= {_literal(hi)})" for lo, hi in _brackets(marks[ci], points, margin))
-        cells.append(f"if(_v{ci} is null, null, named_struct('ci', {ci}, 'cell', {started} + {ended}, '_v', if({inside}, _v{ci}, null)))")
-    counted = (
-        df.select(*[val[c].alias(f"_v{ci}") for ci, c in enumerate(columns)])
-        .select(F.explode(F.expr(f"array({', '.join(cells)})")).alias("s"))
-        .where(F.col("s").isNotNull())
-        .groupBy("s.ci", "s.cell", "s._v")
-        .agg(F.count("*").alias("_c"))
-    )
-    counted = persist_table(counted, "cells")
-    totals = sorted((r["ci"], r["cell"], r["n"]) for r in counted.groupBy("ci", "cell").agg(F.sum("_c").alias("n")).collect())
-    wanted: dict[tuple[int, int], set[int]] = {}
-    spots = {}
-    for ci, c in enumerate(columns):
-        for k, p in enumerate(points):
-            if sizes[c]:
-                where = p * (sizes[c] - 1)
-                low = int(where // 1)
-                pair = []
-                for rank in (low, low + (1 if where > low else 0)):
-                    before = 0
-                    for _, cell, n in (t for t in totals if t[0] == ci):
-                        if rank < before + n:
-                            pair.append((cell, rank - before))
-                            wanted.setdefault((ci, cell), set()).add(rank - before)
-                            break
-                        before += n
-                spots[(ci, k)] = (pair, where - low)
-    ranks = F.coalesce(*[
-        F.when((F.col("ci") == ci) & (F.col("cell") == cell), F.array(*[F.lit(r).cast("bigint") for r in sorted(rs)]))
-        for (ci, cell), rs in wanted.items()])
-    needed = counted.withColumn("_w", ranks).where(F.col("_w").isNotNull()).drop("_w")
-    found = {(r["ci"], r["cell"], r["_rank"]): r["_v"] for r in _select_ranks(needed, ["ci", "cell"], lambda n: ranks, "colq").collect()}
+    row = df.agg(*[F.count(v) for v in val], *[F.min(v) for v in val], *[F.max(v) for v in val]).first()
+    k = len(columns)
+    sizes, lows, highs = row[:k], row[k : 2 * k], row[2 * k :]
+    if sum(sizes) <= small_values:
+        found = df.agg(*[F.percentile(v, F.array(*[F.lit(p) for p in points])) for v in val]).first()
+        return [{"column": c, "n": sizes[i], **dict(zip(probs, found[i] or [None] * len(points)))} for i, c in enumerate(columns)]
+    ranks = {}  # column -> wanted 0-based ranks
+    for i, n in enumerate(sizes):
+        spots = [p * (n - 1) for p in points] if n else []
+        ranks[i] = sorted({r for s in spots for r in (int(s), int(s) + (1 if s > int(s) else 0))})
+    base = [low if n and math.isfinite(low) and math.isfinite(high) else 0.0 for n, low, high in zip(sizes, lows, highs)]
+    scale = [cells / (high - low) if n and math.isfinite(high - low) and high > low else 0.0 for n, low, high in zip(sizes, lows, highs)]
+    at = F.least(F.floor((F.col("v") - per_column(base)) * per_column(scale)), F.lit(cells - 1))
+    long = indexed_long_form(df, val).withColumn("cell", at)
+    histogram = long.groupBy("ci", "cell").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("ci").orderBy("cell")  # at most ``cells`` rows per column
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    asked = F.get(F.array(*[F.array(*[F.lit(r).cast("bigint") for r in ranks[i]]) for i in range(k)]), F.col("ci"))
+    hits = histogram.withColumn("b", before).withColumn(
+        "r", F.filter(asked, lambda r: (r >= F.col("b")) & (r < F.col("b") + F.col("n")))).where(F.size("r") > 0)
+    places = hits.select("ci", "cell", "b", "r").collect()  # at most two cells per column and quantile
+    chosen = F.broadcast(df.sparkSession.createDataFrame([(p["ci"], p["cell"]) for p in places], "ci int, cell bigint"))
+    inside = long.join(chosen, ["ci", "cell"]).groupBy("ci", "cell", F.col("v").alias("_v")).agg(F.count("*").alias("_c"))
+    local = {(p["ci"], p["cell"]): [r - p["b"] for r in p["r"]] for p in places}
+    want = F.create_map(*[x for (ci, cell), rs in local.items() for x in (
+        F.lit(f"{ci}:{cell}"), F.array(*[F.lit(r).cast("bigint") for r in rs]))])
+    key = F.concat_ws(":", F.col("ci").cast("string"), F.col("cell").cast("string"))
+    start = {(p["ci"], p["cell"]): p["b"] for p in places}
+    value = {(r["ci"], r["_rank"] + start[(r["ci"], r["cell"])]): r["_v"]
+             for r in _select_ranks(inside, ["ci", "cell"], lambda n: F.element_at(want, key), "colq").collect()}
     out = []
-    for ci, c in enumerate(columns):
-        row = {"column": c, "n": sizes[c]}
-        for k, name in enumerate(probs):
-            row[name] = None
-            if (ci, k) in spots:
-                (a, b), frac = spots[(ci, k)]
-                low, high = found[(ci, *a)], found[(ci, *b)]
-                if low is None or high is None:
-                    raise RuntimeError(f"a wanted rank of {c} fell outside its bracket; raise accuracy")
-                row[name] = low + (high - low) * frac
-        out.append(row)
+    for i, c in enumerate(columns):
+        line = {"column": c, "n": sizes[i]}
+        for name, p in zip(probs, points):
+            spot = p * (sizes[i] - 1)
+            if not sizes[i]:
+                line[name] = None
+                continue
+            low, high = value[(i, int(spot))], value[(i, int(spot) + (1 if spot > int(spot) else 0))]
+            line[name] = low + (high - low) * (spot - int(spot))
+        out.append(line)
     return out
-
-
-def _literal(v: float) -> str:
-    return f"double('{v}')"
-
-
-def _brackets(marks, points, margin):
-    for k, p in enumerate(points):
-        yield (float("-inf") if p - margin <= 0 else marks[2 * k], float("inf") if p + margin >= 1 else marks[2 * k + 1])
