@@ -6,7 +6,7 @@ that stays even when one card or device holds a large share of the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.scalars import clean_text, composite_key, user_key
@@ -277,13 +277,14 @@ def velocity(df: DataFrame, entities: list[str], time: str, id_col: str, windows
     long = df.select(F.col(time).cast("bigint").alias("t"), F.col(id_col).alias("id"), F.explode(F.array(*[
         F.struct(F.lit(e).alias("entity"), clean_text(e).alias("key")) for e in entities])).alias("s"))
     rows = long.select("s.entity", "s.key", "t", "id")
-    seen = Observation()
     sizes = rows.groupBy("entity", "key").agg(F.count("*").alias("_n"))
-    big = persist_table(sizes.observe(seen, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).where(F.col("_n") >= min_hot_rows), "bigkeys")
-    per_entity = seen.get["rows"] // max(len(entities), 1)
-    hot = big.where(F.col("_n") * hot_share > per_entity).select("entity", "key")  # fewer than hot_share values per entity
-    if hot.count() == 0:
+    n_rows, n_big = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count_if(F.col("_n") >= min_hot_rows)).first()
+    per_entity = n_rows // max(len(entities), 1)
+    if n_big == 0:
         return _velocity_by_frames(rows, windows)
+    # fewer than hot_share values per entity
+    is_hot = (F.col("_n") >= min_hot_rows) & (F.col("_n") * hot_share > per_entity)
+    hot = persist_table(sizes.where(is_hot).select("entity", "key"), "hotkeys")
     cold_rows = rows.join(F.broadcast(hot), ["entity", "key"], "left_anti")
     hot_rows = rows.join(F.broadcast(hot), ["entity", "key"], "left_semi")
     return _velocity_by_frames(cold_rows, windows).unionByName(_velocity_by_rank(hot_rows, windows))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.plans.scratch import persist_table
@@ -32,9 +32,8 @@ def lookup_join(
     """
     stored = stats
     if sizes is None:
-        seen = Observation()
-        stored = persist_table(stats.observe(seen, F.count("*").alias("keys"), F.coalesce(F.sum(rows), F.lit(0)).alias("rows")), tag)
-        sizes = seen.get["keys"], seen.get["rows"]
+        stored = persist_table(stats, tag)
+        sizes = tuple(stored.agg(F.count("*"), F.coalesce(F.sum(rows), F.lit(0))).first())
     size, total = sizes
     renamed = {k: f"_k_{i}" for i, k in enumerate(keys)}
     side = stored.withColumnsRenamed(renamed)
