@@ -68,7 +68,6 @@ def level_summary(df: DataFrame, columns: list[str], max_levels: int = 12) -> Da
     counts = level_counts(df, columns)
     sizes = counts.groupBy("column").agg(
         F.count("*").alias("n_levels"),
-        F.max(F.struct("n", F.lit(0))).alias("_top"),
         F.max("n").alias("_best"),
     )
     few = sizes.where(F.col("n_levels") <= max_levels).select("column")
@@ -90,40 +89,41 @@ def fit_levels(df: DataFrame, columns: list[str], max_levels: int = 12) -> dict[
 # ---- lookup tables --------------------------------------------------------------------------------------------------
 
 def fit_codes(df: DataFrame, column: str, order_key: str) -> DataFrame:
-    """(level, code, n): codes in order of first appearance by ``order_key``; NULL is the level ``missing``."""
+    """(level, code, n): codes in order of first appearance by ``order_key``; NULL is the level ``missing``. A stored table."""
     levels = df.groupBy(F.coalesce(F.col(column).cast("string"), F.lit("missing")).alias("level")).agg(
         F.min(order_key).alias("_first"), F.count("*").alias("n")
     )
-    return global_position(levels, ["_first", "level"], "code", "codes").select("level", "code", "n")
+    return persist_table(global_position(levels, ["_first", "level"], "code", "codes").select("level", "code", "n"), "codes")
 
 
 def apply_codes(df: DataFrame, codes: DataFrame, column: str, out: str, id_col: str) -> DataFrame:
     keyed = df.withColumn("level", F.coalesce(F.col(column).cast("string"), F.lit("missing")))
-    found = lookup_join(keyed, codes.withColumnRenamed("n", "_n"), ["level"], "_n", F.col(id_col))
+    found = lookup_join(keyed, codes.withColumnRenamed("n", "_n"), ["level"], "_n", F.col(id_col), stored=True)
     return found.withColumn(out, F.coalesce("code", F.lit(-1)).cast("bigint")).select(*df.columns, out)
 
 
 def fit_frequencies(df: DataFrame, column: str) -> DataFrame:
-    """(column, count, share) with NULL as a level of its own."""
+    """(column, count, share) with NULL as a level of its own. A stored table."""
     n = df.count()
-    return df.groupBy(column).agg(
+    levels = df.groupBy(column).agg(
         F.count("*").alias(f"{column}_count"), (F.count("*") / F.lit(float(max(n, 1)))).alias(f"{column}_freq")
     )
+    return persist_table(levels, "frequencies")
 
 
 def apply_frequencies(df: DataFrame, freq: DataFrame, column: str, id_col: str) -> DataFrame:
     """Share and count of the level at fit time, 0 for a level not seen then."""
-    out = lookup_join(df, freq, [column], f"{column}_count", F.col(id_col))
+    out = lookup_join(df, freq, [column], f"{column}_count", F.col(id_col), stored=True)
     return out.fillna(0, [f"{column}_count"]).fillna(0.0, [f"{column}_freq"])
 
 
 def fit_users(df: DataFrame, amount: str = "TransactionAmt", card: str = "card1", addr: str = "addr1") -> tuple[DataFrame, float]:
-    """Per ``card_addr`` user: rows, mean and exact median of the amount; and the median over all rows."""
+    """Per ``card_addr`` user (a stored table): rows, mean and exact median of the amount; and the median over all rows."""
     keyed = df.select(user_key(card, addr).alias("uid"), F.col(amount).alias("_a"))
     medians = grouped_quantiles(keyed, ["uid"], "_a", {"user_median": 0.5}).drop("n")
     base = keyed.groupBy("uid").agg(F.count("*").alias("user_count"), F.avg("_a").alias("user_mean"))
     overall = column_quantiles(df, [amount], {"median": 0.5})[0]["median"]
-    return base.join(medians, "uid", "left"), overall
+    return persist_table(base.join(medians, "uid", "left"), "users"), overall
 
 
 def apply_users(df: DataFrame, users: tuple[DataFrame, float], id_col: str, amount: str = "TransactionAmt",
@@ -132,7 +132,7 @@ def apply_users(df: DataFrame, users: tuple[DataFrame, float], id_col: str, amou
     overall median frozen at fit time."""
     stats, overall = users
     keyed = df.withColumn("uid", user_key(card, addr))
-    found = lookup_join(keyed, stats, ["uid"], "user_count", F.col(id_col))
+    found = lookup_join(keyed, stats, ["uid"], "user_count", F.col(id_col), stored=True)
     median = F.coalesce("user_median", F.lit(overall))
     mean = F.coalesce("user_mean", F.lit(overall))
     floor0 = lambda c: F.when(c == 0, F.lit(0.01)).otherwise(c)

@@ -144,7 +144,7 @@ class BehaviorFeatures(_Fitter):
         state = {**o, "flags": [c for c in B.fit_null_columns(df.select(*inputs), o["null_threshold"])],
                  "medians": clean.fit_medians(df, numeric), "overall": overall}
         cards = df.where(F.col("card1").isNotNull()).groupBy("card1").agg(F.count("*").alias("card1_count"))
-        return BehaviorFeaturesModel(state, {"users": persist_table(users, "users"), "cards": persist_table(cards, "cards")})
+        return BehaviorFeaturesModel(state, {"users": users, "cards": persist_table(cards, "cards")})
 
 
 class BehaviorFeaturesModel(_Fitted):
@@ -154,7 +154,7 @@ class BehaviorFeaturesModel(_Fitted):
         out = out.withColumns({"hour": S.hour_of_day(s["time"]), "dow": S.day_of_week(s["time"]), "day_of_month": S.day_of_month(s["time"])})
         out = B.apply_users(out, (self.tables["users"], s["overall"]), s["id"], s["amount"])
         if s["variant"] == "mean":
-            out = lookup_join(out, self.tables["cards"], ["card1"], "card1_count", F.col(s["id"]))
+            out = lookup_join(out, self.tables["cards"], ["card1"], "card1_count", F.col(s["id"]), stored=True)
             out = out.withColumns({"card1_count": F.coalesce("card1_count", F.lit(0)), "Amt_Log": S.log1p_nonneg(s["amount"])})
             return clean.fill(out.drop("Amt_to_Median_User", "user_count"), {c: -1.0 for c in _kept(df, list(s["medians"]))})
         out = out.drop("Amt_to_Mean_User")
@@ -168,7 +168,7 @@ class FrequencyEncoder(_Fitter):
 
     def _fit(self, df):
         o = self._opt()
-        return FrequencyEncoderModel(o, {c: persist_table(B.fit_frequencies(df, c), "freq") for c in o["columns"]})
+        return FrequencyEncoderModel(o, {c: B.fit_frequencies(df, c) for c in o["columns"]})
 
 
 class FrequencyEncoderModel(_Fitted):
@@ -259,7 +259,7 @@ class BlockFeatures(_Fitter):
         texts = [c for c in clean.columns_of_kind(df, "text") if c not in aside]
         groups, values = _kept(df, o["groups"]), _kept(df, o["values"])
         v = clean.columns_of_family(df, "V")
-        tables = {f"codes_{c}": persist_table(B.fit_codes(df, c, o["id"]), "codes") for c in texts}
+        tables = {f"codes_{c}": B.fit_codes(df, c, o["id"]) for c in texts}
         tables["groups"] = persist_table(B.group_stats(df, groups, values), "groups")
         pca = represent.fit_pca(df, v, min(o["components"], len(v))) if len(v) > 1 else None
         shown = [c for c in _kept(df, o["values"]) if c not in aside]
@@ -273,7 +273,7 @@ class BlockFeaturesModel(_Fitted):
         for c in s["texts"]:
             codes = self.tables[f"codes_{c}"].select("level", F.col("code").alias(f"{c}_code"), F.col("n").alias(f"{c}_count"))
             keyed = out.withColumn("level", F.coalesce(F.col(c), F.lit("missing")))
-            out = lookup_join(keyed, codes, ["level"], f"{c}_count", F.col(s["id"])).drop("level")
+            out = lookup_join(keyed, codes, ["level"], f"{c}_count", F.col(s["id"]), stored=True).drop("level")
             out = out.fillna(-1, [f"{c}_code"]).fillna(0, [f"{c}_count"])
         out = B.join_group_stats(out, self.tables["groups"], s["groups"], s["id"])
         if s["pca"]:

@@ -21,8 +21,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A fresh path below the scratch folder."""
-    return f"{scratch_root(spark)}/riskspark/{tag}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the scratch folder."""
+    return f"{scratch_root(spark)}/riskspark/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
 
 
 def persist_table(df: DataFrame, tag: str) -> DataFrame:

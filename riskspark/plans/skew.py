@@ -21,6 +21,7 @@ def lookup_join(
     broadcast_rows: int = BROADCAST_ROWS,
     hot_share: int = HOT_SHARE,
     salts: int = 64,
+    stored: bool = False,
     sizes: tuple[int, int] | None = None,
     tag: str = "lookup",
 ) -> DataFrame:
@@ -28,15 +29,14 @@ def lookup_join(
 
     Statistics of at most ``broadcast_rows`` rows are broadcast after that count is checked. Larger ones are shuffled;
     rows of hot keys are spread over ``salts`` by a hash of ``spread_by`` and only the hot statistics are repeated.
-    ``sizes`` (keys, rows) says that ``stats`` is already a stored table of that size.
+    ``stored`` says that ``stats`` is a stored table already, ``sizes`` (keys, rows) that its size is known as well.
     """
-    stored = stats
+    table = stats if stored or sizes is not None else persist_table(stats, tag)
     if sizes is None:
-        stored = persist_table(stats, tag)
-        sizes = tuple(stored.agg(F.count("*"), F.coalesce(F.sum(rows), F.lit(0))).first())
+        sizes = tuple(table.agg(F.count("*"), F.coalesce(F.sum(rows), F.lit(0))).first())
     size, total = sizes
     renamed = {k: f"_k_{i}" for i, k in enumerate(keys)}
-    side = stored.withColumnsRenamed(renamed)
+    side = table.withColumnsRenamed(renamed)
     on = None
     for k, r in renamed.items():
         part = F.col(k).eqNullSafe(F.col(r))

@@ -68,49 +68,59 @@ def scoring_sink(model, keep: list[str], score):
 class VelocityStream:
     """Velocity counts per micro-batch with the recent rows kept as a table in the shared folder.
 
-    The kept rows are partitioned by batch and hour, so a batch reads the last ``max(windows)`` seconds only, and a batch
-    that is run again replaces what it wrote. Counting uses the batch operator, which splits hot values. Rows older than
-    the newest earlier row by more than ``lateness`` seconds are not counted but written to the ``late`` table.
+    Kept rows are partitioned by hour and batch: a batch lists and reads the hours of the last ``max(windows)`` seconds
+    only, and a batch that is run again replaces what it wrote. Counting uses the batch operator, which splits hot values.
+    Rows older than the newest earlier row by more than ``lateness`` seconds are not counted but written to the ``late``
+    table. Times are whole seconds.
     """
 
     def __init__(self, spark: SparkSession, entities: list[str], time: str, id_col: str, windows: list[int] = VELOCITY_WINDOWS,
-                 lateness: int = 3600, **velocity_options):
+                 lateness: int = 3600, base: str | None = None, **velocity_options):
         self.spark, self.entities, self.time, self.id_col = spark, entities, time, id_col
         self.windows, self.lateness, self.options = windows, lateness, velocity_options
-        base = scratch_path(spark, "velocity-state")
-        self.state, self.late = f"{base}/rows", f"{base}/late"
+        base = base or scratch_path(spark, "velocity-state")
+        self.state, self.late, self.newest = f"{base}/rows", f"{base}/late", f"{base}/newest"
 
-    def _history(self, rows: DataFrame, batch: int) -> DataFrame | None:
-        schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType()), T.StructField("hour", T.LongType())])
+    def _read(self, path: str, schema: T.StructType | str, root: str | None = None) -> DataFrame | None:
+        reader = self.spark.read.schema(schema)
+        if root:
+            reader = reader.option("basePath", root)
         try:
-            return self.spark.read.schema(schema).parquet(self.state).where(F.col("batch") < batch)
+            return reader.parquet(path)
         except AnalysisException:
             return None
 
+    def _history(self, rows: DataFrame, batch: int, first: int, last: int) -> DataFrame | None:
+        """Kept rows of earlier batches in the hours ``first`` to ``last``."""
+        schema = T.StructType([*rows.schema.fields, T.StructField("hour", T.LongType()), T.StructField("batch", T.LongType())])
+        hours = ",".join(str(h) for h in range(first, last + 1))
+        kept = self._read(f"{self.state}/hour={{{hours}}}", schema, self.state)
+        return None if kept is None else kept.where(F.col("batch") < batch).select(*rows.columns)
+
     def __call__(self, df: DataFrame, batch: int, out: str) -> None:
-        rows = df.select(self.id_col, self.time, *self.entities)
-        past = self._history(rows, batch)
-        newest = past.agg(F.max(self.time)).first()[0] if past is not None else None
+        t = F.col(self.time)
+        rows = df.select(self.id_col, t.cast("bigint").alias(self.time), *self.entities)
+        before = self._read(_batch_path(self.newest, batch - 1), "newest bigint") if batch else None
+        newest = before.first()["newest"] if before is not None else None
         fresh = rows
         if newest is not None:
-            is_late = F.col(self.time) < newest - self.lateness
-            rows.where(is_late).write.mode("overwrite").parquet(_batch_path(self.late, batch))
-            fresh = rows.where(~is_late)
-        bounds = fresh.agg(F.min(self.time)).first()[0]
-        if bounds is None:
+            limit = F.lit(newest - self.lateness)
+            rows.where(t < limit).write.mode("overwrite").parquet(_batch_path(self.late, batch))
+            fresh = rows.where(t >= limit)
+        low, high = fresh.agg(F.min(t), F.max(t)).first()
+        top = max((x for x in (newest, high) if x is not None), default=None)
+        self.spark.createDataFrame([(top,)], "newest bigint").write.mode("overwrite").parquet(_batch_path(self.newest, batch))
+        if low is None:
             return
-        fresh.withColumn("hour", F.floor(F.col(self.time) / 3600).cast("bigint")).write.mode("overwrite").partitionBy("hour").parquet(_batch_path(self.state, batch))
-        seen = fresh
-        if past is not None:
-            start = bounds - max(self.windows)
-            recent = past.where((F.col("hour") >= start // 3600) & (F.col(self.time) >= start))
-            seen = recent.select(*rows.columns).unionByName(fresh)
+        kept = fresh.withColumns({"hour": F.floor(t / 3600).cast("bigint"), "batch": F.lit(batch).cast("bigint")})
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("hour", "batch").parquet(self.state)
+        start = low - max(self.windows)
+        past = self._history(rows, batch, start // 3600, high // 3600) if batch else None
+        seen = fresh if past is None else past.where(t >= start).unionByName(fresh)
         counts = velocity(seen, self.entities, self.time, self.id_col, self.windows, **self.options)
         mine = fresh.select(F.col(self.id_col).alias("id"))
         counts.join(mine, "id", "left_semi").write.mode("overwrite").parquet(_batch_path(out, batch))
 
     def late_rows(self) -> int:
-        try:
-            return self.spark.read.parquet(self.late).count()
-        except AnalysisException:
-            return 0
+        late = self._read(self.late, "batch bigint")
+        return late.count() if late is not None else 0
