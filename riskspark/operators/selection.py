@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators.behavior import null_fractions
+from riskspark.plans.hashing import hash_take
 from riskspark.plans.quantiles import column_quantiles, indexed_long_form, per_column
 
 EXPRESSION_PAIRS = 6  # more pairs no longer fit one generated aggregate and go through matrix products
@@ -131,6 +132,57 @@ def mutual_information(df: DataFrame, columns: list[str], label: str = "isFraud"
     return _with_ordinal(mi, columns)
 
 
+def _digamma(n: np.ndarray) -> np.ndarray:
+    """Digamma at positive integers from harmonic numbers."""
+    n = n.astype(int)
+    harmonic = np.concatenate([[0.0], np.cumsum(1.0 / np.arange(1, max(int(n.max()), 1) + 1))])
+    return harmonic[n - 1] - np.euler_gamma
+
+
+def _neighbour_information(x: np.ndarray, y: np.ndarray, k: int) -> float:
+    """Nearest-neighbour estimate of the information between a continuous column and a class."""
+    radius, seen, count = np.empty(len(x)), np.zeros(len(x), dtype=bool), np.empty(len(x))
+    for klass in np.unique(y):
+        rows = np.flatnonzero(y == klass)
+        if len(rows) < 2:
+            continue
+        near = min(k, len(rows) - 1)
+        order = rows[np.argsort(x[rows], kind="stable")]
+        v = x[order]
+        at = np.arange(len(v))
+        # the near-th neighbour of a sorted point lies in one of the windows of near + 1 points around it
+        best = np.full(len(v), np.inf)
+        for left in range(near + 1):
+            lo, hi = at - left, at - left + near
+            ok = (lo >= 0) & (hi < len(v))
+            reach = np.maximum(v[at[ok]] - v[lo[ok]], v[hi[ok]] - v[at[ok]])
+            best[ok] = np.minimum(best[ok], reach)
+        radius[order], count[order], seen[order] = best, len(rows), True
+    ks = np.minimum(k, count[seen] - 1)
+    x, radius, count = x[seen], radius[seen], count[seen]
+    every = np.sort(x)
+    inside = np.searchsorted(every, x + radius, "right") - np.searchsorted(every, x - radius, "left")
+    value = _digamma(np.array([len(x)]))[0] + _digamma(ks).mean() - _digamma(count).mean() - _digamma(np.maximum(inside, 1)).mean()
+    return max(0.0, float(value))
+
+
+def neighbour_information(df: DataFrame, columns: list[str], id_col: str, label: str = "isFraud", sample: int = 20_000, k: int = 3,
+                          fill: float = -1.0, seed: int = 42) -> DataFrame:
+    """(column, ordinal, mi): nearest-neighbour information on a seeded sample, one task per column.
+
+    The sample is part of the estimate and bounds what a task holds; :func:`mutual_information` uses all rows.
+    """
+    picked = hash_take(df, id_col, lambda n: F.least(n, F.lit(sample)), seed=seed)
+    inputs = [F.coalesce(F.col(c).cast("double"), F.lit(float(fill))).alias(c) for c in columns]
+    long = indexed_long_form(picked.select(F.col(label).alias("_y"), *inputs), [F.col(c) for c in columns], ["_y"])
+
+    def kernel(pdf):
+        mi = _neighbour_information(pdf["v"].to_numpy(), pdf["_y"].to_numpy(), k)
+        return type(pdf)({"column": [columns[int(pdf["ci"].iloc[0])]], "mi": [mi]})
+
+    return _with_ordinal(long.groupBy("ci").applyInPandas(kernel, "column string, mi double"), columns)
+
+
 def top_by_score(scores: DataFrame, k: int, score: str) -> DataFrame:
     """Highest scores; ties keep the first column order."""
     return scores.orderBy(F.desc(F.round(score, 12)), "ordinal").limit(k)

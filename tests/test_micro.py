@@ -184,3 +184,20 @@ def test_records_and_checks(spark):
     assert [tuple(r) for r in tables.parse_records(lines, "line").collect()] == [(100.0, 0.0, 0.0, 0.0, ""), (1.0, 0.0, 0.0, 0.0, "a")]
     with pytest.raises(ValueError, match="absent"):
         tables.check_table(lines, ["isFraud"], None)
+
+
+def test_neighbour_information_against_pairwise_distances(spark):
+    rng = np.random.default_rng(7)
+    y = rng.integers(0, 2, 200)
+    x = np.where(y == 1, rng.normal(3, 1, 200), rng.normal(0, 1, 200))
+    psi = lambda n: sum(1 / i for i in range(1, int(n))) - np.euler_gamma
+    terms = []
+    for i in range(200):
+        same = np.sort(np.abs(x[(y == y[i])] - x[i]))[1:]
+        inside = (np.abs(x - x[i]) <= same[2]).sum()
+        terms.append(psi(3) - psi((y == y[i]).sum()) - psi(inside))
+    want = psi(200) + np.mean(terms)
+    df = spark.createDataFrame([(i, int(a), float(b)) for i, (a, b) in enumerate(zip(y, x))], "id bigint, isFraud int, v double")
+    df = df.withColumn("noise", F.rand(3))
+    got = {r["column"]: r["mi"] for r in selection.neighbour_information(df, ["v", "noise"], "id").collect()}
+    assert got["v"] == pytest.approx(want, abs=0.02) and got["noise"] < 0.15 < got["v"]
