@@ -20,7 +20,7 @@ def lookup_join(
     *,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_share: int = HOT_SHARE,
-    salts: int = 64,
+    salts: int | None = None,
     stored: bool = False,
     sizes: tuple[int, int] | None = None,
     tag: str = "lookup",
@@ -31,6 +31,8 @@ def lookup_join(
     rows of hot keys are spread over ``salts`` by a hash of ``spread_by`` and only the hot statistics are repeated.
     ``stored`` says that ``stats`` is a stored table already, ``sizes`` (keys, rows) that its size is known as well.
     """
+    if salts is None:  # enough to spread one key over all reduce tasks
+        salts = min(max(64, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))), 1024)
     table = stats if stored or sizes is not None else persist_table(stats, tag)
     if sizes is None:
         sizes = tuple(table.agg(F.count("*"), F.coalesce(F.sum(rows), F.lit(0))).first())
