@@ -306,10 +306,11 @@ def momentum(df: DataFrame, time: str, id_col: str, label: str, rows: int = 1000
     just before a chunk are copied into it, so each task sees at most ``chunk + rows + delay`` rows. The mean is a
     difference of two running sums, whatever the length of the frame.
     """
-    placed = global_position(df, [time, id_col], "_pos", "momentum")
     reach = rows + delay
     if reach > chunk:
         raise ValueError("rows + delay must not exceed chunk")
+    narrow = list(dict.fromkeys([id_col, time, label]))  # only these are sorted; a wide table is joined back by its id
+    placed = global_position(df.select(*narrow), [time, id_col], "_pos", "momentum")
     last = F.col("_pos") % chunk >= chunk - reach
     copied = placed.withColumn("_own", F.floor(F.col("_pos") / chunk)).withColumn(
         "_chunk", F.explode(F.when(last, F.array(F.col("_own"), F.col("_own") + 1)).otherwise(F.array(F.col("_own")))))
@@ -321,4 +322,7 @@ def momentum(df: DataFrame, time: str, id_col: str, label: str, rows: int = 1000
     sums = sums.withColumns({"_total": near("_s") - far("_s"), "_seen": near("_n") - far("_n")})
     overall = df.agg(F.avg(label)).first()[0]
     mean = F.coalesce(F.try_divide(F.col("_total").cast("double"), F.col("_seen")), F.lit(overall))
-    return sums.where(F.col("_chunk") == F.col("_own")).select(*df.columns, mean.alias(out))
+    own = sums.where(F.col("_chunk") == F.col("_own"))
+    if set(df.columns) <= set(narrow):
+        return own.select(*df.columns, mean.alias(out))
+    return df.join(own.select(id_col, mean.alias(out)), id_col).select(*df.columns, out)

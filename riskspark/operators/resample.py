@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.plans.hashing import hash_rank, hash_take
+from riskspark.plans.hashing import hash_cut, hash_rank, hash_take
 from riskspark.plans.ranking import global_position
 
 
@@ -21,21 +21,26 @@ def chronological_split(df: DataFrame, time: str, id_col: str, train: float = 0.
 
     ``cumulative`` cuts at int((train + val) * n), ``sum`` at int(train * n) + int(val * n).
     """
-    placed = global_position(df, [time, id_col], "_pos", "split")
     n = df.count()
     first = int(train * n)
     second = int(round(train + val, 10) * n) if variant == "cumulative" else first + int(val * n)
-    part = F.when(F.col("_pos") < first, "train").when(F.col("_pos") < second, "val").otherwise("test")
-    return placed.select(*df.columns, part.alias(out))
+    # only time and id are sorted; the rows are then marked by comparing with the two rows at the cuts
+    placed = global_position(df.select(time, id_col), [time, id_col], "_pos", "split")
+    cuts = {r["_pos"]: r for r in placed.where(F.col("_pos").isin(first, second)).collect()}
+
+    def before(pos):
+        if pos not in cuts:  # the cut lies after the last row
+            return F.lit(True)
+        here = F.struct(F.col(time).alias("t"), F.col(id_col).alias("i"))
+        return here < F.struct(F.lit(cuts[pos][time]).cast(df.schema[time].dataType).alias("t"), F.lit(cuts[pos][id_col]).cast(df.schema[id_col].dataType).alias("i"))
+
+    return df.withColumn(out, F.when(before(first), "train").when(before(second), "val").otherwise("test"))
 
 
 def stratified_split(df: DataFrame, id_col: str, label: str, train: float = 0.8, seed: int = 42, out: str = "part") -> DataFrame:
     """Mark the first floor(train * n_class) rows of each class in hash order as train, the others as test."""
-    ranked = hash_rank(df, id_col, [label], seed, out="_rank")
-    sizes = df.groupBy(label).agg(F.count("*").alias("_n"))  # one row per class
-    cut = F.floor(F.lit(train) * F.col("_n"))
-    return ranked.join(F.broadcast(sizes), label).select(
-        *df.columns, F.when(F.col("_rank") < cut, "train").otherwise("test").alias(out))
+    inside = hash_cut(df, id_col, lambda total: F.floor(F.lit(train) * total), [label], seed)
+    return df.withColumn(out, F.when(inside, "train").otherwise("test"))
 
 
 def series_split(series: DataFrame, order: str, train: float = 0.8, out: str = "part") -> DataFrame:

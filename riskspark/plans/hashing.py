@@ -36,27 +36,36 @@ def hash_rank(df: DataFrame, key: str, strata: list[str] = (), seed: int = 0, di
     )
 
 
-def hash_take(df: DataFrame, key: str, quota, strata: list[str] = (), seed: int = 0, digits: int = 4) -> DataFrame:
-    """Exactly ``quota`` rows per stratum: the first in hash order. ``quota`` maps the stratum size Column to a count.
+def hash_cut(df: DataFrame, key: str, quota, strata: list[str] = (), seed: int = 0, digits: int = 4) -> Column:
+    """Condition that holds for exactly the first ``quota`` rows of each stratum in hash order.
 
-    Buckets below the cut are taken whole with no shuffle of the rows; only the one bucket at the cut is ranked.
+    ``quota`` maps the stratum size Column to a count. Only key and strata are read: bucket sizes show where the cut lies,
+    and only the bucket at the cut is ranked. One cut per stratum comes to the driver; the rows themselves never move.
     """
     strata = list(strata)
-    hashed = df.withColumn("_h", hash_order(F.col(key), seed)).withColumn("_b", F.substring("_h", 1, digits))
+    hashed = df.select(*strata, key).withColumn("_h", hash_order(F.col(key), seed)).withColumn("_b", F.substring("_h", 1, digits))
     sizes = hashed.groupBy(*strata, "_b").agg(F.count("*").alias("_c"))
     whole = Window.partitionBy(*strata)
     before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = sizes.select(
+    total = F.sum("_c").over(whole)
+    border = sizes.select(
         *strata, "_b", "_c",
         F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
-        quota(F.sum("_c").over(whole)).alias("_quota"),
-    ).where(F.col("_off") < F.col("_quota"))
-    near = hashed.join(F.broadcast(cuts), [*strata, "_b"])
-    inside = near.where(F.col("_off") + F.col("_c") <= F.col("_quota"))
+        F.least(quota(total).cast("bigint"), total).alias("_quota"),
+    ).where((F.col("_off") < F.col("_quota")) & (F.col("_quota") <= F.col("_off") + F.col("_c")))
+    near = hashed.join(F.broadcast(border), [*strata, "_b"])
     order = Window.partitionBy(*strata, "_b").orderBy("_h", key)
-    edge = (
-        near.where(F.col("_off") + F.col("_c") > F.col("_quota"))
-        .withColumn("_rn", F.row_number().over(order))
-        .where(F.col("_off") + F.col("_rn") <= F.col("_quota"))
-    )
-    return inside.select(*df.columns).unionByName(edge.select(*df.columns))
+    last = near.withColumn("_rn", F.row_number().over(order)).where(F.col("_off") + F.col("_rn") == F.col("_quota"))
+    keep = F.lit(False)
+    h = hash_order(F.col(key), seed)
+    for cut in last.select(*strata, "_h", key).collect():
+        mine = (h < cut["_h"]) | ((h == cut["_h"]) & (F.col(key) <= F.lit(cut[key])))
+        for c in strata:
+            mine = mine & (F.col(c) == F.lit(cut[c]))
+        keep = keep | mine
+    return keep
+
+
+def hash_take(df: DataFrame, key: str, quota, strata: list[str] = (), seed: int = 0, digits: int = 4) -> DataFrame:
+    """Exactly ``quota`` rows per stratum (all when there are fewer): the first in hash order, as a plain filter."""
+    return df.where(hash_cut(df, key, quota, strata, seed, digits))
