@@ -9,7 +9,7 @@ from riskspark.functions import scalars as S
 from riskspark.operators import clean as C
 from riskspark.operators import io_checks
 from riskspark.queries.registry import query
-from riskspark.sources.views import identity, scored, table, txn, wide
+from riskspark.sources.views import scored, table, txn, wide
 
 
 def r6(c):

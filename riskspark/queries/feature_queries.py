@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from riskspark.functions import scalars as S
 from riskspark.operators import behavior as B
 from riskspark.operators import represent, resample, rules, selection, stages
-from riskspark.queries.profile_queries import _SETS, TXN_DEVICE, _norm, rounded, txn_with_device
+from riskspark.queries.profile_queries import TXN_DEVICE, _norm, rounded, txn_with_device
 from riskspark.queries.registry import ORACLES, query
 from riskspark.queries.scalar_queries import _CUT, _ITEMS, DOW, HOD
-from riskspark.sources.views import V_COLUMNS, scored, txn, vectors, wide
+from riskspark.sources.views import V_COLUMNS, txn, vectors, wide
 
 
 def r6(c):

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskspark.operators import behavior as B
 from riskspark.operators import io_checks, joins, neighbours, rules, selection
 from riskspark.queries.registry import query
 from riskspark.queries.scalar_queries import _CUT, _ITEMS

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import evaluate as E
 from riskspark.operators import models as M
-from riskspark.operators import neighbours, represent, resample, stages, timeseries
+from riskspark.operators import neighbours, resample, stages, timeseries
 from riskspark.plans.scratch import persist_table, scratch_path
 from riskspark.queries.profile_queries import rounded
 from riskspark.queries.quality_queries import _CURVE

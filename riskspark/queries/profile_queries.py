@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskspark.functions import scalars as S
 from riskspark.operators import behavior as B
-from riskspark.operators import io_checks, joins, profile, selection, timeseries
+from riskspark.operators import joins, profile, selection, timeseries
 from riskspark.plans.scratch import persist_table
 from riskspark.queries.registry import query
 from riskspark.queries.scalar_queries import DOW, HOD

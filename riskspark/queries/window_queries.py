@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from riskspark.functions import scalars as S
 from riskspark.operators import behavior as B
-from riskspark.operators import evaluate, io_checks, profile, rules, selection, timeseries
+from riskspark.operators import evaluate, io_checks, profile, selection, timeseries
 from riskspark.plans.ranking import global_position
-from riskspark.queries.profile_queries import TXN_DEVICE, _norm, rounded, txn_with_device
+from riskspark.queries.profile_queries import TXN_DEVICE, _norm, txn_with_device
 from riskspark.queries.registry import query
-from riskspark.queries.scalar_queries import _ITEMS, DOW, HOD
+from riskspark.queries.scalar_queries import DOW, HOD
 from riskspark.sources.views import V_COLUMNS, scored, txn, wide
 
 
