@@ -7,8 +7,9 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from riskspark import catalog
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 SOME = [
     "sc01_time_parts", "sc12_basket", "prj05_conform", "src04_record_input", "jn01_identity_join", "jn03_null_safe_stats", "jn07_nearest_neighbours",
     "ag01_rate_table", "ag05_user_stats", "ag07_entity_degrees", "ag11_heat_map", "ag12_histogram", "ag19_hourly", "wn04_momentum_delayed", "wn05_velocity",
