@@ -112,7 +112,7 @@ def kept_words(rows: DataFrame, length: int = 13, automaton_chars: int = 1_500_0
             body = b" ".join(left)
             out.append((row, doc, len(words), len(words) - len(left), body.decode() if with_kept else None, hashlib.sha256(body).hexdigest()))
         columns = [pa.array(c, t) for c, t in zip(zip(*out), _ARROW)]
-        return pa.RecordBatch.from_arrays(columns + [pa.concat_arrays(rest)] * bool(also), schema.fieldNames())
+        return pa.RecordBatch.from_arrays(columns + ([pa.concat_arrays(rest)] if also else []), schema.fieldNames())
 
     def cut(batches):
         import zstandard
