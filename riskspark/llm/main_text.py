@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -92,7 +92,8 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, float, int]] = []  # name, summed log-odds, number of the element
     text: list[str] = []
-    state = {"links": 0, "number": 0}
+    state = {"number": 0}
+    open_ = Counter()
     linked: list[str] = []
 
     def flush() -> None:
@@ -107,15 +108,17 @@ def blocks(page: str) -> list[Block]:
     def add(piece: str) -> None:
         if piece:
             text.append(piece)
-            if state["links"]:
+            if open_["a"]:
                 linked.append(piece)
 
     def close(names: set[str], stops: set[str] = frozenset()) -> None:
+        if not any(open_[x] for x in names):
+            return
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in names:
                 if any(e[0] in BLOCK for e in stack[i:]):
                     flush()
-                state["links"] -= sum(e[0] == "a" for e in stack[i:])
+                open_.subtract(e[0] for e in stack[i:])
                 del stack[i:]
                 return
             if stack[i][0] in stops:
@@ -141,7 +144,7 @@ def blocks(page: str) -> list[Block]:
         if m["end"]:
             if name == "br":
                 add(" ")
-            elif name == "p" and not any(e[0] == "p" for e in stack):
+            elif name == "p" and not open_["p"]:
                 flush()
             else:
                 close({name}, {"body", "html"} if name not in ("body", "html") else frozenset())
@@ -160,16 +163,15 @@ def blocks(page: str) -> list[Block]:
             flush()
             if name in _ENDS:
                 close(_ENDS[name], _STOPS)
-            elif any(e[0] == "p" for e in stack):
+            elif open_["p"]:
                 close({"p"}, {"table", "td", "th", "li", "div", "article", "section", "blockquote", "body"})
         if name in VOID:
             continue
         state["number"] += 1
         above = stack[-1][1] if stack else 0.0
-        inside = any(e[0] in ("article", "main") for e in stack)
+        inside = open_["article"] + open_["main"] > 0
         stack.append((name, above + _element_bias(name, m["attrs"], inside), state["number"]))
-        if name == "a":
-            state["links"] += 1
+        open_[name] += 1
     flush()
     return out
 
