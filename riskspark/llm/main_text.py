@@ -40,14 +40,14 @@ _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td"
 _STOPS = {"ul", "ol", "menu", "dl", "table", "select", "body", "html"}
 
 #: Log-odds of boilerplate (below 0) or content (above 0) that an enclosing element gives, by name and by class, id or role.
-ELEMENT = {"nav": -9, "footer": -8, "aside": -8, "form": -8, "menu": -8, "select": -9, "button": -8, "dialog": -8, "search": -8, "head": -20, "title": -20,
-           "header": -6, "article": 6, "main": 4, "fieldset": -6}
+ELEMENT = {"nav": -16, "footer": -16, "aside": -16, "form": -16, "menu": -16, "select": -16, "button": -16, "dialog": -16, "search": -16, "head": -30,
+           "title": -30, "header": -16, "fieldset": -16, "article": 6, "main": 4}
 _BAD = """ad ads advert adverts advertisement advertisements advertising adbox adslot banner breadcrumb breadcrumbs comment comments commentlist cookie cookies
 consent copyright disclaimer disqus dropdown footer footnav gdpr header login masthead menu menubar modal nav navbar navigation navigations newsletter notice
 notices pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing sidebar sidebars signup skyscraper social
 sponsor sponsored subscribe subscription tagcloud toolbar topbar widget widgets complementary contentinfo alert dialog alertdialog""".split()
 _GOOD = """article articlebody content entry entrycontent maincontent post postbody postcontent story storybody""".split()
-NAMES = dict.fromkeys(_GOOD, 4) | dict.fromkeys(_BAD, -9)
+NAMES = dict.fromkeys(_GOOD, 4) | dict.fromkeys(_BAD, -16)
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
@@ -62,15 +62,15 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(raw)}
 
 
-def _element_bias(name: str, raw: str, inside_article: bool) -> float:
-    """Log-odds of one element; names of class, id and role count once per kind of evidence."""
-    bias = float(ELEMENT.get(name, 0))
+def _element_bias(name: str, raw: str, inside_article: bool) -> tuple[float, float]:
+    """Log-odds that one element gives by its kind, and by its class, id and role, where the strongest name counts."""
+    bias, named = float(ELEMENT.get(name, 0)), 0.0
     if name == "header" and inside_article:
         bias = -1.0
     if raw and not raw.isspace():
         a = _attributes(raw)
         if "hidden" in a or a.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", "")):
-            return -20.0
+            return -30.0, 0.0
         words = set()
         for v in (a.get("class", ""), a.get("id", ""), a.get("role", "")):
             for token in re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", v).lower().split():
@@ -81,19 +81,19 @@ def _element_bias(name: str, raw: str, inside_article: bool) -> float:
             scores = [NAMES[w] for w in words if w in NAMES]
             if scores:
                 low, high = min(scores), max(scores)
-                bias += low if low < 0 and not (high > 0 and "header" in words) else high
+                named = float(low if low < 0 and not (high > 0 and "header" in words) else high)
         elif name in ("article", "main") and words & {"comment", "comments", "reply"}:
-            bias -= 15
-    return bias
+            bias -= 22
+    return bias, named
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of text in page order, with what their open elements say about them."""
     out: list[Block] = []
-    stack: list[tuple[str, float, int]] = []  # name, summed log-odds, number of the element
+    stack: list[tuple[str, float, int, float]] = []  # name, log-odds summed by kind, number of the element, and summed by names
     text: list[str] = []
     state = {"number": 0}
-    open_ = Counter()
+    open_, seen = Counter(), Counter()
     linked: list[str] = []
 
     def flush() -> None:
@@ -101,7 +101,7 @@ def blocks(page: str) -> list[Block]:
             body = " ".join(html.unescape("".join(text)).split())
             if body:
                 holder = [e for e in stack if e[0] in BLOCK]
-                out.append(Block(body, len(" ".join("".join(linked).split())), holder[-1][0] if holder else "", tuple(e[2] for e in holder), stack[-1][1] if stack else 0.0))
+                out.append(Block(body, len(" ".join("".join(linked).split())), holder[-1][0] if holder else "", tuple(e[2] for e in holder), stack[-1][1] + stack[-1][3] if stack else 0.0))
             text.clear()
             linked.clear()
 
@@ -168,9 +168,12 @@ def blocks(page: str) -> list[Block]:
         if name in VOID:
             continue
         state["number"] += 1
-        above = stack[-1][1] if stack else 0.0
-        inside = open_["article"] + open_["main"] > 0
-        stack.append((name, above + _element_bias(name, m["attrs"], inside), state["number"]))
+        kind, names = (stack[-1][1], stack[-1][3]) if stack else (0.0, 0.0)
+        own, named = _element_bias(name, m["attrs"], open_["article"] + open_["main"] > 0)
+        if name in ("article", "main") and not seen[name]:
+            names = max(names, 0.0)  # wrappers of the first article are named for what else they hold
+        seen[name] += 1
+        stack.append((name, kind + own, state["number"], names + named))
         open_[name] += 1
     flush()
     return out
