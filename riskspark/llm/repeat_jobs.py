@@ -150,7 +150,7 @@ def repeated_regions(rows: DataFrame, search: Search) -> DataFrame:
         if last:
             forget(judged)
             break
-        waiting = judged.where("open").select("core").distinct()
+        waiting = stored(judged.where("open").select("core").distinct(), "waiting")
         others = judged.where(~F.col("open")).join(waiting, "core", "left_semi")
         place = F.struct(DOC, ROW, "at", "off")
         witness = others.where("whole").groupBy("full1", "full2").agg(F.min(place).alias("p")).select("p.*")
@@ -160,6 +160,6 @@ def repeated_regions(rows: DataFrame, search: Search) -> DataFrame:
             .unionByName(others.where(~F.col("whole")).select(ROW, "at", "off")),
             "picks",
         )
-        forget(judged)
+        forget(judged, waiting)
         parent = size
     return reduce(DataFrame.unionByName, found)
