@@ -5,83 +5,105 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators.behavior import null_fractions
-from riskspark.plans.hashing import hash_take
 from riskspark.plans.quantiles import column_quantiles, indexed_long_form, per_column
 
-EXPRESSION_PAIRS = 6  # more pairs no longer fit one generated aggregate and go through matrix products
+FLAT = 1e-12  # a column counts as constant when its variance is at most this share of its mean square around the centre
 
 
-def correlation(x, y) -> Column:
-    """Pairwise-complete Pearson correlation; NULL when either side is constant on the common rows."""
-    x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
-    vx = F.var_pop(F.when(y.isNotNull(), x))
-    vy = F.var_pop(F.when(x.isNotNull(), y))
-    return F.when((vx > 0) & (vy > 0), F.try_divide(F.covar_pop(x, y), F.sqrt(vx) * F.sqrt(vy)))
+def _numbers(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns as doubles; NaN counts as missing."""
+    cells = {f"_{i}": F.col(c).cast("double") for i, c in enumerate(columns)}
+    return df.select(*[F.when(~F.isnan(x), x).alias(n) for n, x in cells.items()]).coalesce(df.sparkSession.sparkContext.defaultParallelism)
 
 
-def label_correlations(df: DataFrame, columns: list[str], label: str = "isFraud") -> DataFrame:
-    """(column, ordinal, r) for all columns in one aggregation."""
-    y = F.col(label).cast("double")
-    wide = df.agg(*[correlation(F.col(c).cast("double"), y).alias(c) for c in columns])
-    return _with_ordinal(wide.unpivot([], columns, "column", "r"), columns)
+def _centres(typed: DataFrame) -> np.ndarray:
+    """Means of the finite values of every column, from one row of sums per task; 0 for a column without any."""
+    import pandas as pd
 
+    p = len(typed.columns)
 
-def _with_ordinal(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumn("ordinal", F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column")))
+    def sums(batches):
+        total, count = np.zeros(p), np.zeros(p)
+        for pdf in batches:
+            raw = pdf.to_numpy(dtype=float)
+            ok = np.isfinite(raw)
+            total += np.where(ok, raw, 0.0).sum(0)
+            count += ok.sum(0)
+        yield pd.DataFrame({"i": np.arange(p), "s": total, "n": count})
 
+    rows = typed.mapInPandas(sums, "i int, s double, n double").groupBy("i").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
+    centre = np.zeros(p)
+    for r in rows:
+        centre[r["i"]] = r["s"] / r["n"] if r["n"] else 0.0
+    return centre
 
-def pair_correlations(df: DataFrame, columns: list[str], expression_pairs: int = EXPRESSION_PAIRS) -> DataFrame:
-    """(i, j, a, b, r) for all column pairs i < j, each over the rows where both are present; one pass over the rows."""
-    pairs = list(itertools.combinations(range(len(columns)), 2))
-    if len(pairs) <= expression_pairs:
-        typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        wide = typed.agg(*[correlation(columns[i], columns[j]).alias(f"{i}_{j}") for i, j in pairs])
-        long = wide.unpivot([], [f"{i}_{j}" for i, j in pairs], "pair", "r")
-        i = F.split("pair", "_")[0].cast("int")
-        j = F.split("pair", "_")[1].cast("int")
-        long = long.select(i.alias("i"), j.alias("j"), "r")
-    else:
-        long = _pair_moments(df, columns)
-    names = F.array(*[F.lit(c) for c in columns])
-    return long.select("i", "j", F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), "r")
 
+def _moment_correlations(df: DataFrame, left: list[str], right: list[str] | None = None) -> DataFrame:
+    """(i, j, r) of the pairs i < j of ``left``, or of every ``left`` with every ``right`` column.
+
+    Each pair counts the rows where both sides are present; NaN is missing. r is NULL when a side is constant on them or
+    holds an infinite value. Every task adds up matrices of products around common centres, for as many tasks as run at
+    once, and gives out one line per column.
+    """
+    import pandas as pd
 
-def _pair_moments(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Correlations from per-partition sums of products; each task adds up p x p matrices and emits one row per column."""
-    p = len(columns)
-    typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    means = typed.agg(*[F.avg(c) for c in columns]).first()
-    centre = np.array([m if m is not None else 0.0 for m in means])
+    p, columns = len(left), left + (right or [])
+    typed = _numbers(df, columns)
+    centre = _centres(typed)
 
     def sums(batches):
-        total = np.zeros((6, p, p))
-        seen = False
+        total, seen = 0.0, False
         for pdf in batches:
             raw = pdf.to_numpy(dtype=float)
-            mask = (~np.isnan(raw)).astype(float)
-            x = np.where(mask > 0, raw - centre, 0.0)
-            sq = x * x
-            total += np.stack([mask.T @ mask, x.T @ mask, mask.T @ x, sq.T @ mask, mask.T @ sq, x.T @ x])
+            here = ~np.isnan(raw)
+            with np.errstate(invalid="ignore", over="ignore"):
+                x = np.where(here, raw - centre, 0.0)
+                mask, sq = here.astype(float), x * x
+                a, b = slice(0, p), slice(p, None) if right else slice(0, p)
+                total = total + np.stack([
+                    mask[:, a].T @ mask[:, b], x[:, a].T @ mask[:, b], mask[:, a].T @ x[:, b], sq[:, a].T @ mask[:, b], mask[:, a].T @ sq[:, b], x[:, a].T @ x[:, b],
+                ])
             seen = True
         if seen:
-            import pandas as pd
-
             yield pd.DataFrame({"i": np.arange(p), **{f"m{t}": list(total[t]) for t in range(6)}})
 
     parts = typed.mapInPandas(sums, "i int, " + ", ".join(f"m{t} array<double>" for t in range(6)))
-    cells = parts.select("i", F.posexplode(F.arrays_zip(*[f"m{t}" for t in range(6)])).alias("j", "m")).where(F.col("j") > F.col("i"))
+    cells = parts.select("i", F.posexplode(F.arrays_zip(*[f"m{t}" for t in range(6)])).alias("j", "m"))
+    if not right:
+        cells = cells.where(F.col("j") > F.col("i"))
     m = cells.groupBy("i", "j").agg(*[F.sum(f"m.m{t}").alias(f"m{t}") for t in range(6)])
     n = F.col("m0")
     vx = F.col("m3") - F.try_divide(F.col("m1") * F.col("m1"), n)
     vy = F.col("m4") - F.try_divide(F.col("m2") * F.col("m2"), n)
     cov = F.col("m5") - F.try_divide(F.col("m1") * F.col("m2"), n)
-    flat = lambda v, s: v > F.lit(1e-12) * s  # noqa: E731  (rounding noise of a constant column)
-    r = F.when(flat(vx, F.col("m3")) & flat(vy, F.col("m4")), F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy)))
-    return m.select("i", "j", r.alias("r"))
+    varies = (vx > FLAT * F.col("m3")) & (vy > FLAT * F.col("m4"))
+    r = F.when(varies, F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy)))
+    return m.select("i", "j", F.when(~F.isnan(r), r).alias("r"))
+
+
+def label_correlations(df: DataFrame, columns: list[str], label: str = "isFraud") -> DataFrame:
+    """(column, ordinal, r) for all columns in one pass of products with the label."""
+    long = _moment_correlations(df, columns, [label])
+    lines = df.sparkSession.createDataFrame(list(enumerate(columns)), "i int, column string")
+    return lines.join(long, "i", "left").select("column", (F.col("i") + 1).cast("bigint").alias("ordinal"), "r")
+
+
+def _with_ordinal(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.withColumn("ordinal", F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column")))
+
+
+def pair_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(i, j, a, b, r) for all column pairs i < j, each over the rows where both are present; one pass over the rows."""
+    names = F.array(*[F.lit(c) for c in columns])
+    long = _moment_correlations(df, columns)
+    if len(columns) > 1 and df.isEmpty():
+        pairs = [(i, j, None) for i, j in itertools.combinations(range(len(columns)), 2)]
+        long = df.sparkSession.createDataFrame(pairs, "i int, j int, r double")
+    return long.select("i", "j", F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), "r")
 
 
 def redundant_pairs(df: DataFrame, columns: list[str], threshold: float = 0.98) -> DataFrame:
@@ -132,57 +154,6 @@ def mutual_information(df: DataFrame, columns: list[str], label: str = "isFraud"
     return _with_ordinal(mi, columns)
 
 
-def _digamma(n: np.ndarray) -> np.ndarray:
-    """Digamma at positive integers from harmonic numbers."""
-    n = n.astype(int)
-    harmonic = np.concatenate([[0.0], np.cumsum(1.0 / np.arange(1, max(int(n.max()), 1) + 1))])
-    return harmonic[n - 1] - np.euler_gamma
-
-
-def _neighbour_information(x: np.ndarray, y: np.ndarray, k: int) -> float:
-    """Nearest-neighbour estimate of the information between a continuous column and a class."""
-    radius, seen, count = np.empty(len(x)), np.zeros(len(x), dtype=bool), np.empty(len(x))
-    for klass in np.unique(y):
-        rows = np.flatnonzero(y == klass)
-        if len(rows) < 2:
-            continue
-        near = min(k, len(rows) - 1)
-        order = rows[np.argsort(x[rows], kind="stable")]
-        v = x[order]
-        at = np.arange(len(v))
-        # the near-th neighbour of a sorted point lies in one of the windows of near + 1 points around it
-        best = np.full(len(v), np.inf)
-        for left in range(near + 1):
-            lo, hi = at - left, at - left + near
-            ok = (lo >= 0) & (hi < len(v))
-            reach = np.maximum(v[at[ok]] - v[lo[ok]], v[hi[ok]] - v[at[ok]])
-            best[ok] = np.minimum(best[ok], reach)
-        radius[order], count[order], seen[order] = best, len(rows), True
-    ks = np.minimum(k, count[seen] - 1)
-    x, radius, count = x[seen], radius[seen], count[seen]
-    every = np.sort(x)
-    inside = np.searchsorted(every, x + radius, "right") - np.searchsorted(every, x - radius, "left")
-    value = _digamma(np.array([len(x)]))[0] + _digamma(ks).mean() - _digamma(count).mean() - _digamma(np.maximum(inside, 1)).mean()
-    return max(0.0, float(value))
-
-
-def neighbour_information(df: DataFrame, columns: list[str], id_col: str, label: str = "isFraud", sample: int = 20_000, k: int = 3,
-                          fill: float = -1.0, seed: int = 42) -> DataFrame:
-    """(column, ordinal, mi): nearest-neighbour information on a seeded sample, one task per column.
-
-    The sample is part of the estimate and bounds what a task holds; :func:`mutual_information` uses all rows.
-    """
-    picked = hash_take(df, id_col, lambda n: F.least(n, F.lit(sample)), seed=seed)
-    inputs = [F.coalesce(F.col(c).cast("double"), F.lit(float(fill))).alias(c) for c in columns]
-    long = indexed_long_form(picked.select(F.col(label).alias("_y"), *inputs), [F.col(c) for c in columns], ["_y"])
-
-    def kernel(pdf):
-        mi = _neighbour_information(pdf["v"].to_numpy(), pdf["_y"].to_numpy(), k)
-        return type(pdf)({"column": [columns[int(pdf["ci"].iloc[0])]], "mi": [mi]})
-
-    return _with_ordinal(long.groupBy("ci").applyInPandas(kernel, "column string, mi double"), columns)
-
-
 def top_by_score(scores: DataFrame, k: int, score: str) -> DataFrame:
     """Highest scores; ties keep the first column order."""
     return scores.orderBy(F.desc(F.round(score, 12)), "ordinal").limit(k)

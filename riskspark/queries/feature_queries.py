@@ -8,7 +8,7 @@ from riskspark.functions import scalars as S
 from riskspark.operators import behavior as B
 from riskspark.operators import represent, resample, rules, selection, stages
 from riskspark.queries.profile_queries import TXN_DEVICE, _norm, rounded, txn_with_device
-from riskspark.queries.registry import ORACLES, query
+from riskspark.queries.registry import query
 from riskspark.queries.scalar_queries import _CUT, _ITEMS, DOW, HOD
 from riskspark.sources.views import V_COLUMNS, txn, vectors, wide
 
@@ -35,6 +35,7 @@ def fs02(spark, d):
     return names(spark, selection.constant_columns(wide(spark, d), V_COLUMNS))
 
 
+_PAIR_AB = " UNION ALL ".join(f"SELECT 'V{i}' AS a, 'V{j}' AS b, corr(V{i}, V{j}) AS r FROM wide" for i in range(1, 9) for j in range(i + 1, 9) if 6 not in (i, j))
 _PAIR_R = " UNION ALL ".join(f"SELECT 'V{j}' AS b, corr(V{i}, V{j}) AS r FROM wide" for i in range(1, 9) for j in range(i + 1, 9) if 6 not in (i, j))
 
 
@@ -59,15 +60,17 @@ def fs04(spark, d):
     return selection.mutual_information(wide(spark, d), V_COLUMNS).select("column", (r6("mi") + 0.0).alias("mi"))
 
 
-@query("fs05_pruned_columns", f"""SELECT "column" FROM ({_MI}) WHERE "column" NOT IN ('V5', 'V6', 'V7') ORDER BY round(mi, 12) DESC, "column" LIMIT 3""", "wide")
-def fs05(spark, d):
-    w = wide(spark, d).withColumn("TransactionID", F.lit(0))
-    # V8 correlates fully with V3 on its common rows, so it goes with V5
-    model = stages.ColumnPruner(keep=3).fit(w)
-    return names(spark, model.kept())
+_PRUNED = " UNION ALL ".join(
+    f"SELECT 'V{i}' AS c FROM wide HAVING avg(CASE WHEN V{i} IS NULL THEN 1 ELSE 0 END) > 0.95 OR min(coalesce(V{i}, 0)) = max(coalesce(V{i}, 0))" for i in range(1, 9))
+_LEFT = f"""gone AS ({_PRUNED}), pairs AS ({_PAIR_AB}),
+left_over AS (SELECT "column", mi FROM ({_MI}) WHERE "column" NOT IN (SELECT c FROM gone)
+  AND "column" NOT IN (SELECT b FROM pairs WHERE abs(r) > 0.98 AND a NOT IN (SELECT c FROM gone)))"""
 
 
-ORACLES["fs05_pruned_columns"] = ORACLES["fs05_pruned_columns"].replace("('V5', 'V6', 'V7')", "('V5', 'V6', 'V7', 'V8')")
+@query("fs05_pruned_columns", f"""WITH {_LEFT} SELECT "column" FROM left_over ORDER BY round(mi, 12) DESC, "column" LIMIT 3""", "wide")
+def fs05(spark, d):
+    model = stages.ColumnPruner(keep=3).fit(wide(spark, d).withColumn("TransactionID", F.lit(0)))
+    return names(spark, model.kept())
 
 
 @query("fs05_pruned_table", "SELECT V1, V2, V3, V4, isFraud FROM wide", "wide")
@@ -76,18 +79,12 @@ def fs05_table(spark, d):
     return stages.ColumnPruner().fit(w).transform(w).select("V1", "V2", "V3", "V4", "isFraud")
 
 
-@query("fs06_padded_columns", f"""WITH s AS (SELECT * FROM ({_MI}) WHERE "column" NOT IN ('V5', 'V6', 'V7', 'V8'))
-SELECT "column" FROM s ORDER BY round(mi, 12) DESC, "column" LIMIT 4""", "wide")
+@query("fs06_padded_columns", f"""WITH {_LEFT} SELECT "column" FROM left_over ORDER BY round(mi, 12) DESC, "column" LIMIT 4""", "wide")
 def fs06(spark, d):
     w = wide(spark, d)
     return names(spark, selection.prune_columns(w, V_COLUMNS, min_score=0.001, keep=4))
 
 
-@query("ud04_neighbour_information")
-def ud04(spark, d):
-    return selection.neighbour_information(txn(spark, d), ["TransactionAmt", "dist1", "card1", "addr1"], "TransactionID")
-
-
 # ---- representation -------------------------------------------------------------------------------------------------
 
 _SCALED = ["TransactionAmt", "dist1", "card1"]
@@ -155,7 +152,7 @@ def tr04(spark, d):
 @query("tr04_amount_hour_clusters")
 def tr04_small(spark, d):
     t = txn(spark, d).withColumn("Transaction_Hour", S.hour_of_day("TransactionDT"))
-    c = represent.fit_clusters(t, ["TransactionAmt", "Transaction_Hour"], 8, restarts=3)
+    c = represent.fit_clusters(t, ["TransactionAmt", "Transaction_Hour"], 8)
     return represent.apply_clusters(t, c).groupBy("cluster_label").agg(F.count("*").alias("size"), F.avg("isFraud").alias("fraud_rate"))
 
 

@@ -77,18 +77,26 @@ def test_balance_without_positives(spark):
     assert (r["pos_weight"], r["pos_weight_guarded"], r["ratio"]) == (1.0, 2.0, None)
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_pair_correlations(spark, limit):
+@pytest.mark.parametrize("more", [0, 2, 16])
+def test_pair_correlations(spark, more):
     rng = np.random.default_rng(5)
     a = rng.normal(size=200)
     b = a * 2 + rng.normal(size=200)
     b[::3] = np.nan
-    rows = [(float(x), None if math.isnan(y) else float(y), 4.0, None) for x, y in zip(a, b)]
-    df = spark.createDataFrame(rows, "a double, b double, c double, n double").repartition(4)
-    got = {(r["a"], r["b"]): r["r"] for r in selection.pair_correlations(df, ["a", "b", "c", "n"], limit).collect()}
+    rows = [(float(x), None if math.isnan(y) and i % 2 else float(y), 4.0, None, float("inf") if i == 7 else float(i), *rng.normal(size=more).tolist())
+            for i, (x, y) in enumerate(zip(a, b))]
+    names = ["a", "b", "c", "n", "f"] + [f"z{i}" for i in range(more)]
+    df = spark.createDataFrame(rows, ", ".join(f"{x} double" for x in names)).repartition(4)
     both = ~np.isnan(b)
-    assert got[("a", "b")] == pytest.approx(np.corrcoef(a[both], b[both])[0, 1], abs=1e-12)
-    assert len(got) == 6 and all(v is None for k, v in got.items() if k != ("a", "b"))
+    want = np.corrcoef(a[both], b[both])[0, 1]
+    for columns in (names[:2], names[:4], names[:5], names):
+        got = {(r["a"], r["b"]): r["r"] for r in selection.pair_correlations(df, columns).collect()}
+        assert len(got) == len(columns) * (len(columns) - 1) // 2
+        assert got[("a", "b")] == pytest.approx(want, abs=1e-12)
+        assert all(v is None for (x, y), v in got.items() if {x, y} & {"c", "n", "f"})
+        assert selection.correlated_columns(df, columns, want - 0.001) == ["b"] and selection.correlated_columns(df, columns, 0.9999) == []
+    labelled = {r["column"]: r["r"] for r in selection.label_correlations(df, ["b", "c", "n", "f"], "a").collect()}
+    assert labelled["b"] == pytest.approx(want, abs=1e-12) and labelled["c"] is labelled["n"] is labelled["f"] is None
 
 
 def test_correlation_prune_drops_chains(spark):
@@ -184,20 +192,3 @@ def test_records_and_checks(spark):
     assert [tuple(r) for r in tables.parse_records(lines, "line").collect()] == [(100.0, 0.0, 0.0, 0.0, ""), (1.0, 0.0, 0.0, 0.0, "a")]
     with pytest.raises(ValueError, match="absent"):
         tables.check_table(lines, ["isFraud"], None)
-
-
-def test_neighbour_information_against_pairwise_distances(spark):
-    rng = np.random.default_rng(7)
-    y = rng.integers(0, 2, 200)
-    x = np.where(y == 1, rng.normal(3, 1, 200), rng.normal(0, 1, 200))
-    psi = lambda n: sum(1 / i for i in range(1, int(n))) - np.euler_gamma
-    terms = []
-    for i in range(200):
-        same = np.sort(np.abs(x[(y == y[i])] - x[i]))[1:]
-        inside = (np.abs(x - x[i]) <= same[2]).sum()
-        terms.append(psi(3) - psi((y == y[i]).sum()) - psi(inside))
-    want = psi(200) + np.mean(terms)
-    df = spark.createDataFrame([(i, int(a), float(b)) for i, (a, b) in enumerate(zip(y, x))], "id bigint, isFraud int, v double")
-    df = df.withColumn("noise", F.rand(3))
-    got = {r["column"]: r["mi"] for r in selection.neighbour_information(df, ["v", "noise"], "id").collect()}
-    assert got["v"] == pytest.approx(want, abs=0.02) and got["noise"] < 0.15 < got["v"]
