@@ -101,16 +101,9 @@ def svm_margin(model, df: DataFrame) -> DataFrame:
 
 # ---- calibration ----------------------------------------------------------------------------------------------------
 
-def _by_score(df: DataFrame, column: str, digits: int) -> DataFrame:
-    """One weighted row per (rounded score, label): a calibration never sees more rows than there are rounded scores."""
-    return df.groupBy(F.round(column, digits).alias("s"), F.col("label")).agg(F.count("*").cast("double").alias("weight"))
-
-
-def isotonic(df: DataFrame, column: str = "p", digits: int = 6):
-    """Monotone map score -> probability, fitted on at most 10**digits distinct scores."""
-    g = _by_score(df, column, digits)
-    one = g.groupBy("s").agg(F.sum("weight").alias("w"), F.sum(F.col("label") * F.col("weight")).alias("k"))
-    rows = one.select(F.col("s").alias("features"), (F.col("k") / F.col("w")).alias("label"), F.col("w").alias("weight"))
+def isotonic(df: DataFrame, column: str = "p"):
+    """Monotone map score -> probability. Rows of one score are one weighted row with their label rate, which gives the same fit."""
+    rows = df.groupBy(F.col(column).alias("features")).agg(F.avg("label").alias("label"), F.count("*").cast("double").alias("weight"))
     return IsotonicRegression(weightCol="weight", featuresCol="features").fit(rows)
 
 
@@ -119,11 +112,10 @@ def apply_isotonic(model, df: DataFrame, column: str = "p", out: str = "p") -> D
     return made.withColumn(out, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_iso")))).drop("_s", "_iso")
 
 
-def platt(df: DataFrame, column: str = "p", digits: int = 6):
-    """One-feature logistic regression of the label on the score."""
-    rows = VectorAssembler(inputCols=["s"], outputCol="features").transform(_by_score(df, column, digits))
-    n = rows.agg(F.sum("weight")).first()[0] or 1.0
-    return LogisticRegression(weightCol="weight", regParam=1.0 / n).fit(rows)
+def platt(df: DataFrame, column: str = "p"):
+    """One-feature logistic regression of the label on the score, over all rows."""
+    rows = VectorAssembler(inputCols=["s"], outputCol="features").transform(df.select(F.col(column).alias("s"), "label"))
+    return LogisticRegression(regParam=1.0 / max(rows.count(), 1)).fit(rows)
 
 
 def apply_platt(model, df: DataFrame, column: str = "p", out: str = "p") -> DataFrame:

@@ -38,7 +38,7 @@ def chronological_split(df: DataFrame, time: str, id_col: str, train: float = 0.
 
 
 def stratified_split(df: DataFrame, id_col: str, label: str, train: float = 0.8, seed: int = 42, out: str = "part") -> DataFrame:
-    """Mark the first floor(train * n_class) rows of each class in hash order as train, the others as test."""
+    """Mark the first floor(train * n_class) rows of each class in hash order as train, the others as test; NULL is a class."""
     inside = hash_cut(df, id_col, lambda total: F.floor(F.lit(train) * total), [label], seed)
     return df.withColumn(out, F.when(inside, "train").otherwise("test"))
 
@@ -62,9 +62,26 @@ def sample_fraction(df: DataFrame, id_col: str, fraction: float, seed: int = 42)
 
 
 def stratified_sample(df: DataFrame, id_col: str, label: str, n: int, seed: int = 42) -> DataFrame:
-    """About ``n`` rows with the class shares of the table: floor(n * n_class / n_all) per class."""
-    rows = df.count()
-    return hash_take(df, id_col, lambda total: F.least(total, F.floor(F.lit(n) * total / F.lit(float(max(rows, 1))))), [label], seed)
+    """Exactly ``n`` rows (all when there are fewer) with the class shares of the table; NULL is a class of its own.
+
+    Each class gets floor(n * n_class / n_all) rows; those that are missing then go to the largest remainders, equal ones in
+    the order of the class, NULL last.
+    """
+    counts = [(r[0], r[1]) for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()]
+    rows = sum(c for _, c in counts)
+    take = min(n, rows)
+    quotas = {k: take * c // rows for k, c in counts}
+    late = sorted(counts, key=lambda kc: (-(take * kc[1] % rows), kc[0] is None, kc[0] if kc[0] is not None else 0))
+    for k, _ in late[: take - sum(quotas.values())]:
+        quotas[k] += 1
+
+    def quota(_):
+        out = F.lit(0)
+        for k, q in quotas.items():
+            out = F.when(F.col(label).eqNullSafe(F.lit(k)), F.lit(q)).otherwise(out)
+        return out
+
+    return hash_take(df, id_col, quota, [label], seed) if counts else df
 
 
 def capped_sample(df: DataFrame, id_col: str, label: str, n: int, seed: int = 42) -> DataFrame:
@@ -82,6 +99,6 @@ def undersample(df: DataFrame, id_col: str, label: str, ratio: float = 0.5, seed
 
 
 def assign_folds(df: DataFrame, id_col: str, k: int, label: str | None = None, seed: int = 42, out: str = "fold") -> DataFrame:
-    """Fold 0..k-1 in hash order, per class when ``label`` is given."""
+    """Fold 0..k-1 in hash order, per class when ``label`` is given; rows without label are a class of their own."""
     ranked = hash_rank(df, id_col, [label] if label else [], seed, out="_rank")
     return ranked.select(*df.columns, (F.col("_rank") % k).cast("int").alias(out))

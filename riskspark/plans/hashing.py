@@ -17,6 +17,15 @@ def hash_unit(key: Column, seed: int = 0) -> Column:
     return F.conv(F.substring(hash_order(key, seed), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
 
 
+def _null_safe_join(left: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join with a small table on keys in which NULL equals NULL: NULL is a stratum like any other."""
+    side = small.withColumnsRenamed({c: f"_s_{i}" for i, c in enumerate(keys)})
+    on = F.lit(True)
+    for i, c in enumerate(keys):
+        on = on & F.col(c).eqNullSafe(F.col(f"_s_{i}"))
+    return left.join(F.broadcast(side), on).drop(*[f"_s_{i}" for i in range(len(keys))])
+
+
 def hash_rank(df: DataFrame, key: str, strata: list[str] = (), seed: int = 0, digits: int = 4, out: str = "hash_rank") -> DataFrame:
     """Add the 0-based rank of each row in hash order inside its stratum.
 
@@ -31,9 +40,7 @@ def hash_rank(df: DataFrame, key: str, strata: list[str] = (), seed: int = 0, di
     offsets = sizes.select(*strata, "_b", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
     inside = Window.partitionBy(*strata, "_b").orderBy("_h", key)
     ranked = hashed.withColumn("_rn", F.row_number().over(inside) - 1)
-    return ranked.join(F.broadcast(offsets), [*strata, "_b"]).select(
-        *df.columns, (F.col("_off") + F.col("_rn")).alias(out)
-    )
+    return _null_safe_join(ranked, offsets, [*strata, "_b"]).select(*df.columns, (F.col("_off") + F.col("_rn")).alias(out))
 
 
 def hash_cut(df: DataFrame, key: str, quota, strata: list[str] = (), seed: int = 0, digits: int = 4) -> Column:
@@ -53,7 +60,7 @@ def hash_cut(df: DataFrame, key: str, quota, strata: list[str] = (), seed: int =
         F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
         F.least(quota(total).cast("bigint"), total).alias("_quota"),
     ).where((F.col("_off") < F.col("_quota")) & (F.col("_quota") <= F.col("_off") + F.col("_c")))
-    near = hashed.join(F.broadcast(border), [*strata, "_b"])
+    near = _null_safe_join(hashed, border.drop("_c"), [*strata, "_b"])
     order = Window.partitionBy(*strata, "_b").orderBy("_h", key)
     last = near.withColumn("_rn", F.row_number().over(order)).where(F.col("_off") + F.col("_rn") == F.col("_quota"))
     keep = F.lit(False)
@@ -61,7 +68,7 @@ def hash_cut(df: DataFrame, key: str, quota, strata: list[str] = (), seed: int =
     for cut in last.select(*strata, "_h", key).collect():
         mine = (h < cut["_h"]) | ((h == cut["_h"]) & (F.col(key) <= F.lit(cut[key])))
         for c in strata:
-            mine = mine & (F.col(c) == F.lit(cut[c]))
+            mine = mine & F.col(c).eqNullSafe(F.lit(cut[c]))
         keep = keep | mine
     return keep
 

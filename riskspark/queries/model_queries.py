@@ -49,7 +49,7 @@ def ml01(spark, d):
 @query("ml02_random_forest")
 def ml02(spark, d):
     train, _, test = frame(spark, d)
-    return M.all_metrics(M.score(M.random_forest(train, trees=30, depth=8, balanced=True), test), "random forest")
+    return M.all_metrics(M.score(M.random_forest(train, balanced=True), test), "random forest")
 
 
 @query("ml03_logistic_regression")
@@ -61,7 +61,7 @@ def ml03(spark, d):
 @query("ml04_linear_svm")
 def ml04(spark, d):
     train, _, test = frame(spark, d)
-    model, calibration = M.linear_svm(train, max_iter=30)
+    model, calibration = M.linear_svm(train)
     return M.all_metrics(M.apply_platt(calibration, M.svm_margin(model, test), "margin"), "linear svm")
 
 
@@ -81,7 +81,7 @@ def ml06(spark, d):
     v = persist_table(resample.stratified_split(vectors(spark, d).withColumn("isFraud", (F.col("label") == 0).cast("int")).drop("label"), "vec_id", "isFraud"), "dense")
     flat = v.select("vec_id", "isFraud", "part", *[F.col("x")[i].alias(f"x{i}") for i in range(64)])
     ready = M.assemble(flat, [f"x{i}" for i in range(64)])
-    model = M.dense_network(ready.where(F.col("part") == "train"), 64, (32, 16), max_iter=30)
+    model = M.dense_network(ready.where(F.col("part") == "train"), 64)
     return M.all_metrics(M.score(model, ready.where(F.col("part") == "test")), "dense network")
 
 
@@ -174,7 +174,7 @@ def ml15(spark, d):
 @query("fs07_forest_importance")
 def fs07(spark, d):
     train, _, _ = frame(spark, d)
-    return M.forest_importance(train, FEATURES, trees=20, depth=6)
+    return M.forest_importance(train, FEATURES)
 
 
 @query("snk04_model_registry", "SELECT count(*) AS n_rows, 'v1' AS active, 3 AS components FROM txn", "txn")

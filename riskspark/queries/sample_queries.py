@@ -44,11 +44,27 @@ def _ids(spark, d):
     return txn(spark, d).select("TransactionID", "isFraud")
 
 
+_THREE = "CASE WHEN TransactionID % 11 = 5 THEN NULL WHEN TransactionID % 7 = 2 THEN 2 ELSE isFraud END"
+_CLASSES = f"""c AS (SELECT TransactionID, {_THREE} AS y FROM txn),
+r AS (SELECT TransactionID, y, row_number() OVER (PARTITION BY y ORDER BY md5('42:' || TransactionID), TransactionID) - 1 AS rk, count(*) OVER (PARTITION BY y) AS nc FROM c)"""
+
+
+def _three(spark, d):
+    """Ids with three classes and rows without label."""
+    three = F.when(F.col("TransactionID") % 11 == 5, F.lit(None).cast("int")).when(F.col("TransactionID") % 7 == 2, F.lit(2)).otherwise(F.col("isFraud"))
+    return txn(spark, d).select("TransactionID", three.alias("y"))
+
+
 @query("sp03_stratified_split", f"WITH {_HASHED} SELECT TransactionID, isFraud, CASE WHEN rk < floor(0.8::DOUBLE * nc) THEN 'train' ELSE 'test' END AS part FROM h", "txn")
 def sp03(spark, d):
     return resample.stratified_split(_ids(spark, d), "TransactionID", "isFraud")
 
 
+@query("sp03_split_without_label", f"WITH {_CLASSES} SELECT TransactionID, y, CASE WHEN rk < floor(0.8::DOUBLE * nc) THEN 'train' ELSE 'test' END AS part FROM r", "txn")
+def sp03_null(spark, d):
+    return resample.stratified_split(_three(spark, d), "TransactionID", "y")
+
+
 @query("sp04_series_split", """SELECT hour_window, CASE WHEN row_number() OVER (ORDER BY hour_window) <= floor(0.8::DOUBLE * count(*) OVER ()) THEN 'train' ELSE 'test' END AS part FROM hourly""", "hourly")
 def sp04(spark, d):
     return resample.series_split(timeseries.hourly(txn(spark, d)), "hour_window").select("hour_window", "part")
@@ -64,9 +80,11 @@ def sp05_fraction(spark, d):
     return resample.sample_fraction(_ids(spark, d), "TransactionID", 0.05)
 
 
-@query("sp06_stratified_sample", f"WITH {_HASHED} SELECT TransactionID, isFraud FROM h WHERE rk < floor(2500.0::DOUBLE * nc / n)", "txn")
+@query("sp06_stratified_sample", f"""WITH {_CLASSES}, s AS (SELECT y, count(*) AS nc, sum(count(*)) OVER () AS n FROM c GROUP BY y),
+q AS (SELECT y, 2501 * nc // n AS f, row_number() OVER (ORDER BY 2501 * nc % n DESC, y NULLS LAST) AS place, 2501 - sum(2501 * nc // n) OVER () AS spare FROM s)
+SELECT TransactionID, r.y FROM r JOIN q ON r.y IS NOT DISTINCT FROM q.y WHERE rk < f + CAST(place <= spare AS INT)""", "txn")
 def sp06(spark, d):
-    return resample.stratified_sample(_ids(spark, d), "TransactionID", "isFraud", 2500)
+    return resample.stratified_sample(_three(spark, d), "TransactionID", "y", 2501)
 
 
 @query("sp07_capped_sample", f"""WITH {_HASHED}, t AS (SELECT least(count(*) FILTER (WHERE isFraud = 1), 300) AS k FROM h)
@@ -103,6 +121,11 @@ def sp10(spark, d):
     return resample.assign_folds(_ids(spark, d), "TransactionID", 5, "isFraud")
 
 
+@query("sp10_folds_without_label", f"WITH {_CLASSES} SELECT TransactionID, y, CAST(rk % 5 AS INT) AS fold FROM r", "txn")
+def sp10_null(spark, d):
+    return resample.assign_folds(_three(spark, d), "TransactionID", 5, "y")
+
+
 @query("sp10_plain_folds", f"WITH {_HASHED} SELECT TransactionID, isFraud, CAST(rk_all % 3 AS INT) AS fold FROM h", "txn")
 def sp10_plain(spark, d):
     return resample.assign_folds(_ids(spark, d), "TransactionID", 3)

@@ -192,3 +192,19 @@ def test_records_and_checks(spark):
     assert [tuple(r) for r in tables.parse_records(lines, "line").collect()] == [(100.0, 0.0, 0.0, 0.0, ""), (1.0, 0.0, 0.0, 0.0, "a")]
     with pytest.raises(ValueError, match="absent"):
         tables.check_table(lines, ["isFraud"], None)
+
+
+def test_samples_and_folds_keep_rows_without_label(spark):
+    from riskspark.operators import resample
+
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else i % 3) for i in range(100)], "id bigint, y int")
+    folds = resample.assign_folds(df, "id", 4, "y").collect()
+    assert sorted(r["id"] for r in folds) == list(range(100))
+    for y in (None, 0, 1, 2):
+        sizes = [sum(r["y"] == y and r["fold"] == f for r in folds) for f in range(4)]
+        assert max(sizes) - min(sizes) <= 1
+    parts = resample.stratified_split(df, "id", "y").collect()
+    assert sum(r["part"] == "train" and r["y"] is None for r in parts) == 8
+    for n in (7, 50, 99, 100, 500):
+        assert resample.stratified_sample(df, "id", "y", n).count() == min(n, 100)
+    assert resample.stratified_sample(df.limit(0), "id", "y", 5).count() == 0
