@@ -23,8 +23,8 @@ from riskspark.llm.repeat_jobs import Search, repeated_regions
 
 def word_search(length: int) -> Search:
     """Passes for windows of ``length`` words: a core of four words, then single windows."""
-    if length < 6:
-        raise ValueError("windows must have six words or more")
+    if not 6 <= length <= 60_000:
+        raise ValueError("windows must have from 6 to 60,000 words")
     return Search("words", length, (length - repeats.Words.GRAM + 1, 1), earlier=True)
 
 
@@ -54,7 +54,7 @@ class Shard:
 
     @property
     def full(self) -> bool:
-        return self._chars >= self._most or len(self.texts) >= 2000
+        return self._chars >= self._most or len(self.texts) >= 400
 
     def removed(self):
         """(doc, words, begin, end) with the merged removed stretches of each text."""
@@ -95,7 +95,7 @@ def _joined_spans(begin: np.ndarray, end: np.ndarray, first: np.ndarray):
     return zip(b.tolist(), e.tolist(), last.tolist())
 
 
-def kept_words(rows: DataFrame, length: int = 13, automaton_chars: int = 1_500_000, with_kept: bool = True) -> DataFrame:
+def kept_words(rows: DataFrame, length: int = 13, automaton_chars: int = 400_000, with_kept: bool = True) -> DataFrame:
     """(_row, _doc, n_words, n_removed, kept, kept_sha256), and ``rest`` where there is one, for keyed rows; see ``remove_passages``."""
     each = passages(rows.select(ROW, DOC, "text"), length).groupBy(ROW).agg(F.collect_list(F.struct("begin", "end", "first")).alias("found"))
     also = ["rest"] if "rest" in rows.columns else []
@@ -138,7 +138,7 @@ def kept_words(rows: DataFrame, length: int = 13, automaton_chars: int = 1_500_0
 
 
 def remove_passages(
-    docs: DataFrame, length: int = 13, text: str = "text", key: str = "doc_id", automaton_chars: int = 1_500_000, with_kept: bool = True
+    docs: DataFrame, length: int = 13, text: str = "text", key: str = "doc_id", automaton_chars: int = 400_000, with_kept: bool = True
 ) -> DataFrame:
     """(key, n_words, n_removed, kept, kept_sha256): texts without words that an earlier document already has.
 

@@ -29,13 +29,13 @@ class Search:
     earlier: bool
 
     def sequence(self, text: bytes):
-        return {"bytes": repeats.Bytes, "words": repeats.Words}[self.unit](text)
+        return repeats.Bytes(text) if self.unit == "bytes" else repeats.Words(text.split())
 
 
 _NODE = T.StructType(
     [T.StructField(n, t()) for n, t in (
         ("core", T.LongType), ("full1", T.LongType), ("full2", T.LongType), ("whole", T.BooleanType),
-        (ROW, T.LongType), (DOC, T.LongType), ("at", T.IntegerType), ("off", T.IntegerType),
+        (ROW, T.LongType), (DOC, T.LongType), ("at", T.IntegerType), ("off", T.LongType),
     )]
 )
 _CORE = T.StructType([T.StructField("core", T.LongType()), T.StructField(DOC, T.LongType())])
@@ -90,7 +90,7 @@ def _nodes(search: Search, rows: DataFrame, size: int, parent: int | None = None
                 m = x["at"].size
                 if m:
                     some.append((x["core"], x["full1"], x["full2"], x["whole"], np.full(m, row, np.int64),
-                                 np.full(m, doc if doc is not None else 0, np.int64), x["at"].astype(np.int32), x["off"].astype(np.int32)))
+                                 np.full(m, doc if doc is not None else 0, np.int64), x["at"].astype(np.int32), x["off"]))
                     n += m
                 if n >= _FLUSH:
                     yield flush(some)
@@ -113,6 +113,7 @@ def repeated_regions(rows: DataFrame, search: Search) -> DataFrame:
     ``rows`` is (_row, _doc, text). Each unit covered by a repeated window lies in some region, and no other unit does.
     ``first`` is the smallest document id that holds the region. Tables between the passes are stored, so a lost executor
     costs tasks, never a pass; frequent keys are counted before they are moved and their join partitions can be split.
+    Joins hash the side of distinct keys, of which no key is frequent, so the many nodes need no sorting.
     """
     if search.earlier:
         rows = rows.where(F.col(DOC).isNotNull())
@@ -121,7 +122,7 @@ def repeated_regions(rows: DataFrame, search: Search) -> DataFrame:
         last = size == 1
         if parent is None:
             cores = stored(_repeated(search, _anchor_cores(search, rows), ["core"], "_first_core"), "cores")
-            nodes = stored(_nodes(search, rows.select(ROW, DOC, "text"), size).join(cores, "core"), "nodes")
+            nodes = stored(_nodes(search, rows.select(ROW, DOC, "text"), size).join(cores.hint("shuffle_hash"), "core"), "nodes")
         else:
             texts_and_picks = packed(rows).join(picks.groupBy(ROW).agg(F.collect_list(F.struct("at", "off")).alias("picks")), ROW)
             nodes = stored(_nodes(search, texts_and_picks.select(ROW, DOC, "z", "picks"), size, parent), "nodes")
@@ -129,8 +130,8 @@ def repeated_regions(rows: DataFrame, search: Search) -> DataFrame:
             if not last:
                 cores = stored(_repeated(search, nodes, ["core"], "_first_core"), "cores")
         fulls = stored(_repeated(search, nodes.where("whole"), ["full1", "full2"], "first"), "fulls")
-        judged = nodes if last or parent is None else nodes.join(cores, "core")
-        judged = judged.join(fulls.withColumn("whole", F.lit(True)), ["full1", "full2", "whole"], "left")
+        judged = nodes if last or parent is None else nodes.join(cores.hint("shuffle_hash"), "core")
+        judged = judged.join(fulls.withColumn("whole", F.lit(True)).hint("shuffle_hash"), ["full1", "full2", "whole"], "left")
         done = (F.col("first") < F.col(DOC)) if search.earlier else F.col("first").isNotNull()
         judged = judged.withColumn("done", F.coalesce(done, F.lit(False)))
         if not last:
@@ -143,15 +144,14 @@ def repeated_regions(rows: DataFrame, search: Search) -> DataFrame:
         forget(*old)
         if picks is not None:
             forget(picks)
-        region = F.struct(
-            (F.col("at") - F.col("off") - (size - 1)).alias("begin"), (F.col("at") - F.col("off") + search.length).alias("end")
-        )
+        start = F.col("at") - F.col("off").bitwiseAND(0xFFFF)
+        region = F.struct((start - (size - 1)).alias("begin"), (start + search.length).alias("end"))
         found.append(stored(judged.where("done").select(ROW, region.alias("r"), "first").select(ROW, "r.begin", "r.end", "first"), "regions"))
         if last:
             forget(judged)
             break
         waiting = stored(judged.where("open").select("core").distinct(), "waiting")
-        others = judged.where(~F.col("open")).join(waiting, "core", "left_semi")
+        others = judged.where(~F.col("open")).join(waiting.hint("shuffle_hash"), "core", "left_semi")
         place = F.struct(DOC, ROW, "at", "off")
         witness = others.where("whole").groupBy("full1", "full2").agg(F.min(place).alias("p")).select("p.*")
         picks = stored(

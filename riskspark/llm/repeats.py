@@ -74,16 +74,18 @@ class Bytes:
 
 
 class Words:
-    """A text as words between ASCII white space."""
+    """A text as words between ASCII white space; words are hashed when first needed."""
 
     GRAM = 4
 
-    def __init__(self, text: bytes):
-        self.words = text.split()
+    def __init__(self, words: list[bytes]):
+        self.words = words
         self.n = len(self.words)
-        self._levels = [np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, self.words)), "<u8").reshape(-1, 2)]
+        self._levels: list[np.ndarray] = []
 
     def _level(self, j: int) -> np.ndarray:
+        if not self._levels:
+            self._levels.append(np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, self.words)), "<u8").reshape(-1, 2))
         while len(self._levels) <= j:
             p, half = self._levels[-1], 1 << (len(self._levels) - 1)
             self._levels.append(mixed(p[:-half] * _LEFT + p[half:] * _RIGHT) if p.shape[0] > half else p[:0])
@@ -93,44 +95,52 @@ class Words:
         return self._level(2)[a:b, 0]
 
     def keys(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """(n, 2) keys of regions of one common length."""
+        """(n, 2) keys of regions of one common length. Words outside of them are left alone."""
         if not begin.size:
             return np.empty((0, 2), np.uint64)
+        if not self._levels:
+            first, last = merged(begin, end)
+            if 2 * int((last - first).sum()) < self.n:
+                part = Words([w for a, b in zip(first.tolist(), last.tolist()) for w in self.words[a:b]])
+                part._level(0)
+                size = last - first
+                at = begin + (np.cumsum(size) - size - first)[np.searchsorted(first, begin, "right") - 1]
+                return part.keys(at, at + (end - begin))
         size = int(end[0] - begin[0])
         j = size.bit_length() - 1
         p = self._level(j)
         return mixed(p[begin] * _RIGHT + p[end - (1 << j)] * _LEFT + np.uint64(size))
 
 
+#: A node's first offset and the offsets that occur in its anchor's run, as one number.
+def packed_offsets(off: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return off | low << 16 | high << 32
+
+
 def nodes(seq, length: int, width: int, size: int, pick: tuple[np.ndarray, np.ndarray, int] | None = None) -> dict[str, np.ndarray]:
-    """Nodes of ``size`` offsets with their keys: at all anchors, or inside the picked (anchor, first offset, size) nodes.
+    """Nodes of ``size`` offsets with their keys: at all anchors, or inside the picked (anchor, packed offsets, size) nodes.
 
-    Returns ``at`` (anchor), ``off`` (first offset), ``core``, ``full1``, ``full2`` and ``whole`` (whether the full reach
+    Returns ``at`` (anchor), ``off`` (packed offsets), ``core``, ``full1``, ``full2`` and ``whole`` (whether the full reach
     lies inside the text; its keys are 0 otherwise). Only offsets that occur in the anchor's run are given out.
     """
-    at, lo, hi = runs(seq.order, max(0, seq.n - length + 1), width)
     if pick is None:
-        off = np.zeros(at.size, np.int64)
+        at, lo, hi = runs(seq.order, max(0, seq.n - length + 1), width)
+        off, low, high = np.zeros(at.size, np.int64), at - hi, at - lo
     else:
-        anchors, first, parent = pick
-        i = np.searchsorted(at, anchors)
+        anchors, known, parent = pick
         steps = np.arange(0, parent, size)
         at = np.repeat(anchors, steps.size)
-        off = (first[:, None] + steps).ravel()
-        low, high = np.repeat(at_minus(anchors, hi[i]), steps.size), np.repeat(at_minus(anchors, lo[i]), steps.size)
-        ok = (off <= high) & (off + size - 1 >= low) & (off < width)
-        at, off = at[ok], off[ok]
+        off = ((known & 0xFFFF)[:, None] + steps).ravel()
+        low, high = np.repeat(known >> 16 & 0xFFFF, steps.size), np.repeat(known >> 32, steps.size)
+        ok = (off <= high) & (off + size - 1 >= low)
+        at, off, low, high = at[ok], off[ok], low[ok], high[ok]
     begin, end = at - off - size + 1, at - off + length
     whole = (begin >= 0) & (end <= seq.n)
     full = np.zeros((at.size, 2), np.uint64)
     full[whole] = seq.keys(begin[whole], end[whole])
     core = full[:, 0] if size == 1 else seq.keys(at - off, at - off - size + 1 + length)[:, 0]
-    return {"at": at, "off": off, "core": core.view(np.int64) if core.flags.c_contiguous else core.copy().view(np.int64),
-            "full1": full[:, 0].copy().view(np.int64), "full2": full[:, 1].copy().view(np.int64), "whole": whole}
-
-
-def at_minus(at: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return at - starts
+    signed = lambda x: np.ascontiguousarray(x).view(np.int64)
+    return {"at": at, "off": packed_offsets(off, low, high), "core": signed(core), "full1": signed(full[:, 0]), "full2": signed(full[:, 1]), "whole": whole}
 
 
 def merged(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -22,8 +22,8 @@ from riskspark.llm.repeat_jobs import Search, repeated_regions
 
 def byte_search(length: int) -> Search:
     """Passes for a threshold of ``length`` bytes: the widest offset range is a power of two and leaves a core of a third."""
-    if length < 24:
-        raise ValueError("the threshold must be 24 bytes or more")
+    if not 24 <= length <= 90_000:
+        raise ValueError("the threshold must be from 24 to 90,000 bytes")
     width = 1 << ((length * 2 // 3).bit_length() - 1)
     sizes = [width]
     while sizes[-1] > 1:
