@@ -19,7 +19,8 @@ def collapse_levels(column: str, top: list[str], prefix: str = "email="):
 
 
 def to_basket(df: DataFrame, top_domains: list[str], label: str | None = None) -> DataFrame:
-    """Add ``items``: the sorted distinct items of a row; a column without a value gives no item."""
+    """Add ``items``: the sorted distinct items of a row; a column without a value gives no item,
+    except that a missing domain counts with the rare ones as ``email=other``."""
     parts = []
     for c in ("ProductCD", "card4", "card6"):
         if c in df.columns:

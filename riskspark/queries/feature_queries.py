@@ -158,8 +158,11 @@ def tr04_small(spark, d):
 
 # ---- rules ----------------------------------------------------------------------------------------------------------
 
+# a label that depends on items, so that there are rules to find
+_RISK = "k < 4 OR ProductCD = 'purchase' AND k < 12 OR card4 = 'BUILDING' AND k < 15 OR ProductCD = 'view' AND card4 = 'MACHINERY' AND k < 50"
 _LABELLED = f"""{_ITEMS.strip()},
-lab AS (SELECT TransactionID, list_sort(list_concat(items, [CASE WHEN isFraud = 1 THEN 'isFraud=Yes' ELSE 'isFraud=No' END])) AS items FROM basket),
+risk AS (SELECT TransactionID, {_RISK} AS risky FROM txn),
+lab AS (SELECT TransactionID, list_sort(list_concat(items, [CASE WHEN risky THEN 'isFraud=Yes' ELSE 'isFraud=No' END])) AS items FROM basket JOIN risk USING (TransactionID)),
 bk AS (SELECT items, count(*) AS c FROM lab GROUP BY 1),
 mask AS (SELECT unnest(range(1, 64)) AS m),
 sub AS (SELECT list_sort(list_distinct([CASE WHEN m & 1 > 0 THEN items[1] END, CASE WHEN m & 2 > 0 THEN items[2] END, CASE WHEN m & 4 > 0 THEN items[3] END,
@@ -171,8 +174,12 @@ rl AS (SELECT a.items AS antecedent, b.items AS consequent, x.support, x.support
 fr AS (SELECT * FROM rl WHERE confidence >= 0.05 AND contains(consequent, 'isFraud=Yes'))"""
 
 
+def risky(spark, d):
+    return txn(spark, d).withColumn("isFraud", F.coalesce(F.expr(_RISK), F.lit(False)).cast("int"))
+
+
 def labelled_baskets(spark, d):
-    t = txn(spark, d)
+    t = risky(spark, d)
     return rules.to_basket(t, rules.fit_top_levels(t, "P_emaildomain", 6), "isFraud")
 
 
@@ -201,7 +208,7 @@ def st05(spark, d):
 @query("tr07_rule_risk_score", f"""WITH {_LABELLED}, tp AS (SELECT antecedent FROM fr ORDER BY round(fr.lift, 9) DESC, round(confidence, 9) DESC, antecedent, consequent LIMIT 10)
 SELECT TransactionID, CAST((SELECT count(*) FROM tp WHERE list_has_all(items, string_split(antecedent, ';'))) AS INT) AS association_risk_score FROM basket""", "txn")
 def tr07(spark, d):
-    t = txn(spark, d)
+    t = risky(spark, d)
     return stages.RuleRiskScore().fit(t).transform(t).select("TransactionID", "association_risk_score")
 
 

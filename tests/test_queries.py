@@ -30,3 +30,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLES and (os.environ.get("RISKSPARK_ALL") or n in SOME)])
 def test_query_equals_sql(spark, sf_dir, name):
     assert compare(QUERIES[name](spark, sf_dir), connect(sf_dir).sql(ORACLES[name])) is None
+
+
+@pytest.mark.parametrize("name,column", [("tr06_fraud_rules", "lift"), ("st05_top_rules", "lift"), ("tr07_rule_risk_score", "association_risk_score")])
+def test_rules_are_found(spark, name, column):
+    assert QUERIES[name](spark, "/root/testdata/sf0.01").select(column).distinct().count() >= 3
