@@ -3,7 +3,7 @@
 A template is a run of licence words with a mandatory key phrase in it. The index holds, for each template, the word of its
 key phrase with the highest inverse document frequency over the scanned texts, and its offset. A text's words are looked up
 there; each posting gives the place where the template would start; the key phrase is verified word by word at that place,
-and the other template words are intersected by their position relative to it.
+and the other template words are intersected by their position relative to it, all inside the row of the text.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.llm.base import DOC, ROW, keyed, stored
-from riskspark.llm.phrases import places, rarest_words, split_words
+from riskspark.llm.phrases import places, rarest_words
 
 #: Phrases and labels that a scan must report.
 BASE = [
@@ -58,18 +58,10 @@ def scan(docs: DataFrame, base=BASE, notices=NOTICES, text: str = "text", key: s
     """
     rows = keyed(docs, text, key)
     known = templates(rows.sparkSession, base, notices)
-    found = stored(places(rows, rarest_words(known.select("id", "arr"), rows)), "places")
+    phrases = rarest_words(known.select("id", "arr"), rows).join(known.select("id", "rest"), "id")
+    found = stored(places(rows, phrases), "places")
     hit = found.where(F.col("id").isNotNull()).join(F.broadcast(known), "id")
-    longer = hit.where(F.size("rest") > 0).select(ROW, "id", "start", F.size("arr").alias("key"), "rest")
-    wanted = longer.select(
-        ROW, "id", "start", (F.col("key") + F.size("rest")).alias("all"), F.col("key"), F.posexplode("rest").alias("off", "token")
-    ).select(ROW, "id", "start", "all", "key", (F.col("start") + F.col("key") + F.col("off")).alias("pos"), "token")
-    files = longer.select(ROW).distinct()
-    there = split_words(rows).join(files, ROW, "left_semi").select(ROW, F.posexplode("words").alias("pos", "token"))
-    more = wanted.join(there, [ROW, "pos", "token"]).groupBy(ROW, "id", "start").agg(F.count(F.lit(1)).alias("more"))
-    scored = hit.join(more, [ROW, "id", "start"], "left").withColumn(
-        "share", (F.size("arr") + F.coalesce("more", F.lit(0))) / (F.size("arr") + F.size("rest"))
-    )
+    scored = hit.withColumn("share", (F.size("arr") + F.col("more")) / (F.size("arr") + F.size("rest")))
     mine = F.col("base")
     each = scored.groupBy(ROW).agg(
         F.count(F.when(mine, F.lit(1))).alias("n_base"),

@@ -40,27 +40,33 @@ def rarest_words(phrases: DataFrame, rows: DataFrame, most_bytes: int = BROADCAS
 
 
 def places(rows: DataFrame, index: DataFrame, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(_row, _doc, n, id, start): every place of every phrase, and one line with a null ``id`` for each text.
+    """(_row, _doc, n, id, start, more): every place of every phrase, and one line with a null ``id`` for each text.
 
-    ``index`` is (id, arr, token, off). It is sent to all tasks if its stored size allows; a larger one is joined by a
-    shuffle of the exploded words, and candidates meet their text again to be compared.
+    ``index`` is (id, arr, token, off, rest); ``more`` counts the words of ``rest`` that stand at their places after the
+    phrase. The index is sent to all tasks if its stored size allows; a larger one is joined by a shuffle of the exploded
+    words, and candidates meet their text again to be compared.
     """
-    index = stored(index.select("id", "arr", "token", "off"), "index")
+    rest = F.col("rest") if "rest" in index.columns else F.array().cast("array<string>")
+    index = stored(index.select(F.col("id").cast("long").alias("id"), "arr", "token", "off", rest.alias("rest")), "index")
     split = split_words(rows)
     start = F.col("pos") - F.col("off")
     inside = (start >= 0) & (start + F.size("arr") <= F.col("n"))
     same = F.when(inside, F.slice("words", start + 1, F.size("arr")) == F.col("arr")).otherwise(F.lit(False))
+    after = F.slice("words", F.col("start") + F.size("arr") + 1, F.size("rest"))
+    matched = F.filter(F.arrays_zip(after.alias("w"), F.col("rest").alias("t")), lambda p: p["w"] == p["t"])
+    more = F.when(F.size("rest") > 0, F.size(matched)).otherwise(0).alias("more")
     if bytes_of(index) <= most_bytes:
+        empty = F.array().cast("array<string>")
         none = rows.sparkSession.range(1).select(
-            F.lit(None).cast("long").alias("id"), F.array().cast("array<string>").alias("arr"), F.lit("").alias("token"), F.lit(0).alias("off")
+            F.lit(None).cast("long").alias("id"), empty.alias("arr"), F.lit("").alias("token"), F.lit(0).alias("off"), empty.alias("rest")
         )
-        every = index.select(F.col("id").cast("long").alias("id"), "arr", "token", "off").unionByName(none)
         tokens = split.select(ROW, DOC, "n", "words", F.posexplode(F.concat("words", F.array(F.lit("")))).alias("pos", "token"))
-        found = tokens.join(F.broadcast(every), "token")
-        return found.where(F.col("id").isNull() | same).select(ROW, DOC, "n", "id", F.when(F.col("id").isNotNull(), start).alias("start"))
+        found = tokens.join(F.broadcast(index.unionByName(none)), "token").where(F.col("id").isNull() | same)
+        found = found.select(ROW, DOC, "n", "words", "id", "arr", "rest", F.when(F.col("id").isNotNull(), start).alias("start"))
+        return found.select(ROW, DOC, "n", "id", "start", more)
     tokens = split.select(ROW, "n", F.posexplode("words").alias("pos", "token"))
     maybe = tokens.join(index.select("id", F.size("arr").alias("len"), "token", "off"), "token")
     maybe = maybe.where((start >= 0) & (start + F.col("len") <= F.col("n"))).select(ROW, "id", "pos")
-    kept = maybe.join(index, "id").join(split, ROW).where(same)
-    lines = split.select(ROW, DOC, "n", F.lit(None).cast("long").alias("id"), F.lit(None).cast("int").alias("start"))
-    return kept.select(ROW, DOC, "n", F.col("id").cast("long").alias("id"), start.alias("start")).unionByName(lines)
+    kept = maybe.join(index, "id").join(split, ROW).where(same).withColumn("start", start)
+    lines = split.select(ROW, DOC, "n", F.lit(None).cast("long").alias("id"), F.lit(None).cast("int").alias("start"), F.lit(0).alias("more"))
+    return kept.select(ROW, DOC, "n", "id", "start", more).unionByName(lines)
