@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from riskspark.plans.scratch import persist_table
 
 BROADCAST_ROWS = 200_000
-HOT_SHARE = 10_000  # a key is hot when it holds more than 1/HOT_SHARE of all rows, so fewer than HOT_SHARE keys are
+BROADCAST_BYTES = 64 << 20  # of the stored files
+HOT_SHARE = 10_000  # a key is hot when it holds more than 1/HOT_SHARE of all rows
+HOT_ROWS = 1_000_000  # or more rows than one task should hold
 
 
 def lookup_join(
@@ -20,6 +22,7 @@ def lookup_join(
     *,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_share: int = HOT_SHARE,
+    hot_rows: int = HOT_ROWS,
     salts: int | None = None,
     stored: bool = False,
     sizes: tuple[int, int] | None = None,
@@ -27,8 +30,9 @@ def lookup_join(
 ) -> DataFrame:
     """Left join on ``keys`` (NULL matches NULL). ``rows`` names the per-key row count in ``stats``.
 
-    Statistics of at most ``broadcast_rows`` rows are broadcast after that count is checked. Larger ones are shuffled;
-    rows of hot keys are spread over ``salts`` by a hash of ``spread_by`` and only the hot statistics are repeated.
+    Statistics of at most ``broadcast_rows`` rows and ``BROADCAST_BYTES`` bytes are broadcast after both are checked. Larger
+    ones are shuffled; a key is hot beyond a share of all rows or beyond ``hot_rows``, and its rows are spread by a hash of
+    ``spread_by`` over as many salts as it needs to stay below that, up to ``salts``. Only hot statistics are repeated.
     ``stored`` says that ``stats`` is a stored table already, ``sizes`` (keys, rows) that its size is known as well.
     """
     if salts is None:  # enough to spread one key over all reduce tasks
@@ -44,13 +48,17 @@ def lookup_join(
         part = F.col(k).eqNullSafe(F.col(r))
         on = part if on is None else on & part
     extra = [c for c in stats.columns if c not in keys]
-    if size <= broadcast_rows:
+    if size <= broadcast_rows and file_bytes(table) <= BROADCAST_BYTES:
         return fact.join(F.broadcast(side), on, "left").select(*fact.columns, *extra)
-    is_hot = F.col(rows) * hot_share > F.lit(total)
-    hot_keys = side.where(is_hot).select(*renamed.values(), F.lit(True).alias("_hot"))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    salted_fact = fact.join(F.broadcast(hot_keys), on, "left").withColumn("_salt", salt).select(*fact.columns, "_salt")
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    limit = max(1.0, min(total / hot_share, float(hot_rows)))
+    needed = F.least(F.lit(salts), F.ceil(F.col(rows) / F.lit(limit))).cast("int")
+    hot_keys = side.where(F.col(rows) > limit).select(*renamed.values(), needed.alias("_salts"))
+    salt = F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_salts")).cast("int"), F.lit(0))
+    if salts <= 1:
+        salt = F.lit(0)
+    small = F.broadcast(hot_keys) if total / limit <= broadcast_rows else hot_keys
+    salted_fact = fact.join(small, on, "left").withColumn("_salt", salt).select(*fact.columns, "_salt")
+    copies = F.when(F.col(rows) > limit, F.sequence(F.lit(0), needed - 1)).otherwise(F.array(F.lit(0)))
     salted_side = side.withColumn("_side_salt", F.explode(copies))
     return (
         salted_fact.join(salted_side, on & (F.col("_salt") == F.col("_side_salt")), "left")
@@ -58,6 +66,11 @@ def lookup_join(
     )
 
 
+def file_bytes(df: DataFrame) -> int:
+    """Size of the files that a stored table reads, as the planner knows it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def stored_sizes(stored: DataFrame, part: str, rows: str) -> dict[str, tuple[int, int]]:
     """(keys, rows) of each part of one stored table that holds several lookups, in one job."""
     g = stored.groupBy(part).agg(F.count("*").alias("keys"), F.sum(rows).alias("rows")).collect()

@@ -27,13 +27,9 @@ def window_number():
     return (F.expr(f"timestampdiff(SECOND, timestamp_ntz'{ORIGIN}', cast(window_start as timestamp_ntz))") / 3600).cast("bigint").alias("hour_window")
 
 
-# windows still open at the end of the data are not given out
-_CLOSED = f"hour_window * 3600 + 3600 <= (SELECT epoch(max(ts)) - epoch(TIMESTAMP '{ORIGIN}') - 3600 FROM events)"
-
-
-@query("str01_hourly_stream", f"SELECT hour_window, total, fraud_count, round(fraud_rate, 6) AS fraud_rate FROM hourly WHERE {_CLOSED}", "hourly")
+@query("str01_hourly_stream", "SELECT hour_window, total, fraud_count, round(fraud_rate, 6) AS fraud_rate FROM hourly", "hourly")
 def str01(spark, d):
-    out = streams.run_available(streams.hourly_stream(event_stream(spark, d)), tag="hourly")
+    out = streams.run_latest(streams.hourly_stream(event_stream(spark, d)), ["window_start"], "hourly")
     return rounded(out.select(window_number(), "total", "fraud_count", "fraud_rate"), "fraud_rate")
 
 
@@ -66,10 +62,10 @@ def str04(spark, d):
     return rounded(out, "avg_p")
 
 
-@query("str05_stream_anomalies", f"""
+@query("str05_stream_anomalies", """
 WITH h AS (SELECT *, round_even(fraud_rate, 4) AS rate4 FROM hourly), s AS (SELECT avg(rate4) AS mu, stddev_samp(rate4) AS sd FROM h)
-SELECT hour_window, round_even((rate4 - mu) / (sd + 1e-9), 4) AS z_score, CAST(round_even((rate4 - mu) / (sd + 1e-9), 4) > 2.5 AS INT) AS is_anomaly FROM h, s WHERE {_CLOSED}""", "hourly")
+SELECT hour_window, round_even((rate4 - mu) / (sd + 1e-9), 4) AS z_score, CAST(round_even((rate4 - mu) / (sd + 1e-9), 4) > 2.5 AS INT) AS is_anomaly FROM h, s""", "hourly")
 def str05(spark, d):
     baseline = timeseries.rate_baseline(timeseries.hourly(txn(spark, d)))
-    out = streams.run_available(streams.anomaly_stream(streams.hourly_stream(event_stream(spark, d)), baseline), tag="anomalies")
+    out = streams.run_latest(streams.anomaly_stream(streams.hourly_stream(event_stream(spark, d)), baseline), ["window_start"], "anomalies")
     return out.select(window_number(), "z_score", "is_anomaly")

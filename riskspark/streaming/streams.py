@@ -12,8 +12,8 @@ from riskspark.operators.behavior import VELOCITY_WINDOWS, velocity
 from riskspark.plans.scratch import scratch_path
 
 
-def run_available(stream: DataFrame, mode: str = "append", tag: str = "stream", sink=None) -> DataFrame:
-    """Process all data that is there, then stop; returns what was written as a table."""
+def run_available(stream: DataFrame, mode: str = "append", tag: str = "stream", sink=None, schema=None) -> DataFrame:
+    """Process all data that is there, then stop; returns what was written as a table (empty if nothing was)."""
     spark = stream.sparkSession
     base = scratch_path(spark, tag)
     out = f"{base}/out"
@@ -23,7 +23,26 @@ def run_available(stream: DataFrame, mode: str = "append", tag: str = "stream",
     else:
         query = writer.foreachBatch(lambda df, batch: sink(df, batch, out)).start()
     query.awaitTermination()
-    return spark.read.parquet(out)
+    try:
+        return spark.read.parquet(out)
+    except AnalysisException:
+        return spark.createDataFrame([], schema or stream.schema)
+
+
+def run_latest(stream: DataFrame, keys: list[str], tag: str = "stream") -> DataFrame:
+    """As ``run_available``, with the last state of every key: windows that are still open at the end come out too.
+
+    Each batch writes the rows that it changed; a batch that is run again replaces its own.
+    """
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+
+    def write(df: DataFrame, batch: int, out: str) -> None:
+        df.write.mode("overwrite").parquet(_batch_path(out, batch))
+
+    changed = run_available(stream, "update", tag, write, schema)
+    rest = [c for c in stream.columns if c not in keys]
+    last = changed.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_last"))
+    return last.select(*keys, "_last.*").select(*stream.columns)
 
 
 def _batch_path(out: str, batch: int) -> str:
@@ -31,7 +50,10 @@ def _batch_path(out: str, batch: int) -> str:
 
 
 def hourly_stream(events: DataFrame, time: str = "ts", label: str = "isFraud", late: str = "1 hour", seconds: int = 3600) -> DataFrame:
-    """Tumbling windows, each given out once the watermark has passed its end; later rows for it are dropped."""
+    """Tumbling windows; rows that come after the watermark has passed the end of their window are dropped.
+
+    In append mode a window is given out once it has closed, in update mode whenever it has changed.
+    """
     w = events.withWatermark(time, late).groupBy(F.window(time, f"{seconds} seconds").alias("w")).agg(
         F.count("*").alias("total"), F.sum(label).cast("bigint").alias("fraud_count"))
     return w.select(F.col("w.start").alias("window_start"), "total", "fraud_count", guarded_ratio("fraud_count", "total").alias("fraud_rate"))
@@ -68,18 +90,21 @@ def scoring_sink(model, keep: list[str], score):
 class VelocityStream:
     """Velocity counts per micro-batch with the recent rows kept as a table in the shared folder.
 
-    Kept rows are partitioned by hour and batch: a batch lists and reads the hours of the last ``max(windows)`` seconds
-    only, and a batch that is run again replaces what it wrote. Counting uses the batch operator, which splits hot values.
-    Rows older than the newest earlier row by more than ``lateness`` seconds are not counted but written to the ``late``
-    table. Times are whole seconds.
+    Kept rows are partitioned by hour and batch: a batch reads the hours of the last ``max(windows)`` seconds only, and a
+    batch that is run again replaces what it wrote. Hours that no later batch can need (older than the longest window and
+    the lateness before the newest row of the batch before) are deleted. Counting uses the batch operator, which splits hot
+    values. Rows older than the newest earlier row by more than ``lateness`` seconds are not counted but written to the
+    ``late`` table. A row that comes later, but within the lateness, is counted by itself and by rows of its own and later
+    batches; counts that were written before it came stay as they are. With ``ahead``, rows more than so many seconds after
+    the newest earlier row go to the ``wild`` table and do not move the clock. Times are whole seconds.
     """
 
     def __init__(self, spark: SparkSession, entities: list[str], time: str, id_col: str, windows: list[int] = VELOCITY_WINDOWS,
-                 lateness: int = 3600, base: str | None = None, **velocity_options):
+                 lateness: int = 3600, base: str | None = None, ahead: int | None = None, **velocity_options):
         self.spark, self.entities, self.time, self.id_col = spark, entities, time, id_col
         self.windows, self.lateness, self.options = windows, lateness, velocity_options
         base = base or scratch_path(spark, "velocity-state")
-        self.state, self.late, self.newest = f"{base}/rows", f"{base}/late", f"{base}/newest"
+        self.state, self.late, self.newest, self.wild, self.ahead = f"{base}/rows", f"{base}/late", f"{base}/newest", f"{base}/wild", ahead
 
     def _read(self, path: str, schema: T.StructType | str, root: str | None = None) -> DataFrame | None:
         reader = self.spark.read.schema(schema)
@@ -93,9 +118,18 @@ class VelocityStream:
     def _history(self, rows: DataFrame, batch: int, first: int, last: int) -> DataFrame | None:
         """Kept rows of earlier batches in the hours ``first`` to ``last``."""
         schema = T.StructType([*rows.schema.fields, T.StructField("hour", T.LongType()), T.StructField("batch", T.LongType())])
-        hours = ",".join(str(h) for h in range(first, last + 1))
-        kept = self._read(f"{self.state}/hour={{{hours}}}", schema, self.state)
-        return None if kept is None else kept.where(F.col("batch") < batch).select(*rows.columns)
+        kept = self._read(self.state, schema)
+        return None if kept is None else kept.where(F.col("hour").between(first, last) & (F.col("batch") < batch)).select(*rows.columns)
+
+    def _forget(self, before: int) -> None:
+        """Delete the kept rows of hours below ``before``."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.state)
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if files.exists(root):
+            for entry in files.listStatus(root):
+                name = entry.getPath().getName()
+                if name.startswith("hour=") and int(name[5:]) < before:
+                    files.delete(entry.getPath(), True)
 
     def __call__(self, df: DataFrame, batch: int, out: str) -> None:
         t = F.col(self.time)
@@ -107,6 +141,11 @@ class VelocityStream:
             limit = F.lit(newest - self.lateness)
             rows.where(t < limit).write.mode("overwrite").parquet(_batch_path(self.late, batch))
             fresh = rows.where(t >= limit)
+            if self.ahead is not None:
+                top = F.lit(newest + self.ahead)
+                fresh.where(t > top).write.mode("overwrite").parquet(_batch_path(self.wild, batch))
+                fresh = fresh.where(t <= top)
+            self._forget((newest - self.lateness - max(self.windows)) // 3600)
         low, high = fresh.agg(F.min(t), F.max(t)).first()
         top = max((x for x in (newest, high) if x is not None), default=None)
         self.spark.createDataFrame([(top,)], "newest bigint").write.mode("overwrite").parquet(_batch_path(self.newest, batch))
@@ -121,6 +160,12 @@ class VelocityStream:
         mine = fresh.select(F.col(self.id_col).alias("id"))
         counts.join(mine, "id", "left_semi").write.mode("overwrite").parquet(_batch_path(out, batch))
 
+    def _rows(self, path: str) -> int:
+        rows = self._read(path, "batch bigint")
+        return rows.count() if rows is not None else 0
+
     def late_rows(self) -> int:
-        late = self._read(self.late, "batch bigint")
-        return late.count() if late is not None else 0
+        return self._rows(self.late)
+
+    def wild_rows(self) -> int:
+        return self._rows(self.wild)
