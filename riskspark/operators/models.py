@@ -11,6 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -179,6 +180,24 @@ class WeightedEnsemble:
         self.threshold = E.best_threshold(calibrated, label).first()["threshold"]
         return self
 
+    def save(self, spark, path: str) -> None:
+        """Base models, calibration and a line of settings below ``path``."""
+        for n, m in self.models.items():
+            m.write().overwrite().save(f"{path}/models/{n}")
+        self.calibrator.write().overwrite().save(f"{path}/calibrator")
+        rows = [(n, float(self.weights[n]), float(self.threshold)) for n in self.models]
+        spark.createDataFrame(rows, "name string, weight double, threshold double").write.mode("overwrite").parquet(f"{path}/settings")
+
+    @classmethod
+    def load(cls, spark, path: str) -> "WeightedEnsemble":
+        rows = spark.read.parquet(f"{path}/settings").orderBy("name").collect()
+        out = cls({})
+        out.models = {r["name"]: DefaultParamsReader.loadParamsInstance(f"{path}/models/{r['name']}", spark) for r in rows}
+        out.calibrator = DefaultParamsReader.loadParamsInstance(f"{path}/calibrator", spark)
+        out.weights = {r["name"]: r["weight"] for r in rows}
+        out.threshold = rows[0]["threshold"]
+        return out
+
     def _blend(self) -> Column:
         total = F.lit(0.0)
         for n, w in self.weights.items():
@@ -259,6 +278,24 @@ def ridge_forecast(series: DataFrame, lags: int = 6, alpha: float = 1.0, train:
     return frame.select("hour_window", "part", F.col("target").cast("double").alias("actual"), F.greatest(F.lit(0.0), guess).alias("predicted"))
 
 
+def score_batch(model, batch: DataFrame, columns: list[str], id_col: str, label: str = LABEL, out: str = "probability", threshold: float = 0.5):
+    """Scores of a batch and, if it carries labels, one row of metrics (else None).
+
+    ``model`` is a fitted pipeline up to the features ``columns`` and the classifier; rows without label are scored, but do
+    not enter the metrics.
+    """
+    steps, classifier = model.stages[:-1], model.stages[-1]
+    made = batch
+    for step in steps:
+        made = step.transform(made)
+    has_label = label in batch.columns
+    scored = score(classifier, assemble(made, columns, label=label), "_score").withColumnRenamed("_score", out)
+    kept = scored.select(id_col, *([label] if has_label else []), out, (F.col(out) > threshold).cast("int").alias("prediction"))
+    if not has_label:
+        return kept, None
+    return kept, all_metrics(kept.where(F.col(label).isNotNull()), "batch", label, out, threshold)
+
+
 # ---- reports --------------------------------------------------------------------------------------------------------
 
 def all_metrics(df: DataFrame, name: str, label: str = LABEL, p: str = "p", threshold: float = 0.5) -> DataFrame:

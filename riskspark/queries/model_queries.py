@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from riskspark.operators import evaluate as E
@@ -154,6 +154,69 @@ def ml13(spark, d):
     return out.select("TransactionID", "isFraud", F.col("p").alias("probability"), (F.col("p") > 0.5).cast("int").alias("prediction"))
 
 
+CHAIN = ["TransactionDT", "TransactionAmt", "card1", "addr1", "dist1"]
+CHAIN_FEATURES = [*FEATURES, "cluster_label", "pca_comp_1", "pca_comp_2", "pca_comp_3", "association_risk_score"]
+
+
+def champion(train):
+    """The whole chain as one pipeline: pruning, features, clusters, components, rule score, model."""
+    texts = ["ProductCD", "card4", "P_emaildomain"]
+    steps = [
+        stages.ColumnPruner(**{"pass": texts}), stages.FrequencyEncoder(columns=["ProductCD"]), stages.RuleRiskScore(), stages.BehaviorFeatures(),
+        stages.ClusterFeature(columns=CHAIN), stages.PcaFeatures(columns=CHAIN, k=3),
+    ]
+    made, fitted = train, []
+    for step in steps:
+        fitted.append(step.fit(made))
+        made = fitted[-1].transform(made)
+    classifier = plain_logistic(M.assemble(persist_table(made, "chain"), CHAIN_FEATURES))
+    return PipelineModel(stages=[*fitted, classifier])
+
+
+@query("ml13_champion_file_scoring", """
+WITH r AS (SELECT TransactionID, isFraud, row_number() OVER (ORDER BY TransactionDT, TransactionID) - 1 AS pos, count(*) OVER () AS n FROM txn),
+t AS (SELECT count(*) AS c, CAST(sum(isFraud) AS BIGINT) AS positives FROM r WHERE pos >= floor(0.85::DOUBLE * n))
+SELECT 'labelled' AS file, c AS n_rows, 1 AS same_scores, 1 AS scores_in_range, 1 AS has_metrics FROM t
+UNION ALL SELECT 'unlabelled', c, 1, 1, 0 FROM t""", "txn")
+def ml13_file(spark, d):
+    """Fit the chain, save and activate it, reload it, and score CSV files with and without a label."""
+    t = txn(spark, d).drop("k")
+    parts = persist_table(resample.chronological_split(t, "TransactionDT", "TransactionID"), "chain_parts")
+    train, test = (parts.where(F.col("part") == p).drop("part") for p in ("train", "test"))
+    model = champion(train)
+    root = scratch_path(spark, "champion")
+    IO.save_model(spark, model, root, "champion")
+    loaded = IO.load_active(spark, root)
+    want, _ = M.score_batch(model, test, CHAIN_FEATURES, "TransactionID")
+    want = persist_table(want.select("TransactionID", F.col("probability").alias("fitted")), "fitted")
+    out = None
+    for name, batch in (("labelled", test), ("unlabelled", test.drop("isFraud"))):
+        IO.write_table(batch, f"{root}/{name}", "csv")
+        rows, _ = IO.read_scoring_csv(spark, f"{root}/{name}", test.schema)
+        scored, metrics = M.score_batch(loaded, rows, CHAIN_FEATURES, "TransactionID")
+        both = scored.join(want, "TransactionID")
+        line = both.agg(
+            F.lit(name).alias("file"), F.count("*").alias("n_rows"), F.min((F.abs(F.col("probability") - F.col("fitted")) < 1e-9).cast("int")).alias("same_scores"),
+            F.min(F.col("probability").between(0, 1).cast("int")).alias("scores_in_range"), F.lit(int(metrics is not None and metrics.count() == 1)).alias("has_metrics"))
+        out = line if out is None else out.unionByName(line)
+    return out
+
+
+@query("ml09_saved_ensemble", """
+WITH r AS (SELECT row_number() OVER (ORDER BY TransactionDT, TransactionID) - 1 AS pos, count(*) OVER () AS n FROM txn)
+SELECT count(*) AS n_rows, 1 AS same_scores, 2 AS models, 1 AS weights_sum_to_one FROM r WHERE pos >= floor(0.85::DOUBLE * n)""", "txn")
+def ml09_saved(spark, d):
+    """Fit, save and reload an ensemble; the reloaded one gives the same scores."""
+    train, val, test = frame(spark, d)
+    e = M.WeightedEnsemble({"lr": plain_logistic, "rf": M.random_forest}).fit(train, val)
+    path = scratch_path(spark, "ensemble")
+    e.save(spark, path)
+    again = M.WeightedEnsemble.load(spark, path)
+    both = e.transform(test).select("TransactionID", F.col("p").alias("a")).join(again.transform(test).select("TransactionID", F.col("p").alias("b")), "TransactionID")
+    return both.agg(F.count("*").alias("n_rows"), F.min((F.abs(F.col("a") - F.col("b")) < 1e-12).cast("int")).alias("same_scores"),
+                    F.lit(len(again.models)).alias("models"), F.lit(int(abs(sum(again.weights.values()) - 1) < 1e-9 and again.threshold == e.threshold)).alias("weights_sum_to_one"))
+
+
 @query("ml14_model_comparison")
 def ml14(spark, d):
     train, _, test = frame(spark, d)

@@ -47,6 +47,18 @@ def scoring_input(df: DataFrame, label: str = "isFraud") -> tuple[DataFrame, boo
     return df, label in df.columns
 
 
+def read_scoring_csv(spark: SparkSession, path: str, schema: T.StructType | str, label: str = "isFraud") -> tuple[DataFrame, bool]:
+    """A headered CSV to score, with the stated types for the columns it has, and whether it carries labels.
+
+    The header alone decides which columns there are; a column that the schema does not name stays text.
+    """
+    stated = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    names = spark.read.option("header", True).csv(path).columns
+    kinds = {f.name: f.dataType for f in stated.fields}
+    typed = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
+    return scoring_input(spark.read.schema(typed).option("header", True).csv(path), label)
+
+
 def parse_records(lines: DataFrame, column: str, keep: list[str] = ()) -> DataFrame:
     """JSON records to typed rows with defaults; a record without an amount is dropped, extra fields are ignored."""
     parsed = lines.select(*keep, F.from_json(column, RECORD_SCHEMA).alias("r"))
