@@ -79,6 +79,16 @@ def jn07(spark, d):
     return out.select("q", "nn", "place", r6("dist").alias("dist"))
 
 
+@query("jn07_hashed_recall", "SELECT count(*) * 5 AS n_pairs, 1 AS recall_reached FROM vectors", "vectors")
+def jn07_hashed(spark, d):
+    """Share of the exact distances that the hashed search reaches, at least 0.9."""
+    v = vectors(spark, d)
+    exact, hashed = (neighbours.knn_join(v, v, 5, "vec_id", "x", exclude_self=True, **o).select("q", "place", F.round("dist", 9).alias(n))
+                     for n, o in (("exact", {}), ("hashed", {"method": "hashed"})))
+    both = exact.join(hashed, ["q", "place"])
+    return both.agg(F.count("*").alias("n_pairs"), (F.avg((F.col("exact") == F.col("hashed")).cast("int")) >= 0.9).cast("int").alias("recall_reached"))
+
+
 _PAIRS = " UNION ALL ".join(
     f"SELECT 'V{i}' AS a, 'V{j}' AS b, CASE WHEN 'V{i}' = 'V6' OR 'V{j}' = 'V6' THEN NULL ELSE round(corr(V{i}, V{j}), 6) END AS r FROM wide"
     for i in range(1, 9) for j in range(i + 1, 9) if 6 not in (i, j))

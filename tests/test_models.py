@@ -129,3 +129,19 @@ def test_gate_raises(spark):
     with pytest.raises(ValueError):
         M.require_quality(bad)
     assert M.quality_gate(bad).first()["passes"] == 0
+
+
+def test_hashed_candidates_find_the_neighbours(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 16)) * 3
+    x = centres[rng.integers(0, 12, 800)] + rng.normal(size=(800, 16))
+    x[1::2] = x[1]  # one vector in half of the rows
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, x array<double>")
+    def pairs(**options):
+        return {(r["q"], r["place"]): r["dist"] for r in neighbours.knn_join(df, df, 5, "id", "x", exclude_self=True, **options).collect()}
+    exact, hashed = pairs(), pairs(method="hashed", block=64)
+    assert exact.keys() == hashed.keys() and len(exact) == 4000
+    assert np.mean([abs(hashed[k] - d) < 1e-9 for k, d in exact.items()]) >= 0.9
+    assert all(hashed[k] >= d - 1e-9 for k, d in exact.items())
+    votes = neighbours.knn_classify(df, df, 5, "id", "x", F.col("id") % 2 == 1, method="hashed", block=64)
+    assert votes.count() == 800
