@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.scalars import cyclic, day_of_week, guarded_ratio, hour_of_day, round_half_even
+from riskspark.plans.ranking import global_position
 
 
 def hourly(df: DataFrame, time: str = "TransactionDT", label: str = "isFraud", seconds: int = 3600) -> DataFrame:
@@ -63,11 +64,14 @@ def every_nth(series: DataFrame, points: int = 500) -> DataFrame:
     return series.withColumn("_rn", F.row_number().over(_in_order()) - 1).where(F.col("_rn") % step == 0).drop("_rn")
 
 
-def evenly_spaced(series: DataFrame, points: int = 100) -> DataFrame:
-    """Rows at ``points`` evenly spaced positions from first to last."""
+def evenly_spaced(series: DataFrame, points: int = 100, order: list | tuple = ("hour_window",)) -> DataFrame:
+    """Rows at ``points`` evenly spaced positions from first to last in ``order``, which must end in a unique column.
+
+    Positions come from a range partitioning, so a curve may have as many points as the table has scores.
+    """
     n = series.count()
     spots = sorted({i * (n - 1) // max(points - 1, 1) for i in range(points)}) if n else []
-    return series.withColumn("_rn", (F.row_number().over(_in_order()) - 1)).where(F.col("_rn").isin(spots)).drop("_rn")
+    return global_position(series, list(order), "_rn", "spaced").where(F.col("_rn").isin(spots)).drop("_rn")
 
 
 def heat_map(df: DataFrame, time: str = "TransactionDT", label: str = "isFraud") -> DataFrame:

@@ -52,9 +52,9 @@ def jn05(spark, d):
     return joins.align_by_key(txn(spark, d).select("TransactionID", "isFraud"), scored(spark, d).select("TransactionID", "p"), "TransactionID")
 
 
-def models_by_day(spark, d):
-    """Model files derived from the events: one per day and event type, errors left out."""
-    e = table(spark, d, "events").where(F.col("event_type") != "error")
+def models_by_day(spark, d, errors=False):
+    """Model files derived from the events: one per day and event type; without errors, some runs have no file."""
+    e = table(spark, d, "events").where(F.lit(errors) | (F.col("event_type") != "error"))
     name = F.concat(F.lit("model_v_"), F.date_format("ts", "yyyyMMdd"), F.lit("_"), "event_type", F.lit(".pkl"))
     return e.groupBy(name.alias("name")).agg(F.max("event_id").alias("created_at"))
 

@@ -56,6 +56,15 @@ def ev03_curve(spark, d):
     return rounded(E.curve_points(scored(spark, d)), "fpr", "tpr", "precision", "recall")
 
 
+@query("wn09_thinned_curve", f"""WITH {_CURVE}, r AS (SELECT *, row_number() OVER (ORDER BY p DESC) - 1 AS rn, count(*) OVER () AS n FROM z)
+SELECT p AS score, round(fp / all0, 6) AS fpr, round(rc, 6) AS tpr, round(pr, 6) AS precision FROM r
+WHERE rn IN (SELECT i * (n - 1) // 29 FROM (SELECT unnest(range(30)) AS i), (SELECT count(*) AS n FROM z))""", "scored")
+def wn09_curve(spark, d):
+    """The curves at 30 evenly spaced places by falling score."""
+    curve = E.curve_points(scored(spark, d)).select("score", "fpr", "tpr", "precision")
+    return rounded(timeseries.evenly_spaced(curve, 30, [F.desc("score")]), "fpr", "tpr", "precision")
+
+
 @query("ev03_roc_auc", """
 WITH g AS (SELECT p, count(*) AS n, sum(isFraud) AS n1 FROM scored GROUP BY p),
 r AS (SELECT n1, sum(n) OVER (ORDER BY p) - n + (n + 1) / 2.0::DOUBLE AS mr FROM g)

@@ -26,10 +26,18 @@ def src02(spark, d):
     return IO.first_rows(txn(spark, d), "TransactionID", 100)
 
 
-@query("src03_scoring_input", "SELECT TransactionID, TransactionAmt, 1 AS has_label FROM txn", "txn")
+@query("src03_scoring_input", """SELECT 'labelled' AS file, TransactionID, TransactionAmt, 1 AS has_label FROM txn
+UNION ALL SELECT 'unlabelled', TransactionID, TransactionAmt, 0 FROM txn""", "txn")
 def src03(spark, d):
-    batch, labelled = IO.scoring_input(txn(spark, d))
-    return batch.select("TransactionID", "TransactionAmt", F.lit(int(labelled)).alias("has_label"))
+    """The same rows from a CSV file with and from one without a label."""
+    t, out = txn(spark, d), None
+    for name, rows in (("labelled", t), ("unlabelled", t.drop("isFraud"))):
+        path = scratch_path(spark, name)
+        IO.write_table(rows, path, "csv")
+        batch, labelled = IO.read_scoring_csv(spark, path, t.schema)
+        part = batch.select(F.lit(name).alias("file"), "TransactionID", "TransactionAmt", F.lit(int(labelled)).alias("has_label"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("src04_record_input", """
@@ -67,7 +75,7 @@ def src06(spark, d):
 
 _MODELS_SQL = """
 SELECT 'model_v_' || strftime(ts, '%Y%m%d') || '_' || event_type || '.pkl' AS name, max(event_id) AS created_at
-FROM events WHERE event_type <> 'error' GROUP BY 1"""
+FROM events GROUP BY 1"""
 
 
 @query("src07_model_listing", f"SELECT name, created_at, row_number() OVER (ORDER BY created_at DESC) AS place FROM ({_MODELS_SQL})")
@@ -75,7 +83,7 @@ def src07(spark, d):
     from pyspark.sql import Window
     from riskspark.queries.join_queries import models_by_day
     # one row per model version, so ranking in one task is fine
-    return models_by_day(spark, d).withColumn("place", F.row_number().over(Window.orderBy(F.desc("created_at"))).cast("bigint"))
+    return models_by_day(spark, d, errors=True).withColumn("place", F.row_number().over(Window.orderBy(F.desc("created_at"))).cast("bigint"))
 
 
 @query("snk01_write_table", "SELECT ProductCD, count(*) AS n, round(sum(TransactionAmt), 2) AS amount FROM txn GROUP BY 1", "txn")
@@ -106,6 +114,18 @@ def snk03(spark, d):
     return IO.to_document(h, ["day"], ["hour_window", "total", "fraud_count"])
 
 
+@query("snk03_result_file", """
+SELECT CAST(floor(hour_window / 24.0) AS BIGINT) AS day, count(*) AS n_windows, max(total) AS most, CAST(sum(fraud_count) AS BIGINT) AS positives FROM hourly GROUP BY 1""", "hourly")
+def snk03_file(spark, d):
+    """Nested result documents written as JSON lines and read back."""
+    h = timeseries.hourly(txn(spark, d)).withColumn("day", F.floor(F.col("hour_window") / 24).cast("bigint"))
+    path = scratch_path(spark, "documents")
+    IO.write_documents(h, ["day"], {"windows": ["hour_window", "total", "fraud_count"]}, path)
+    back = spark.read.schema("day bigint, windows array<struct<hour_window: bigint, total: bigint, fraud_count: bigint>>").json(path)
+    return back.select("day", F.size("windows").cast("bigint").alias("n_windows"), F.array_max(F.col("windows.total")).alias("most"),
+                       F.aggregate(F.col("windows.fraud_count"), F.lit(0).cast("bigint"), lambda a, x: a + x).alias("positives"))
+
+
 @query("snk05_text_report", """
 SELECT 1 AS section_no, 'SIZE' AS section, 'rows' AS key, 'rows: ' || count(*) AS text FROM txn
 UNION ALL SELECT 2, 'PRODUCTS', ProductCD, ProductCD || ': ' || count(*) FROM txn GROUP BY ProductCD

@@ -115,6 +115,15 @@ def to_document(df: DataFrame, by: list[str], items: list[str], out: str = "docu
     return df.groupBy(*by).agg(F.to_json(F.struct(body.alias("items"))).alias(out))
 
 
+def write_documents(df: DataFrame, by: list[str], lists: dict[str, list[str]], path: str) -> None:
+    """One nested JSON document per key: under each name of ``lists`` an array of its columns, sorted by the first of them.
+
+    Meant for result tables, whose groups are short (hours, rules, features).
+    """
+    bodies = [F.array_sort(F.collect_list(F.struct(*columns))).alias(name) for name, columns in lists.items()]
+    df.groupBy(*by).agg(*bodies).write.mode("overwrite").json(path)
+
+
 def report_lines(sections: list[tuple[str, DataFrame]]) -> DataFrame:
     """(section, line_no, text) from titled result tables; each table has columns ``key`` and ``text``."""
     out = None
