@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskspark.functions import scalars as S
@@ -156,6 +157,25 @@ def tr04_small(spark, d):
     return represent.apply_clusters(t, c).groupBy("cluster_label").agg(F.count("*").alias("size"), F.avg("isFraud").alias("fraud_rate"))
 
 
+@query("tr03_report_check", "SELECT 50 AS n_lines, 10 AS n_components, 1 AS falling, 1 AS sums")
+def tr03_check(spark, d):
+    """Ten components with five loadings each; shares fall and add up to the cumulative share."""
+    report = tr03(spark, d)
+    one = report.groupBy("component").agg(F.max("share").alias("share"), F.max("cumulative").alias("cumulative"), F.count("*").alias("n"))
+    w = Window.orderBy("component")
+    one = one.withColumn("falls", F.coalesce(F.col("share") <= F.lag("share").over(w) + 1e-12, F.lit(True)))
+    one = one.withColumn("adds", F.abs(F.sum("share").over(w) - F.col("cumulative")) < 1e-9)
+    return one.agg(F.sum("n").cast("int").alias("n_lines"), F.count("*").cast("int").alias("n_components"),
+                   F.min(F.col("falls").cast("int")).alias("falling"), F.min(F.col("adds").cast("int")).alias("sums"))
+
+
+@query("tr04_cluster_check", "SELECT 5 AS n_clusters, count(*) AS n_rows, round(avg(isFraud), 6) AS rate FROM txn", "txn")
+def tr04_check(spark, d):
+    """The clusters hold every row once."""
+    return tr04(spark, d).agg(F.count("*").cast("int").alias("n_clusters"), F.sum("size").alias("n_rows"),
+                              F.round(F.sum(F.col("size") * F.col("fraud_rate")) / F.sum("size"), 6).alias("rate"))
+
+
 # ---- rules ----------------------------------------------------------------------------------------------------------
 
 # a label that depends on items, so that there are rules to find

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskspark.operators import evaluate as E
@@ -138,6 +139,21 @@ def ml11(spark, d):
     return out.groupBy("p").agg(F.max("calibrated").alias("calibrated"), F.count("*").alias("n"))
 
 
+@query("ml10_isotonic_check", "SELECT count(DISTINCT p) AS n_scores, 1 AS rising, 1 AS in_range, round(avg(isFraud), 6) AS mean FROM scored", "scored")
+def ml10_check(spark, d):
+    """A monotone fit rises with the score and keeps the mean of the label."""
+    by = ml10(spark, d).withColumn("before", F.lag("calibrated").over(Window.orderBy("p")))
+    return by.agg(F.count("*").alias("n_scores"), F.min(F.coalesce(F.col("calibrated") >= F.col("before") - 1e-12, F.lit(True)).cast("int")).alias("rising"),
+                  F.min(F.col("calibrated").between(0, 1).cast("int")).alias("in_range"), F.round(F.sum(F.col("calibrated") * F.col("n")) / F.sum("n"), 6).alias("mean"))
+
+
+@query("ml11_platt_check", "SELECT count(DISTINCT p) AS n_scores, 1 AS rising, 1 AS in_range FROM scored", "scored")
+def ml11_check(spark, d):
+    by = ml11(spark, d).withColumn("before", F.lag("calibrated").over(Window.orderBy("p")))
+    return by.agg(F.count("*").alias("n_scores"), F.min(F.coalesce(F.col("calibrated") >= F.col("before"), F.lit(True)).cast("int")).alias("rising"),
+                  F.min(F.col("calibrated").between(0, 1).cast("int")).alias("in_range"))
+
+
 @query("ml12_search")
 def ml12(spark, d):
     train, _, _ = frame(spark, d)
@@ -217,6 +233,16 @@ def ml09_saved(spark, d):
                     F.lit(len(again.models)).alias("models"), F.lit(int(abs(sum(again.weights.values()) - 1) < 1e-9 and again.threshold == e.threshold)).alias("weights_sum_to_one"))
 
 
+@query("ml13_scores_check", """
+WITH r AS (SELECT isFraud, row_number() OVER (ORDER BY TransactionDT, TransactionID) - 1 AS pos, count(*) OVER () AS n FROM txn)
+SELECT count(*) AS n_rows, CAST(sum(isFraud) AS BIGINT) AS positives, 1 AS in_range, 1 AS agrees FROM r WHERE pos >= floor(0.85::DOUBLE * n)""", "txn")
+def ml13_check(spark, d):
+    """Every test row is scored once, with a probability that its prediction follows."""
+    agrees = (F.col("probability") > 0.5).cast("int") == F.col("prediction")
+    return ml13(spark, d).agg(F.count("*").alias("n_rows"), F.sum("isFraud").cast("bigint").alias("positives"),
+                              F.min(F.col("probability").between(0, 1).cast("int")).alias("in_range"), F.min(agrees.cast("int")).alias("agrees"))
+
+
 @query("ml14_model_comparison")
 def ml14(spark, d):
     train, _, test = frame(spark, d)
@@ -240,6 +266,11 @@ def fs07(spark, d):
     return M.forest_importance(train, FEATURES)
 
 
+@query("fs07_importance_check", "SELECT 10 AS n_columns, 1.0::DOUBLE AS total")
+def fs07_check(spark, d):
+    return fs07(spark, d).agg(F.count("*").cast("int").alias("n_columns"), F.round(F.sum("importance"), 6).alias("total"))
+
+
 @query("snk04_model_registry", "SELECT count(*) AS n_rows, 'v1' AS active, 3 AS components FROM txn", "txn")
 def snk04(spark, d):
     """Fit, save two versions, activate the older one, reload it and score with it."""

@@ -56,6 +56,12 @@ def str03(spark, d):
     return out.select("event_id", "probability_1")
 
 
+@query("str03_scoring_check", "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_events, 1 AS in_range FROM events")
+def str03_check(spark, d):
+    """Every event is scored once."""
+    return str03(spark, d).agg(F.count("*").alias("n_rows"), F.countDistinct("event_id").alias("n_events"), F.min(F.col("probability_1").between(0, 1).cast("int")).alias("in_range"))
+
+
 @query("str04_live_kpis", """SELECT CASE WHEN p > 0.5 THEN 'severe' WHEN p > 0.3 THEN 'suspicious' ELSE 'safe' END AS risk_level, count(*) AS n, round(avg(p), 6) AS avg_p FROM scored GROUP BY 1""", "scored")
 def str04(spark, d):
     out = streams.run_available(streams.kpi_stream(event_stream(spark, d)), "complete", "kpis", streams.overwrite_sink)
