@@ -33,7 +33,7 @@ def runs(order_of, windows: int, width: int) -> tuple[np.ndarray, np.ndarray, np
 
     ``order_of(a, b)`` gives the order hashes of positions a to b-1; it is asked for pieces, so long texts need little memory.
     """
-    parts = []
+    found, starts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for s in range(0, windows, _STEP):
         e = min(windows, s + _STEP)
         v = order_of(s, e + width - 1)
@@ -44,15 +44,15 @@ def runs(order_of, windows: int, width: int) -> tuple[np.ndarray, np.ndarray, np
             size *= 2
         if size < width:
             x = np.minimum(x[: x.size - (width - size)], x[width - size :])
-        parts.append((x & _LOW).astype(np.int64) + s)
-    if not parts:
-        none = np.empty(0, np.int64)
-        return none, none, none
-    at = np.concatenate(parts)
-    cut = np.flatnonzero(np.diff(at)) + 1
-    lo = np.concatenate(([0], cut))
-    hi = np.concatenate((cut - 1, [at.size - 1]))
-    return at[lo], lo, hi
+        at = (x & _LOW).astype(np.int64)
+        first = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
+        found.append(at[first] + s)
+        starts.append(first + s)
+    at, lo = np.concatenate(found), np.concatenate(starts)
+    new = np.ones(at.size, bool)
+    new[1:] = at[1:] != at[:-1]
+    at, lo = at[new], lo[new]
+    return at, lo, np.append(lo[1:] - 1, windows - 1)[: at.size]
 
 
 class Bytes:
