@@ -13,7 +13,7 @@ from riskspark.functions.scalars import clean_text, composite_key, user_key
 from riskspark.plans.quantiles import column_quantiles, grouped_quantiles
 from riskspark.plans.ranking import global_position, running_totals
 from riskspark.plans.scratch import persist_table
-from riskspark.plans.skew import HOT_SHARE, lookup_join, stored_sizes
+from riskspark.plans.skew import BROADCAST_ROWS, HOT_SHARE, lookup_join, stored_sizes
 
 # Key sets whose row count and median amount become features.
 GROUP_KEYS = [
@@ -188,29 +188,51 @@ def key_set_stats(df: DataFrame, key_sets: list[list[str]], amount: str = "Trans
     return counts.join(medians, ["key_set", "key"], "left")
 
 
+def _lookup_parts(df: DataFrame, stats: DataFrame, part: str, keys: dict, values: list[str], id_col: str, rows: str, sizes: dict) -> DataFrame:
+    """``<name>|<value>`` columns for every named key, with three exchanges of the table however many keys there are.
+
+    Each row sends one narrow line per key, all lines are looked up in one salted join on (name, key), come together again
+    by the id, which must be unique, and meet the wide row once.
+    """
+    lines = F.explode(F.array(*[F.struct(F.lit(name).alias(part), key.cast("string").alias("_key")) for name, key in keys.items()]))
+    narrow = df.select(F.col(id_col).alias("_id"), lines.alias("_s")).select("_id", f"_s.{part}", "_s._key")
+    side = stats.where(F.col(part).isin(list(keys))).select(part, F.col("key").alias("_key"), F.col(rows).alias("_rows"), *[F.col(v).alias(f"_v_{v}") for v in values])
+    known = [sizes[k] for k in keys if k in sizes]
+    found = lookup_join(narrow, side, [part, "_key"], "_rows", F.xxhash64("_id", part), sizes=(sum(k for k, _ in known), sum(n for _, n in known)))
+    picked = [F.max(F.when(F.col(part) == name, F.col(f"_v_{v}"))).alias(f"{name}|{v}") for name in keys for v in values]
+    return df.join(found.groupBy("_id").agg(*picked), F.col(id_col) == F.col("_id")).drop("_id")
+
+
 def usable_key_sets(df: DataFrame, key_sets: list[list[str]] = GROUP_KEYS) -> list[list[str]]:
     return [ks for ks in key_sets if all(c in df.columns for c in ks)]
 
 
 def with_key_sets(df: DataFrame, stats: DataFrame, key_sets: list[list[str]], overall: float, id_col: str,
-                  amount: str = "TransactionAmt") -> DataFrame:
+                  amount: str = "TransactionAmt", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``<set>__count``, ``<set>__amt_median``, ``<set>__amt_ratio`` from the stored table of :func:`key_set_stats`; an unseen
-    key has count 0 and the overall median."""
+    key has count 0 and the overall median. Sets small enough are broadcast, all larger ones share three exchanges."""
     sizes = stored_sizes(stats, "key_set", "rows")
+    names = {"__".join(ks): ks for ks in key_sets}
+    large = {n: composite_key(ks) for n, ks in names.items() if sizes.get(n, (0, 0))[0] > broadcast_rows}
     out = df
-    for ks in key_sets:
-        name = "__".join(ks)
-        mine = stats.where(F.col("key_set") == name).select(
-            F.col("key").alias("_key"), F.col("rows").alias("_rows"), F.col("amt_median").alias("_med"))
-        found = lookup_join(out.withColumn("_key", composite_key(ks)), mine, ["_key"], "_rows", F.col(id_col), sizes=sizes.get(name, (0, 0)))
+    if large:
+        wide = _lookup_parts(df, stats.withColumn("_n", F.col("rows")), "key_set", large, ["_n", "amt_median"], id_col, "rows", sizes)
+        out = wide.select(*df.columns, *[F.col(f"`{n}|_n`").alias(f"_rows|{n}") for n in large], *[F.col(f"`{n}|amt_median`").alias(f"_med|{n}") for n in large])
+    for name, ks in names.items():
+        if name in large:
+            found = out.withColumn("_rows", F.col(f"`_rows|{name}`")).withColumn("_med", F.col(f"`_med|{name}`"))
+        else:
+            mine = stats.where(F.col("key_set") == name).select(
+                F.col("key").alias("_key"), F.col("rows").alias("_rows"), F.col("amt_median").alias("_med"))
+            found = lookup_join(out.withColumn("_key", composite_key(ks)), mine, ["_key"], "_rows", F.col(id_col), sizes=sizes.get(name, (0, 0)))
         median = F.coalesce("_med", F.lit(overall))
         out = found.select(
-            *out.columns,
+            *[F.col(f"`{c}`") for c in out.columns],
             F.coalesce("_rows", F.lit(0)).cast("bigint").alias(f"{name}__count"),
             median.alias(f"{name}__amt_median"),
             (F.col(amount) / (median + 1e-6)).alias(f"{name}__amt_ratio"),
         )
-    return out
+    return out.drop(*[f"_rows|{n}" for n in large], *[f"_med|{n}" for n in large])
 
 
 def entity_degrees(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -222,20 +244,25 @@ def entity_degrees(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     return seen.groupBy("pair", "key").agg(F.sum("_n").alias("rows"), F.count("*").alias("degree"))
 
 
-def with_entity_degrees(df: DataFrame, id_col: str, pairs: list[tuple[str, str]] = ENTITY_PAIRS) -> DataFrame:
-    """Both degrees of each pair on every row."""
+def with_entity_degrees(df: DataFrame, id_col: str, pairs: list[tuple[str, str]] = ENTITY_PAIRS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Both degrees of each pair on every row; small tables are broadcast, all larger ones share three exchanges."""
     both = [p for a, b in pairs if a in df.columns and b in df.columns for p in ((a, b), (b, a))]
     if not both:
         return df
     stats = persist_table(entity_degrees(df, both), "degrees")
     sizes = stored_sizes(stats, "pair", "rows")
-    out = df
+    large = {f"{a}>{b}": clean_text(a) for a, b in both if sizes.get(f"{a}>{b}", (0, 0))[0] > broadcast_rows}
+    out = _lookup_parts(df, stats, "pair", large, ["degree"], id_col, "rows", sizes) if large else df
     for a, b in both:
         pair, name = f"{a}>{b}", f"entity__{a}__unique_{b}"
+        if pair in large:
+            out = out.withColumnRenamed(f"{pair}|degree", name)
+            continue
         mine = stats.where(F.col("pair") == pair).select(F.col("key").alias("_key"), F.col("rows").alias("_rows"), F.col("degree").alias(name))
         keyed = out.withColumn("_key", clean_text(a))
         out = lookup_join(keyed, mine, ["_key"], "_rows", F.col(id_col), sizes=sizes.get(pair, (0, 0))).drop("_key", "_rows")
-    return out
+    names = [f"entity__{a}__unique_{b}" for a, b in both]
+    return out.select(*df.columns, *names)
 
 
 # ---- velocity and momentum ------------------------------------------------------------------------------------------

@@ -109,3 +109,19 @@ def test_ensemble_features_include_velocity_and_degrees(spark, sf_dir):
     assert out.count() == t.count()
     for c in ("vel__card1__cnt_3600s", "entity__card1__unique_DeviceInfo", "DeviceInfo__has_chrome", "card1__addr1__amt_ratio", "ProductCD__click"):
         assert c in out.columns
+
+
+def test_large_key_sets_share_their_exchanges(spark, sf_dir):
+    from riskspark.operators import behavior as B
+    from riskspark.plans.scratch import persist_table
+    from riskspark.sources.views import txn
+
+    t = txn(spark, sf_dir).select("TransactionID", "TransactionAmt", "card1", "addr1", "card4", "P_emaildomain")
+    sets = [["card1"], ["card1", "addr1"], ["card1", "P_emaildomain"], ["card4", "addr1"]]
+    stats = persist_table(B.key_set_stats(t.where("TransactionID % 3 <> 0"), sets), "sets")
+    small, large = (B.with_key_sets(t, stats, sets, 7.0, "TransactionID", broadcast_rows=n) for n in (200_000, 0))
+    assert small.columns == large.columns
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    pairs = [("card1", "P_emaildomain"), ("card4", "addr1")]
+    few, many = (B.with_entity_degrees(t, "TransactionID", pairs, broadcast_rows=n) for n in (200_000, 0))
+    assert few.columns == many.columns and sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
