@@ -46,6 +46,9 @@ HEADLINE = [
     "tr08_behavior_features",
 ]
 
+#: Timed and reported, but not part of the total, which stays comparable with earlier rounds.
+MORE = ["jn07_nearest_neighbours", "tr09_ensemble_features", "str02_velocity_stream", "ag15_wide_correlation", "ml03_logistic_regression"]
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -53,7 +56,7 @@ def main() -> None:
     spark = local_session("riskspark-bench")
     queries = catalog.queries()
     times = {}
-    for name in HEADLINE:
+    for name in HEADLINE + MORE:
         taken = []
         for i in range(runs + 1):
             start = time.time()
@@ -62,7 +65,7 @@ def main() -> None:
                 taken.append(time.time() - start)
         times[name] = round(statistics.median(taken), 3)
     scale = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
+    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times[n] for n in HEADLINE), 3), "unit": "sec", "queries": times,
                       "sf": float(scale) if scale.replace(".", "").isdigit() else scale}))
     spark.stop()
 

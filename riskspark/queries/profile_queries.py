@@ -191,6 +191,20 @@ def _corr_label(c, src="wide"):
     return f"SELECT '{c}' AS \"column\", CASE WHEN var_pop({c}) > 0 THEN round(corr({c}, isFraud), 6) END AS r FROM {src}"
 
 
+_WIDE_POWERS = [(i, p) for i in range(64) for p in (1, 2, 3, 4)]
+
+
+@query("ag15_wide_correlation", """
+WITH long AS (SELECT vec_id, CAST(label = 0 AS INT) AS y, unnest(range(64)) AS i, x FROM vectors), cells AS (SELECT y, i, x[i + 1] AS v, unnest(range(1, 5)) AS p FROM long)
+SELECT 'x' || i || '_' || p AS "column", round(corr(v ** p, y), 6) AS r FROM cells GROUP BY i, p""", "vectors")
+def ag15_wide(spark, d):
+    """256 columns in one pass."""
+    from riskspark.sources.views import vectors
+
+    v = vectors(spark, d).select((F.col("label") == 0).cast("int").alias("isFraud"), *[F.pow(F.get("x", F.lit(i)), F.lit(p)).alias(f"x{i}_{p}") for i, p in _WIDE_POWERS])
+    return selection.label_correlations(v, [f"x{i}_{p}" for i, p in _WIDE_POWERS]).select("column", r6("r").alias("r"))
+
+
 @query("ag15_label_correlation", " UNION ALL ".join(
     "SELECT 'V6' AS \"column\", CAST(NULL AS DOUBLE) AS r" if i == 6 else _corr_label(f"V{i}") for i in range(1, 9)), "wide")
 def ag15(spark, d):
