@@ -9,20 +9,22 @@ import pytest
 import xxhash
 from rows import clashing, ordered, passages
 
+import __spark_entry__ as entry
 from riskspark.llm import components, phrase_dedup, repeats, simhash, suffix_dedup
+from riskspark.llm.base import table
 
 
 def brute_suffix(docs, length):
-    seen, out = defaultdict(int), []
+    seen, out, key = defaultdict(int), [], xxhash.xxh3_128_digest
     bodies = [(d, (t or "").encode()) for d, t in docs]
     for _, b in bodies:
         for i in range(len(b) - length + 1):
-            seen[b[i : i + length]] += 1
+            seen[key(b[i : i + length])] += 1
     for d, b in bodies:
-        gone = [False] * len(b)
+        gone = bytearray(len(b))
         for i in range(len(b) - length + 1):
-            if seen[b[i : i + length]] > 1:
-                gone[i : i + length] = [True] * length
+            if seen[key(b[i : i + length])] > 1:
+                gone[i : i + length] = b"\1" * length
         kept = bytes(x for x, g in zip(b, gone) if not g)
         spans = sum(1 for j in range(len(b)) if gone[j] and (j == 0 or not gone[j - 1]))
         out.append((d, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
@@ -70,6 +72,14 @@ def test_suffix_dedup_at_the_threshold_of_the_query(spark):
     assert got == by_key(brute_suffix(docs, 400))
 
 
+def test_queries_over_whole_documents(spark):
+    """The registered queries without SQL, over every document of a test table."""
+    folder = "/root/testdata/sf0.01"
+    docs = [(r["doc_id"], r["text"]) for r in table(spark, folder, "documents").collect()]
+    assert ordered(entry.queries()["op3_suffix_dedup"](spark, folder)) == by_key(brute_suffix(docs, 400))
+    assert ordered(entry.queries()["op6_simhash"](spark, folder)) == by_key(brute_groups(docs))
+
+
 def test_suffix_dedup_keeps_bytes(spark):
     docs = spark.createDataFrame([(1, "x" * 30 + "unique"), (2, "x" * 30)], "doc_id long, text string")
     kept = {r["doc_id"]: bytes(r["kept"]) for r in suffix_dedup.remove_repeats(docs, 24).collect()}
