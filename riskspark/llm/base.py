@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +73,23 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return col.cast(pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary()).to_pylist()
 
 
+def tidy(scan):
+    """``scan`` as a task function that gives its memory back at the end: workers live on and would keep what they freed."""
+
+    def run(batches):
+        try:
+            yield from scan(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return run
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
@@ -92,4 +112,4 @@ def packed(rows: DataFrame) -> DataFrame:
                 [ROW, DOC, "z", *also],
             )
 
-    return rows.select(ROW, DOC, "text", *also).mapInArrow(pack, schema)
+    return rows.select(ROW, DOC, "text", *also).mapInArrow(tidy(pack), schema)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.base import column, texts
+from riskspark.llm.base import column, texts, tidy
 
 WIDTHS = (2, 3, 4)
 WINDOW = 192
@@ -125,7 +125,7 @@ class Tables:
             pooled[s : s + block] = response.reshape(len(b), m, -1).max(1)
         return softmax(np.maximum(pooled + self.bias, 0) @ self.out + self.shift)
 
-    def predict(self, bodies: list[bytes], most: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    def predict(self, bodies: list[bytes], most: int = 1024) -> tuple[np.ndarray, np.ndarray]:
         """Class index and mean probability of each text; windows count by the bytes they add."""
         best, score = np.zeros(len(bodies), np.int64), np.zeros(len(bodies))
         held, first, n = [], 0, 0
@@ -183,7 +183,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.binary()))], _SAMPLE.fieldNames())
 
-    sample = labelled.where(unit < limit).where(F.col("t").rlike(r"\p{L}")).select("l", unit.alias("o"), "t").mapInArrow(pick, _SAMPLE).collect()
+    sample = labelled.where(unit < limit).where(F.col("t").rlike(r"\p{L}")).select("l", unit.alias("o"), "t").mapInArrow(tidy(pick), _SAMPLE).collect()
     if not sample:
         return None
     labels = sorted({r["lang"] for r in sample})
@@ -205,9 +205,12 @@ def language(net: Network | None, text: Column) -> Column:
     @F.pandas_udf(kind)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tables, names = net.compiled(), np.array(net.labels, object)
-        for series in batches:
+
+        def said(series: pd.Series) -> pd.DataFrame:
             best, score = tables.predict([t.encode() for t in series])
-            yield pd.DataFrame({"lang": names[best], "score": np.clip(score, 0, 1)})
+            return pd.DataFrame({"lang": names[best], "score": np.clip(score, 0, 1)})
+
+        yield from tidy(lambda parts: map(said, parts))(batches)
 
     letters = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
     said = predict(F.when(letters, text).otherwise(F.lit("")))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.base import column, texts
+from riskspark.llm.base import column, texts, tidy
 
 _TAG = re.compile(
     r"""<!--(?:.*?-->|.*\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
@@ -306,4 +306,4 @@ def extract_pages(pages: DataFrame, body: str = "html", key: str = "page_id", ur
             )
 
     slim = pages.select(F.col(key).cast("long").alias("key"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(body), F.lit("")).alias("text"))
-    return slim.mapInArrow(scan, _TEXT).select(F.col("key").alias(key), F.col("url").alias(url), "text", "n_chars")
+    return slim.mapInArrow(tidy(scan), _TEXT).select(F.col("key").alias(key), F.col("url").alias(url), "text", "n_chars")

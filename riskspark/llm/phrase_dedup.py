@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.llm import repeats
-from riskspark.llm.base import DOC, ROW, carried, column, keyed, packed, texts
+from riskspark.llm.base import DOC, ROW, carried, column, keyed, packed, texts, tidy
 from riskspark.llm.repeat_jobs import Search, repeated_regions
 
 
@@ -134,7 +134,7 @@ def kept_words(rows: DataFrame, length: int = 13, automaton_chars: int = 400_000
             yield flush(shard, ids, rest)
 
     joined = packed(rows).join(each, ROW, "left").select(ROW, DOC, "z", *also, "found")
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(tidy(cut), schema)
 
 
 def remove_passages(

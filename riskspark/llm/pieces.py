@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.base import column, texts
+from riskspark.llm.base import column, texts, tidy
 
 MARK = "▁"
 _MARK = MARK.encode()
@@ -58,7 +58,7 @@ class CharacterMap:
 class Model:
     """What the encoder needs of a model file: normaliser settings, piece tables, and the library for segmentation."""
 
-    CACHE = 400_000
+    CACHE = 150_000
 
     def __init__(self, blob: bytes):
         import sentencepiece
@@ -248,7 +248,7 @@ _OUT = T.StructType(
 )
 
 
-def encode_documents(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id", end: bool = True, chunk: int = 1 << 20) -> DataFrame:
+def encode_documents(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id", end: bool = True, chunk: int = 1 << 18) -> DataFrame:
     """(key, ids, begins, ends, decoded): pieces of each whole text, the source bytes of each piece, and the decoded text.
 
     ``model`` is a path on the driver; tasks get its content. With ``end`` the end id closes each text; its span is empty.
@@ -281,7 +281,7 @@ def encode_documents(docs: DataFrame, model: str, text: str = "text", key: str =
                 yield done(keys, bodies)
 
     slim = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return slim.mapInArrow(scan, _OUT).withColumnRenamed("key", key)
+    return slim.mapInArrow(tidy(scan), _OUT).withColumnRenamed("key", key)
 
 
 def digests(encoded: DataFrame, key: str = "doc_id") -> DataFrame:

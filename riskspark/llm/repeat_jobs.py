@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.llm import repeats
-from riskspark.llm.base import DOC, ROW, column, forget, packed, stored, texts
+from riskspark.llm.base import DOC, ROW, column, forget, packed, stored, texts, tidy
 
 
 @dataclass(frozen=True)
@@ -63,7 +63,7 @@ def _anchor_cores(search: Search, rows: DataFrame) -> DataFrame:
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cores)), pa.array(np.concatenate(docs))], ["core", DOC])
 
-    return rows.select(DOC, "text").mapInArrow(scan, _CORE)
+    return rows.select(DOC, "text").mapInArrow(tidy(scan), _CORE)
 
 
 def _nodes(search: Search, rows: DataFrame, size: int, parent: int | None = None) -> DataFrame:
@@ -98,7 +98,7 @@ def _nodes(search: Search, rows: DataFrame, size: int, parent: int | None = None
             if n:
                 yield flush(some)
 
-    return rows.mapInArrow(scan, _NODE)
+    return rows.mapInArrow(tidy(scan), _NODE)
 
 
 def _repeated(search: Search, nodes: DataFrame, keys: list[str], first: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.llm.base import DOC, ROW, carried, column, forget, keyed, stored, texts
+from riskspark.llm.base import DOC, ROW, carried, column, forget, keyed, stored, texts, tidy
 from riskspark.llm.components import components
 
 BITS = 64
@@ -57,7 +57,7 @@ def fingerprints(rows: DataFrame, size: int = 3) -> DataFrame:
             fp = np.fromiter((fingerprint(t, size) for t in texts(b)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([column(b, ROW), column(b, DOC), pa.array(fp.view(np.int64))], [ROW, DOC, "fp"])
 
-    return rows.select(ROW, DOC, "text").mapInArrow(scan, _PRINT)
+    return rows.select(ROW, DOC, "text").mapInArrow(tidy(scan), _PRINT)
 
 
 def covering_masks(radius: int) -> list[int]:

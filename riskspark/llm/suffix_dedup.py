@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.llm import repeats
-from riskspark.llm.base import DOC, ROW, column, keyed, packed, texts
+from riskspark.llm.base import DOC, ROW, column, keyed, packed, texts, tidy
 from riskspark.llm.repeat_jobs import Search, repeated_regions
 
 
@@ -77,7 +77,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", key:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _ARROW)], _KEPT.fieldNames())
 
     joined = packed(rows).join(each, ROW, "left").select(DOC, "z", "gone")
-    out = joined.mapInArrow(cut, _KEPT)
+    out = joined.mapInArrow(tidy(cut), _KEPT)
     return out.withColumnRenamed(DOC, key) if with_kept else out.drop("kept").withColumnRenamed(DOC, key)
 
 
