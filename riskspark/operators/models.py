@@ -59,8 +59,8 @@ def score(model, df: DataFrame, out: str = "p") -> DataFrame:
 # ---- classifiers ----------------------------------------------------------------------------------------------------
 
 def boosted_trees(train: DataFrame, max_iter: int = 500, depth: int = 12, step: float = 0.02, subsample: float = 0.8,
-                  features: str = "0.8", seed: int = 42):
-    frame = weighted(train, class_weights(train, "positive"))
+                  features: str = "0.8", seed: int = 42, balanced: bool = True):
+    frame = weighted(train, class_weights(train, "positive") if balanced else {0.0: 1.0, 1.0: 1.0})
     return GBTClassifier(maxIter=max_iter, maxDepth=depth, stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=features,
                          weightCol="weight", seed=seed).fit(frame)
 

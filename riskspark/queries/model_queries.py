@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -33,10 +36,6 @@ def frame(spark, d):
     return tuple(made.where(F.col("part") == p).drop("part") for p in ("train", "val", "test"))
 
 
-def boosted(train):
-    return M.boosted_trees(train, max_iter=10, depth=5, step=0.1)
-
-
 def plain_logistic(train):
     return M.logistic(train, balanced=True)
 
@@ -44,7 +43,7 @@ def plain_logistic(train):
 @query("ml01_boosted_trees")
 def ml01(spark, d):
     train, _, test = frame(spark, d)
-    return M.all_metrics(M.score(boosted(train), test), "boosted trees")
+    return M.all_metrics(M.score(M.boosted_trees(train), test), "boosted trees")
 
 
 @query("ml02_random_forest")
@@ -108,16 +107,14 @@ def ml07_metrics(spark, d):
 @query("ml08_stacking")
 def ml08(spark, d):
     train, _, test = frame(spark, d)
-    fitters = {"lr": plain_logistic, "rf": lambda t: M.random_forest(t, trees=10, depth=5)}
-    oof, held = M.stack(train, test, fitters, "TransactionID", folds=3)
+    oof, held = M.stack(train, test, {"lr": plain_logistic, "rf": M.random_forest}, "TransactionID")
     return M.all_metrics(oof, "stack out of fold").unionByName(M.all_metrics(held, "stack test"))
 
 
 @query("ml09_weighted_ensemble")
 def ml09(spark, d):
     train, val, test = frame(spark, d)
-    fitters = {"lr": plain_logistic, "rf": lambda t: M.random_forest(t, trees=10, depth=5)}
-    e = M.WeightedEnsemble(fitters).fit(train, val)
+    e = M.WeightedEnsemble({"lr": plain_logistic, "rf": M.random_forest}).fit(train, val)
     return M.all_metrics(e.transform(test), "weighted ensemble", threshold=e.threshold)
 
 
@@ -154,12 +151,16 @@ def ml11_check(spark, d):
                   F.min(F.col("calibrated").between(0, 1).cast("int")).alias("in_range"))
 
 
+#: Candidates of the search: rounds, depth, step, rows of a leaf, and shares of rows and columns over their whole ranges.
+SPACE = {"maxIter": list(range(200, 1201, 100)), "maxDepth": list(range(3, 10)), "stepSize": [0.01, 0.02, 0.03, 0.05, 0.1, 0.2, 0.3],
+         "minInstancesPerNode": list(range(1, 21)), "subsamplingRate": [0.6, 0.7, 0.8, 0.9, 1.0],
+         "featureSubsetStrategy": ["0.4", "0.5", "0.6", "0.7", "0.8", "0.9", "all"]}
+
+
 @query("ml12_search")
 def ml12(spark, d):
     train, _, _ = frame(spark, d)
-    space = {"maxDepth": [2, 3, 4], "stepSize": [0.05, 0.1, 0.2], "subsamplingRate": [0.7, 0.8, 1.0], "minInstancesPerNode": [1, 5, 10],
-             "featureSubsetStrategy": ["0.6", "0.8", "all"], "maxBins": [32, 64]}
-    table, _ = M.search(train, "TransactionID", space, trials=2, folds=3, maxIter=4)
+    table, _ = M.search(train, "TransactionID", SPACE)
     return table
 
 
@@ -243,14 +244,44 @@ def ml13_check(spark, d):
                               F.min(F.col("probability").between(0, 1).cast("int")).alias("in_range"), F.min(agrees.cast("int")).alias("agrees"))
 
 
+def synthetic_balance(train):
+    """Interpolated positives up to a fifth of the negatives, then negatives drawn down to two for each positive."""
+    slim = train.select(F.col("TransactionID").cast("string").alias("TransactionID"), "isFraud", "label", "features")
+    points = train.select("TransactionID", "isFraud", vector_to_array("features").alias("x"))
+    made = neighbours.smote(points, "TransactionID", "x", F.col("isFraud") == 1, 0.2)
+    made = made.select(F.concat_ws("-", "id", "copy").alias("TransactionID"), F.lit(1).alias("isFraud"), F.lit(1.0).alias("label"), array_to_vector("x").alias("features"))
+    return persist_table(resample.undersample(slim.unionByName(made), "TransactionID", "isFraud"), "balanced")
+
+
+def advanced(train, test):
+    """Both frames with the components that hold 95 % of the variance and a cluster of amount and hour, fitted on ``train``."""
+    flat = [t.select("TransactionID", "isFraud", *[vector_to_array("features")[i].alias(c) for i, c in enumerate(FEATURES)]) for t in (train, test)]
+    steps = [stages.PcaFeatures(columns=FEATURES, variance=0.95), stages.ClusterFeature(columns=["TransactionAmt", "hour"], k=8)]
+    model = Pipeline(stages=steps).fit(flat[0])
+    made = [model.transform(t) for t in flat]
+    columns = [c for c in made[0].columns if c not in ("TransactionID", "isFraud")]
+    return tuple(persist_table(M.assemble(t, columns).select("TransactionID", "isFraud", "label", "features"), "advanced") for t in made)
+
+
+def matrix(train, test, fit=M.boosted_trees):
+    """Name -> (fit, train, test): baseline, advanced and champion trees, on balanced rows without and on all rows with class weights."""
+    out = {}
+    for group, rows, weights in (("balanced", synthetic_balance(train), False), ("original", train, True)):
+        rich = advanced(rows, test)
+        for name, frames, rounds, depth, step in (("baseline", (rows, test), 100, 6, 0.3), ("advanced", rich, 100, 6, 0.3), ("champion", rich, 400, 9, 0.03)):
+            size = dict(max_iter=rounds, depth=depth, step=step, subsample=1.0, features="all", balanced=weights)
+            out[f"{name} {group}"] = (partial(fit, **size), *frames)
+    return out
+
+
 @query("ml14_model_comparison")
 def ml14(spark, d):
     train, _, test = frame(spark, d)
-    fits = {"logistic": plain_logistic, "logistic plain": lambda t: M.logistic(t, balanced=False),
-            "forest": lambda t: M.random_forest(t, trees=10, depth=5), "boosted": boosted}
+    fits = {"logistic": plain_logistic, "logistic plain": lambda t: M.logistic(t, balanced=False), "forest": M.random_forest, "boosted": M.boosted_trees}
+    runs = {name: (fit, train, test) for name, fit in fits.items()} | matrix(train, test)
     rows = None
-    for name, fit in fits.items():
-        r = M.all_metrics(M.score(fit(train), test), name)
+    for name, (fit, known, held) in runs.items():
+        r = M.all_metrics(M.score(fit(known), held), name)
         rows = r if rows is None else rows.unionByName(r)
     return M.leaderboard(rows)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import models as M
 from riskspark.operators import neighbours, represent, stages, timeseries
+from riskspark.queries import model_queries as Q
 from riskspark.sources import tables
 from riskspark.sources.views import scored, txn
 
@@ -145,3 +146,44 @@ def test_hashed_candidates_find_the_neighbours(spark):
     assert all(hashed[k] >= d - 1e-9 for k, d in exact.items())
     votes = neighbours.knn_classify(df, df, 5, "id", "x", F.col("id") % 2 == 1, method="hashed", block=64)
     assert votes.count() == 800
+
+
+def test_model_queries_use_the_operators_sizes(monkeypatch):
+    """Forests, boosted trees, folds and trials are the operators' own; the comparison has the six of the matrix beside four others."""
+    calls = []
+
+    class Stop(Exception):
+        pass
+
+    def note(name):
+        def run(*args, **kwargs):
+            calls.append((name, args, kwargs))
+            raise Stop
+        return run
+
+    monkeypatch.setattr(Q, "frame", lambda spark, d: ("train", "val", "test"))
+    for name in ("stack", "search", "boosted_trees", "WeightedEnsemble"):
+        monkeypatch.setattr(M, name, note(name))
+    for fn in (Q.ml01, Q.ml08, Q.ml09, Q.ml12):
+        with pytest.raises(Stop):
+            fn(None, None)
+    boosted, stack, ensemble, search = calls
+    assert boosted[1:] == (("train",), {})
+    assert stack[1][2]["rf"] is M.random_forest and stack[2] == {} and len(stack[1]) == 4
+    assert ensemble[1][0]["rf"] is M.random_forest
+    assert search[2] == {} and set(search[1][2]) == {"maxIter", "maxDepth", "stepSize", "minInstancesPerNode", "subsamplingRate", "featureSubsetStrategy"}
+    monkeypatch.setattr(Q, "synthetic_balance", lambda train: "balanced")
+    monkeypatch.setattr(Q, "advanced", lambda train, test: (f"{train}+", f"{test}+"))
+    runs = {n: (f.keywords["max_iter"], f.keywords["depth"], f.keywords["balanced"], a, b) for n, (f, a, b) in Q.matrix("train", "test").items()}
+    assert runs == {
+        "baseline balanced": (100, 6, False, "balanced", "test"), "advanced balanced": (100, 6, False, "balanced+", "test+"),
+        "champion balanced": (400, 9, False, "balanced+", "test+"), "baseline original": (100, 6, True, "train", "test"),
+        "advanced original": (100, 6, True, "train+", "test+"), "champion original": (400, 9, True, "train+", "test+"),
+    }
+
+
+def test_balanced_rows_of_the_comparison(spark):
+    rows = [(i, int(i % 20 == 0), float(i % 7), float(i % 11)) for i in range(400)]
+    train = M.assemble(spark.createDataFrame(rows, "TransactionID bigint, isFraud int, a double, b double"), ["a", "b"])
+    got = {r["label"]: r["count"] for r in Q.synthetic_balance(train).groupBy("label").count().collect()}
+    assert got == {1.0: 76, 0.0: 152}  # a fifth of 380 negatives, then two negatives for each positive
