@@ -47,7 +47,11 @@ consent copyright disclaimer disqus dropdown footer footnav gdpr header login ma
 notices pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing sidebar sidebars signup skyscraper social
 sponsor sponsored subscribe subscription tagcloud toolbar topbar widget widgets complementary contentinfo alert dialog alertdialog""".split()
 _GOOD = """article articlebody content entry entrycontent maincontent post postbody postcontent story storybody""".split()
-NAMES = dict.fromkeys(_GOOD, 4) | dict.fromkeys(_BAD, -16)
+NAMES = dict.fromkeys(_GOOD, 4.0) | dict.fromkeys(_BAD, -5.5)  # a long paragraph outweighs one bad name
+_PARTLY = -3.0  # a bad word that is only part of a name
+_STATES = {"has", "no", "with", "without"}  # names that begin so tell what else there is
+#: Elements whose text runs to the end of the page where their end is missing.
+_TO_END = {"script", "style", "textarea"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
@@ -62,29 +66,40 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(raw)}
 
 
+def _named(values: list[str]) -> float:
+    """Log-odds of the names in class, id and role: the best good one and the worst bad one, summed."""
+    good = bad = 0.0
+    for v in values:
+        for token in re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", v).lower().split():
+            parts = [p for p in _PARTS.findall(token) if not p.isdigit()]
+            if not parts or len(parts) > 1 and parts[0] in _STATES:
+                continue
+            whole = NAMES.get("".join(parts), 0.0)
+            each = [NAMES.get(p, 0.0) for p in parts]
+            if not whole:
+                whole = min(each) if max(each) < 0 else max(each) + (_PARTLY if min(each) < 0 else 0.0)
+            good, bad = max(good, whole), min(bad, whole)
+    return good + bad
+
+
 def _element_bias(name: str, raw: str, inside_article: bool) -> tuple[float, float]:
-    """Log-odds that one element gives by its kind, and by its class, id and role, where the strongest name counts."""
-    bias, named = float(ELEMENT.get(name, 0)), 0.0
+    """Log-odds that one element gives by its kind, and by its class, id and role.
+
+    Ids of headings, and of sections inside an article, are mostly made from the text of the heading and say nothing.
+    """
+    bias = float(ELEMENT.get(name, 0))
     if name == "header" and inside_article:
         bias = -1.0
-    if raw and not raw.isspace():
-        a = _attributes(raw)
-        if "hidden" in a or a.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", "")):
-            return -30.0, 0.0
-        words = set()
-        for v in (a.get("class", ""), a.get("id", ""), a.get("role", "")):
-            for token in re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", v).lower().split():
-                parts = _PARTS.findall(token)
-                words.update(parts)
-                words.add("".join(parts))
-        if name not in ("html", "body", "article", "main"):
-            scores = [NAMES[w] for w in words if w in NAMES]
-            if scores:
-                low, high = min(scores), max(scores)
-                named = float(low if low < 0 and not (high > 0 and "header" in words) else high)
-        elif name in ("article", "main") and words & {"comment", "comments", "reply"}:
-            bias -= 22
-    return bias, named
+    if not raw or raw.isspace():
+        return bias, 0.0
+    a = _attributes(raw)
+    if "hidden" in a or a.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", "")):
+        return -30.0, 0.0
+    if name in ("html", "body"):
+        return bias, 0.0
+    from_text = name in _HEADINGS or name == "section" and inside_article
+    named = _named([a.get("class", ""), "" if from_text else a.get("id", ""), a.get("role", "")])
+    return bias, min(named, 0.0) if name in ("article", "main") else named
 
 
 def blocks(page: str) -> list[Block]:
@@ -95,6 +110,7 @@ def blocks(page: str) -> list[Block]:
     state = {"number": 0}
     open_, seen = Counter(), Counter()
     linked: list[str] = []
+    endless: set[str] = set()  # raw elements without an end in the rest of the page
 
     def flush() -> None:
         if text:
@@ -154,8 +170,13 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in RAW:
             if not m["attrs"].rstrip().endswith("/") or name in ("script", "style", "textarea", "iframe", "noscript"):
-                end = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else n
+                end = None if name in endless else re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
+                if end:
+                    at = end.end()
+                elif name in _TO_END:
+                    at = n
+                else:
+                    endless.add(name)
             if name in ("iframe", "object", "video", "canvas"):
                 flush()
             continue
@@ -172,6 +193,8 @@ def blocks(page: str) -> list[Block]:
         own, named = _element_bias(name, m["attrs"], open_["article"] + open_["main"] > 0)
         if name in ("article", "main") and not seen[name]:
             names = max(names, 0.0)  # wrappers of the first article are named for what else they hold
+        if named < 0 and named <= NAMES["comment"]:
+            own, kind, names = min(own, 0.0), min(kind, 0.0), min(names, 0.0)  # what the elements around it hold does not speak for it
         seen[name] += 1
         stack.append((name, kind + own, state["number"], names + named))
         open_[name] += 1

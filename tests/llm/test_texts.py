@@ -171,6 +171,23 @@ def test_odd_pages(page, text):
     assert main_text.extract(page) == text
 
 
+LONG = "The tenant may end the contract with three months of notice, " * 5 + "as the law says."
+
+
+@pytest.mark.parametrize("page,text", [
+    ('<article><h2 id="related-work">Related work</h2><p>Others did this before.</p></article>', "Related work\nOthers did this before."),
+    ('<article><p>First.</p><section id="notice-period"><p>Three months.</p></section><section id="search"><p>How to search.</p></section></article>', "First.\nThree months.\nHow to search."),
+    ('<div id="content" class="has-sidebar"><p>A page in a frame of two columns.</p></div>', "A page in a frame of two columns."),
+    (f'<div class="widget"><p>{LONG}</p></div>', LONG), (f'<article><div class="notice"><p>{LONG}</p></div></article>', LONG),
+    ('<article><p>Main story text is here.</p><div class="sidebar"><p>Read our other story too.</p></div></article>', "Main story text is here."),
+    ('<article class="post has-comments"><p>Main story text is here.</p></article><article class="comment"><p>I like this story a lot.</p></article>', "Main story text is here."),
+    ("<article><p>Before the drawing.</p><svg><p>After it comes more.</p></article>", "Before the drawing.\nAfter it comes more."),
+    ("<article><p>Before the code.</p><script>var x = 1; <p>After it.</p>", "Before the code."),
+])
+def test_names_are_evidence_that_text_can_outweigh(page, text):
+    assert main_text.extract(page) == text
+
+
 def test_pages_of_the_table(spark):
     pages = {r["page_id"]: r for r in table(spark, "/root/testdata/sf0.001", "pages").collect()}
     got = entry.queries()["op5_main_text"](spark, "/root/testdata/sf0.001").collect()
