@@ -66,7 +66,17 @@ def assign(df: DataFrame, limit: int, text: str = "text", key: str = "doc_id") -
     pass the limit they go to overflow shards in running order, never to one task as a group of rows. An empty table gives
     an empty table; other columns are not looked at.
     """
-    slim = df.select(F.col(key).alias("k"), F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long").alias("size"), bits(F.col(key), F.col(text)).alias("h"))
+    both = _placed(_sized(df, F.col(key), text, key), limit)
+    return both.select(F.col("k").alias(key), F.col("size").alias("n_bytes"), "shard", "depth", "shard_bytes", "shard_rows")
+
+
+def _sized(df: DataFrame, k: Column, text: str, key: str) -> DataFrame:
+    """(k, size, h) of every row; ``k`` stays with the row."""
+    return df.select(k.alias("k"), F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long").alias("size"), bits(F.col(key), F.col(text)).alias("h"))
+
+
+def _placed(slim: DataFrame, limit: int) -> DataFrame:
+    """(k, size, shard, depth, shard_bytes, shard_rows) of (k, size, h)."""
     sized = stored(slim, "sized")
     leaves, overfull = directory(sized.select("h", "size"), limit)
     leaves, overfull = stored(leaves, "leaves"), stored(overfull, "overfull")
@@ -79,8 +89,7 @@ def assign(df: DataFrame, limit: int, text: str = "text", key: str = "doc_id") -
         "k", "size", name.alias("shard"), "depth", F.col("bytes").alias("shard_bytes"), F.col("rows").alias("shard_rows")
     )
     rest = _overflow(sized, overfull, limit)
-    both = placed.unionByName(rest)
-    return both.select(F.col("k").alias(key), F.col("size").alias("n_bytes"), "shard", "depth", "shard_bytes", "shard_rows")
+    return placed.unionByName(rest)
 
 
 def _overflow(sized: DataFrame, overfull: DataFrame, limit: int) -> DataFrame:
@@ -103,8 +112,15 @@ def _overflow(sized: DataFrame, overfull: DataFrame, limit: int) -> DataFrame:
 
 
 def write_shards(df: DataFrame, path: str, limit: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Write ``df`` as one parquet folder per shard and return the shards (shard, rows); ``key`` must be unique."""
-    placed = assign(df, limit, text, key).select(F.col(key).alias("_key"), F.col("shard").alias("_shard"))
-    out = df.join(placed, df[key] == placed["_key"]).drop("_key")
+    """Write every row of ``df`` once, as one parquet folder per shard, and return the shards (shard, rows).
+
+    Rows are numbered and stored before they are placed, so that null and repeated keys each keep their own line.
+    """
+    numbered = stored(df.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_rest")), "numbered")
+    slim = numbered.select("_row", F.col("_rest")[text].alias("_text"), F.col("_rest")[key].alias("_key"))
+    placed = _placed(_sized(slim, F.col("_row"), "_text", "_key"), limit).select(F.col("k").alias("_row"), F.col("shard").alias("_shard"))
+    out = numbered.join(placed, "_row").select("_rest.*", "_shard")
     out.repartition("_shard").write.partitionBy("_shard").parquet(path)
-    return df.sparkSession.read.parquet(path).groupBy(F.col("_shard").alias("shard")).agg(F.count(F.lit(1)).alias("rows"))
+    # names are bit strings, not numbers; the one shard without bits is stored as null
+    written = df.sparkSession.read.schema(out.schema).parquet(path)
+    return written.groupBy(F.coalesce("_shard", F.lit("")).alias("shard")).agg(F.count(F.lit(1)).alias("rows"))

@@ -104,3 +104,25 @@ def test_written_shards(spark, tmp_path):
     docs = spark.createDataFrame([(i, "y" * 10) for i in range(100)], "doc_id long, text string")
     shards = sharding.write_shards(docs, str(tmp_path / "s"), 200).collect()
     assert sum(r["rows"] for r in shards) == 100 and max(r["rows"] for r in shards) <= 20
+
+
+def test_written_shards_keep_null_and_repeated_ids(spark, tmp_path):
+    docs = [(i, f"{i} " + "y" * 8) for i in range(60)] + [(None, "no id at all")] * 5 + [(None, None), (7, "z" * 9), (7, None)] + [(8, f"{i} of one id") for i in range(40)]
+    df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(docs)], "doc_id long, text string, n int").repartition(4)
+    path = str(tmp_path / "s")
+    shards = {r["shard"]: r["rows"] for r in sharding.write_shards(df, path, 60).collect()}
+    rows = spark.read.schema("doc_id long, text string, n int, _shard string").parquet(path).collect()
+    assert sorted((r["n"], r["doc_id"], r["text"]) for r in rows if r["doc_id"] is not None and r["text"] is not None) == [
+        (i, k, t) for i, (k, t) in enumerate(docs) if k is not None and t is not None]
+    assert sorted(r["n"] for r in rows) == list(range(len(docs)))
+    held = {}
+    for r in rows:
+        held.setdefault(r["_shard"], []).append(len((r["text"] or "").encode()))
+    assert shards == {s: len(v) for s, v in held.items()} and all(sum(v) <= 60 for v in held.values())
+
+
+def test_written_shards_of_small_and_empty_tables(spark, tmp_path):
+    df = spark.createDataFrame([(None, "a"), (1, "b"), (1, "b")], "doc_id long, text string")
+    assert [tuple(r) for r in sharding.write_shards(df, str(tmp_path / "one"), 100).collect()] == [("", 3)]
+    assert sharding.write_shards(df.limit(0), str(tmp_path / "none"), 100).collect() == []
+
