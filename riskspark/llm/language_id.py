@@ -227,7 +227,18 @@ def identify(docs: DataFrame, net: Network | None, text: str = "text", key: str
     return said.select(F.col("k").alias(key), held_out(F.col("k"), folds).alias("held_out"), F.col("s.lang").alias("lang_pred"), F.col("s.score").alias("score"))
 
 
-def accepted(docs: DataFrame, net: Network | None, least: float = 0.3, text: str = "text") -> DataFrame:
-    """``docs`` without the rows that have no language or one below the score ``least``."""
+def least_score(labels: int) -> float:
+    """The score that a text must reach: a fifteenth of the way from chance to certainty (0.3 for four labels), none for one label."""
+    return 1 / labels + (1 - 1 / labels) / 15 if labels > 1 else 0.0
+
+
+def accepted(docs: DataFrame, net: Network | None, least: float | None = None, text: str = "text") -> DataFrame:
+    """``docs`` without the rows that have no language or one below the score ``least``, by default ``least_score``.
+
+    Where nothing could be learned, no text has a score; then only texts that are null or without a letter go.
+    """
+    if net is None:
+        return docs.where(F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
+    least = least_score(len(net.labels)) if least is None else least
     said = docs.select(F.struct("*").alias("rest"), language(net, F.col(text)).alias("s"))
     return said.where((F.col("s.lang") != UNKNOWN) & (F.col("s.score") >= least)).select("rest.*")

@@ -88,6 +88,17 @@ def test_language_without_labels(spark):
     assert language_id.learn(df.limit(0)) is None and language_id.identify(df.limit(0), None).count() == 0
 
 
+def test_accepted_without_a_network_keeps_texts_with_letters(spark):
+    df = spark.createDataFrame([(1, "some text", None), (2, "12 !", None), (3, None, None), (None, "é", None)], "doc_id long, text string, lang string")
+    kept = language_id.accepted(df, language_id.learn(df))
+    assert kept.columns == df.columns and sorted(r["text"] for r in kept.collect()) == ["some text", "é"]
+
+
+def test_least_score_follows_chance():
+    assert language_id.least_score(4) == 0.3 and language_id.least_score(1) == 0
+    assert all(1 / n < language_id.least_score(n) < 1 / n + 0.07 for n in (2, 3, 10, 100))
+
+
 def test_pieces_equal_the_library(spark, docs):
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + list(enumerate(ODD)) + [(None, None), (None, "x y")]
