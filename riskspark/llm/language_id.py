@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,18 +158,20 @@ _SAMPLE = T.StructType([T.StructField("lang", T.StringType()), T.StructField("or
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = 6000, pieces: int = 4, folds: int = 5) -> Network | None:
     """A network fitted on a bounded sample of labelled rows outside the held-out fold; None if there are none.
 
-    ``rows`` bounds the sampled documents over all languages together (the same share for each; the first in hash order of
-    the id) and ``pieces`` the windows taken from each, spread over the whole text. That is at most rows x pieces x 192
-    bytes on the driver. Nothing but these windows and their labels enters the fit.
+    ``rows`` bounds the sampled documents over all languages together (the same share for each, one at least; the first in
+    hash order of id and text, equal rows once) and ``pieces`` the windows taken from each, spread over the whole text. They
+    are cut to that on Spark, so at most rows x pieces x 192 bytes reach the driver. Nothing but these windows and their
+    labels enters the fit.
     """
     labelled = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).where(
         F.col("l").isNotNull() & F.col("t").isNotNull() & ~held_out(F.col("k"), folds)
     )
-    counts = {r["l"]: r["n"] for r in labelled.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
+    hashed = labelled.where(F.col("t").rlike(r"\p{L}")).select("l", F.xxhash64("k", "t").alias("h"), "t")
+    counts = {r["l"]: r["n"] for r in hashed.select("l", "h").distinct().groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return None
     share = max(1, rows // len(counts))
-    unit = F.xxhash64("k").bitwiseAND(F.lit((1 << 30) - 1))
+    unit = F.col("h").bitwiseAND(F.lit((1 << 30) - 1))
     cut = {k: int(min(1.0, 1.3 * share / n + 30 / n) * (1 << 30)) for k, n in counts.items()}
     limit = F.element_at(F.create_map(*[F.lit(x) for kv in cut.items() for x in kv]), F.col("l"))
 
@@ -183,14 +185,14 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.binary()))], _SAMPLE.fieldNames())
 
-    sample = labelled.where(unit < limit).where(F.col("t").rlike(r"\p{L}")).select("l", unit.alias("o"), "t").mapInArrow(tidy(pick), _SAMPLE).collect()
-    if not sample:
-        return None
+    # distinct rows below the cut are few (about the share of each language, whatever the input), so one window may rank them
+    thin = hashed.where(unit < limit).groupBy("l", "h").agg(F.first("t").alias("t"))
+    place = F.row_number().over(Window.partitionBy("l").orderBy(unit, "h"))
+    sample = thin.withColumn("o", place.cast("long")).where(F.col("o") <= share).select("l", "o", "t").mapInArrow(tidy(pick), _SAMPLE).collect()
     labels = sorted({r["lang"] for r in sample})
     chosen: list[tuple[bytes, int]] = []
     for i, name in enumerate(labels):
-        mine = sorted((r["order"], bytes(r["piece"])) for r in sample if r["lang"] == name)
-        chosen += [(p, i) for _, p in mine[: share * pieces]]
+        chosen += [(p, i) for _, p in sorted((r["order"], bytes(r["piece"])) for r in sample if r["lang"] == name)]
     x = np.frombuffer(b"".join(p for p, _ in chosen), np.uint8).reshape(len(chosen), WINDOW)
     y = np.array([i for _, i in chosen])
     return Network(labels).fit(x, y)

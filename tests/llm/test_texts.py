@@ -99,6 +99,25 @@ def test_least_score_follows_chance():
     assert all(1 / n < language_id.least_score(n) < 1 / n + 0.07 for n in (2, 3, 10, 100))
 
 
+def test_sample_is_bounded_where_one_id_holds_a_third(spark, monkeypatch):
+    """One id with a hundred texts, and a hundred copies of one row: each gives no more than its share of distinct rows."""
+    import zlib
+
+    mine = next(k for k in range(1000) if zlib.crc32(str(k).encode()) % 5)
+    rows = [(mine, f"text number {i}", "a") for i in range(300)] + [(mine, "copy of a row", "b")] * 100 + [(i, f"words {i}", "b") for i in range(100)]
+    seen = []
+    monkeypatch.setattr(language_id.Network, "fit", lambda self, x, y: seen.append((x, y)) or self)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    collected = []
+    frame = type(df)
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: collected.append(collect(self)) or collected[-1])
+    assert language_id.learn(df, rows=40, pieces=1).labels == ["a", "b"]
+    x, y = seen[0]
+    assert np.bincount(y).tolist() == [20, 20] and len(np.unique(x, axis=0)) == 40
+    assert max(map(len, collected)) <= 40
+
+
 def test_pieces_equal_the_library(spark, docs):
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + list(enumerate(ODD)) + [(None, None), (None, "x y")]
