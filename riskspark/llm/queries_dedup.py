@@ -4,15 +4,24 @@ A row per byte window takes DuckDB over a minute and several GB on a thousand do
 a brute-force version instead, as are the SimHash groups.
 """
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from riskspark.llm import phrase_dedup, simhash, suffix_dedup
 from riskspark.llm.base import table
 from riskspark.llm.registry import query
 
 _BYTES, _WORDS = 400, 13
 
+
+def digested(out: DataFrame) -> DataFrame:
+    """The operator's rows with the digest of the kept text in place of the text."""
+    return out.withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256)).drop("kept")
+
+
 @query("op3_suffix_dedup")
 def suffix(spark, sf_dir):
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), _BYTES, with_kept=False)
+    return digested(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), _BYTES))
 
 
 @query("op6_simhash")
@@ -35,4 +44,4 @@ FROM docs LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 
 @query("op9_substring_dedup", PHRASE_SQL)
 def substring(spark, sf_dir):
-    return phrase_dedup.remove_passages(table(spark, sf_dir, "documents"), _WORDS, with_kept=False)
+    return digested(phrase_dedup.remove_passages(table(spark, sf_dir, "documents"), _WORDS))

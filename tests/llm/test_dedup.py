@@ -198,3 +198,19 @@ def test_components_of_chains_and_stars(spark):
 @pytest.mark.parametrize("call", [suffix_dedup.remove_repeats, phrase_dedup.remove_passages, simhash.near_duplicates])
 def test_empty_tables(spark, call):
     assert call(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("name,module,operator", [("op3_suffix_dedup", suffix_dedup, "remove_repeats"), ("op9_substring_dedup", phrase_dedup, "remove_passages")])
+def test_queries_digest_the_text_that_the_operator_returns(spark, monkeypatch, name, module, operator):
+    """The operator is asked for its whole output, and the digest is that of the text in it."""
+    made, run = [], getattr(module, operator)
+
+    def whole(*args, **kwargs):
+        made.append(run(*args, **kwargs))
+        return made[-1]
+
+    monkeypatch.setattr(module, operator, whole)
+    got = entry.queries()[name](spark, "/root/testdata/sf0.001")
+    kept = {r["doc_id"]: bytes(r["kept"]) if name.startswith("op3") else r["kept"].encode() for r in made[0].collect()}
+    assert {r["doc_id"]: r["kept_sha256"] for r in got.collect()} == {k: hashlib.sha256(t).hexdigest() for k, t in kept.items()}
+    assert [c for c in made[0].columns if c != "kept"] == got.columns
