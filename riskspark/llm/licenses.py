@@ -3,7 +3,8 @@
 A template is a run of licence words with a mandatory key phrase in it. The index holds, for each template, the word of its
 key phrase with the highest inverse document frequency over the scanned texts, and its offset. A text's words are looked up
 there; each posting gives the place where the template would start; the key phrase is verified word by word at that place,
-and the other template words are intersected by their position relative to it, all inside the row of the text.
+and the other template words, which have no postings of their own, are compared at their places after it, all inside the row
+of the text.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Exact places of word phrases in texts with JVM functions only.
 
-A phrase is looked up by one of its words, the rarest in the corpus: a text that holds the phrase holds that word at the
+A phrase is looked up by one of its words, the one that the fewest texts hold: a text that holds the phrase holds that word at the
 phrase's offset, so a single necessary token finds every place. Places are then bounded by position and length and compared
 word by word. The array of words never leaves its row: exploding, probing and comparing are one generated loop.
 """
@@ -23,15 +23,15 @@ def split_words(rows: DataFrame) -> DataFrame:
 
 
 def rarest_words(phrases: DataFrame, rows: DataFrame, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``phrases`` (id, arr) with ``token`` and ``off``: the word of each that is rarest in all texts, and its offset.
+    """``phrases`` (id, arr) with ``token`` and ``off``: the word of each that the fewest texts hold, and its offset.
 
-    Words are counted over whole texts, added up per task before they move. A phrase with a word that no text holds cannot
+    Texts are counted once for each of their words, added up per task before they move. A phrase with a word that no text holds cannot
     occur and is left out.
     """
     each = phrases.select("id", F.posexplode("arr").alias("off", "token"))
     vocabulary = stored(each.select("token").distinct(), "vocabulary")
     small = F.broadcast(vocabulary) if bytes_of(vocabulary) <= most_bytes else vocabulary
-    seen = split_words(rows).select(F.explode("words").alias("token")).join(small, "token", "left_semi")
+    seen = split_words(rows).select(F.explode(F.array_distinct("words")).alias("token")).join(small, "token", "left_semi")
     counts = stored(seen.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "counts")
     ranked = each.join(counts, "token", "left").groupBy("id").agg(
         F.min(F.struct("n", "off", "token")).alias("first"), F.count("n").alias("known"), F.count("off").alias("all")

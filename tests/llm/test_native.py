@@ -7,7 +7,8 @@ from oracle_check import compare, connect
 from rows import clashing, ordered
 
 import __spark_entry__ as entry
-from riskspark.llm import decontaminate, licenses, sharding
+from riskspark.llm import decontaminate, licenses, phrases, sharding
+from riskspark.llm.base import keyed
 
 SF = "/root/testdata/sf0.01"
 
@@ -73,6 +74,12 @@ def test_licences(spark):
     assert licenses.scan(clashing(spark, docs).limit(0)).count() == 0
 
 
+def test_the_rarest_word_is_in_the_fewest_texts(spark):
+    docs = spark.createDataFrame([(1, "often often often often seldom"), (2, "seldom"), (3, "seldom")], "doc_id long, text string")
+    wanted = spark.createDataFrame([(0, ["seldom", "often"])], "id long, arr array<string>")
+    assert [(r["token"], r["off"]) for r in phrases.rarest_words(wanted, keyed(docs)).collect()] == [("often", 1)]
+
+
 def check_shards(rows, limit, sizes):
     total, count = {}, {}
     for r in rows:
