@@ -125,6 +125,18 @@ def _ranking_row(s: DataFrame, n1: int, n0: int) -> DataFrame:
     return s.agg(F.sum(area).alias("auc_roc"), F.sum(gain * prec).alias("average_precision"), F.sum(gain * (prec + prev) / 2).alias("auc_pr"))
 
 
+def average_precisions(df: DataFrame, group: str, label: str = "y", score: str = "p") -> DataFrame:
+    """(group, average_precision) of many score lists at once: running totals over one order by group and falling score, from which each
+    group's start is taken off. A group without positives has 0."""
+    counts = df.groupBy(group, F.col(score).alias("score")).agg(F.sum(label).cast("bigint").alias("n1"), F.count("*").alias("n"))
+    cum = running_totals(counts, [group, F.desc("score")], {"tp_before": F.col("n1"), "n_before": F.col("n")}, "score_groups")
+    start = cum.groupBy(group).agg(F.min("tp_before").alias("tp0"), F.min("n_before").alias("n0"), F.sum("n1").alias("all1"))
+    both = cum.join(F.broadcast(start), group)  # one row per group
+    precision = (F.col("tp_before") + F.col("n1") - F.col("tp0")) / (F.col("n_before") + F.col("n") - F.col("n0"))
+    gain = F.coalesce(F.try_divide(F.col("n1").cast("double"), F.col("all1")), F.lit(0.0))
+    return both.groupBy(group).agg(F.sum(gain * precision).alias("average_precision"))
+
+
 def best_threshold(df: DataFrame, label: str = "isFraud", score: str = "p") -> DataFrame:
     """(threshold, f1, precision, recall) with the best F1 over distinct scores; ties take the smallest score. Without
     rows the threshold is 0.5."""

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import random
-
 import numpy as np
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import CrossValidator
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.operators import boosting
 from riskspark.operators import evaluate as E
 from riskspark.operators.resample import assign_folds
 from riskspark.operators.timeseries import lag_frame
@@ -59,10 +56,10 @@ def score(model, df: DataFrame, out: str = "p") -> DataFrame:
 # ---- classifiers ----------------------------------------------------------------------------------------------------
 
 def boosted_trees(train: DataFrame, max_iter: int = 500, depth: int = 12, step: float = 0.02, subsample: float = 0.8,
-                  features: str = "0.8", seed: int = 42, balanced: bool = True):
+                  columns: float = 0.8, seed: int = 42, balanced: bool = True, **options):
+    """Boosted trees on histograms, positives weighted by n0/n1 if ``balanced``."""
     frame = weighted(train, class_weights(train, "positive") if balanced else {0.0: 1.0, 1.0: 1.0})
-    return GBTClassifier(maxIter=max_iter, maxDepth=depth, stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=features,
-                         weightCol="weight", seed=seed).fit(frame)
+    return boosting.fit(frame, boosting.Setting(max_iter, depth, step, subsample, columns, seed=seed), **options)
 
 
 def random_forest(train: DataFrame, trees: int = 100, depth: int = 15, balanced: bool = False, seed: int = 42):
@@ -212,41 +209,21 @@ class WeightedEnsemble:
         return out.withColumn("prediction", (F.col("p") >= F.lit(self.threshold)).cast("int"))
 
 
-class AveragePrecision(Evaluator):
-    """Exact average precision for model search."""
-
-    def __init__(self, label: str = "label"):
-        super().__init__()
-        self.label = label
-
-    def _evaluate(self, dataset):
-        s = dataset.select(F.col(self.label).cast("int").alias("y"), probability().alias("p"))
-        return float(E.ranking_metrics(s, "y", "p").first()["average_precision"] or 0.0)
-
-    def isLargerBetter(self):
-        return True
+def search(train: DataFrame, id_col: str, space: dict, trials: int = 20, folds: int = 3, seed: int = 42, rungs: int = 4, **options) -> tuple[DataFrame, object]:
+    """Successive halving over random boosted-tree settings by stratified folds; returns (budget table, best model on all rows).
 
+    ``space`` maps a field of ``boosting.Setting`` to its candidate values. The table has a line per rung and trial that took part:
+    (rung, trial, params, rounds, average_precision, goes_on); the setting that goes on from the last rung is refitted.
+    """
+    marked = persist_table(assign_folds(weighted(train, class_weights(train, "positive")), id_col, folds, "isFraud", seed), "search")
 
-def search(train: DataFrame, id_col: str, space: dict, trials: int = 10, folds: int = 3, seed: int = 42, parallelism: int = 2, **fixed) -> tuple[DataFrame, object]:
-    """Random search over boosted-tree settings by stratified folds; returns (trials table, best model).
+    def score_all(chances: DataFrame) -> dict:
+        return {r["model"]: r["average_precision"] for r in E.average_precisions(chances, "model").collect()}
 
-    ``space`` maps a GBTClassifier parameter name to its candidate values.
-    """
-    rng = random.Random(seed)
-    marked = assign_folds(weighted(train, class_weights(train, "positive")), id_col, folds, "isFraud", seed)
-    est = GBTClassifier(weightCol="weight", seed=seed, **fixed)
-    maps, seen = [], set()
-    n_all = int(np.prod([len(v) for v in space.values()]))
-    while len(maps) < min(trials, n_all):
-        pick = {k: rng.choice(v) for k, v in space.items()}
-        key = tuple(sorted(pick.items()))
-        if key not in seen:
-            seen.add(key)
-            maps.append({est.getParam(k): v for k, v in pick.items()})
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=AveragePrecision(), numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
-    found = cv.fit(persist_table(marked, "search"))
-    rows = [(i, str({p.name: v for p, v in m.items()}), float(a)) for i, (m, a) in enumerate(zip(maps, found.avgMetrics))]
-    return train.sparkSession.createDataFrame(rows, "trial int, params string, average_precision double"), found.bestModel
+    table, best = boosting.halving(marked, "fold", folds, boosting.draws(space, trials, seed), score_all, rungs, **options)
+    rows = [(rung, trial, str({k: getattr(s, k) for k in space}), rounds, value, int(on)) for rung, trial, s, rounds, value, on in table]
+    schema = "rung int, trial int, params string, rounds int, average_precision double, goes_on int"
+    return train.sparkSession.createDataFrame(rows, schema), boosting.fit(marked, best, **options)
 
 
 # ---- forecast -------------------------------------------------------------------------------------------------------

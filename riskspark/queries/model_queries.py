@@ -151,10 +151,9 @@ def ml11_check(spark, d):
                   F.min(F.col("calibrated").between(0, 1).cast("int")).alias("in_range"))
 
 
-#: Candidates of the search: rounds, depth, step, rows of a leaf, and shares of rows and columns over their whole ranges.
-SPACE = {"maxIter": list(range(200, 1201, 100)), "maxDepth": list(range(3, 10)), "stepSize": [0.01, 0.02, 0.03, 0.05, 0.1, 0.2, 0.3],
-         "minInstancesPerNode": list(range(1, 21)), "subsamplingRate": [0.6, 0.7, 0.8, 0.9, 1.0],
-         "featureSubsetStrategy": ["0.4", "0.5", "0.6", "0.7", "0.8", "0.9", "all"]}
+#: Candidates of the search over their whole ranges: rounds, depth, step, least curvature of a leaf, shares of rows and columns.
+SPACE = {"rounds": list(range(200, 1201, 50)), "depth": list(range(3, 10)), "step": [0.01, 0.02, 0.03, 0.05, 0.1, 0.2, 0.3],
+         "min_weight": [float(i) for i in range(1, 21)], "subsample": [0.6, 0.7, 0.8, 0.9, 1.0], "columns": [0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]}
 
 
 @query("ml12_search")
@@ -269,7 +268,7 @@ def matrix(train, test, fit=M.boosted_trees):
     for group, rows, weights in (("balanced", synthetic_balance(train), False), ("original", train, True)):
         rich = advanced(rows, test)
         for name, frames, rounds, depth, step in (("baseline", (rows, test), 100, 6, 0.3), ("advanced", rich, 100, 6, 0.3), ("champion", rich, 400, 9, 0.03)):
-            size = dict(max_iter=rounds, depth=depth, step=step, subsample=1.0, features="all", balanced=weights)
+            size = dict(max_iter=rounds, depth=depth, step=step, subsample=1.0, columns=1.0, balanced=weights)
             out[f"{name} {group}"] = (partial(fit, **size), *frames)
     return out
 

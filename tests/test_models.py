@@ -171,7 +171,7 @@ def test_model_queries_use_the_operators_sizes(monkeypatch):
     assert boosted[1:] == (("train",), {})
     assert stack[1][2]["rf"] is M.random_forest and stack[2] == {} and len(stack[1]) == 4
     assert ensemble[1][0]["rf"] is M.random_forest
-    assert search[2] == {} and set(search[1][2]) == {"maxIter", "maxDepth", "stepSize", "minInstancesPerNode", "subsamplingRate", "featureSubsetStrategy"}
+    assert search[2] == {} and set(search[1][2]) == {"rounds", "depth", "step", "min_weight", "subsample", "columns"}
     monkeypatch.setattr(Q, "synthetic_balance", lambda train: "balanced")
     monkeypatch.setattr(Q, "advanced", lambda train, test: (f"{train}+", f"{test}+"))
     runs = {n: (f.keywords["max_iter"], f.keywords["depth"], f.keywords["balanced"], a, b) for n, (f, a, b) in Q.matrix("train", "test").items()}
