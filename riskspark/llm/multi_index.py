@@ -29,7 +29,7 @@ from riskspark.llm.base import column, forget, stored, tidy, unique
 #: Rows that fit the centroids: the first ones in hash order of the row id.
 SAMPLE = 16_384
 #: Entries of a shard, and queries that meet a copy of it.
-SHARD, ASKERS = 8192, 4096
+SHARD, ASKERS = 2048, 4096
 
 _LONG, _INTS = T.LongType(), T.ArrayType(T.IntegerType())
 _CELL = T.StructType([T.StructField("cell", T.IntegerType())])
