@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from functools import partial
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.operators import boosting
 from riskspark.operators import evaluate as E
 from riskspark.operators import models as M
 from riskspark.operators import neighbours, resample, stages, timeseries
@@ -46,6 +48,30 @@ def ml01(spark, d):
     return M.all_metrics(M.score(M.boosted_trees(train), test), "boosted trees")
 
 
+@query("ml01_first_split", """
+WITH l AS (SELECT isFraud AS y, unnest([1, 2, 3]) AS c, unnest([TransactionAmt, CAST(card1 AS DOUBLE), dist1]) AS v FROM txn),
+e AS (SELECT DISTINCT c, unnest(quantile_cont(v, [0.0625, 0.125, 0.1875, 0.25, 0.3125, 0.375, 0.4375, 0.5, 0.5625, 0.625, 0.6875, 0.75, 0.8125, 0.875, 0.9375])) AS edge FROM l GROUP BY c),
+b AS (SELECT 1 / (1 + exp(-round(ln(sum(isFraud) / sum(1 - isFraud)), 12))) AS p FROM txn),
+u AS (SELECT c, v, CASE WHEN y = 1 THEN round((p - 1) * 16777216) ELSE round(p * 16777216) END AS g, round(p * (1 - p) * 16777216) AS h FROM l, b),
+t AS (SELECT c, sum(g) / 16777216 AS g, sum(h) / 16777216 AS h FROM u GROUP BY c),
+s AS (SELECT e.c, edge, m, sum(u.g) FILTER (v <= edge OR (v IS NULL AND m = 1)) / 16777216 AS gl, sum(u.h) FILTER (v <= edge OR (v IS NULL AND m = 1)) / 16777216 AS hl
+  FROM (SELECT * FROM e UNION ALL SELECT DISTINCT c, 'infinity'::DOUBLE FROM e) e JOIN u USING (c), (SELECT unnest([0, 1]) AS m) GROUP BY ALL),
+g AS (SELECT c, edge, m, gl, hl, t.g - gl AS gr, t.h - hl AS hr, gl * gl / (hl + 1) + (t.g - gl) ** 2 / (t.h - hl + 1) - t.g * t.g / (t.h + 1) AS gain
+  FROM s JOIN t USING (c) WHERE hl >= 1 AND t.h - hl >= 1)
+SELECT CAST(c - 1 AS INT) AS feature, round(edge, 6) AS edge, m AS missing_left, round(-0.1 * gl / (hl + 1), 9) AS left_value, round(-0.1 * gr / (hr + 1), 9) AS right_value
+FROM g ORDER BY round(gain, 9) DESC, c, edge, m LIMIT 1""", "txn")
+def ml01_first_split(spark, d):
+    """The root of the first tree on three raw columns, one with gaps, and the values of its two leaves."""
+    t = txn(spark, d)
+    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in ("TransactionAmt", "card1", "dist1")])
+    made = t.select(array_to_vector(x).alias("features"), F.col("isFraud").cast("double").alias("label"))
+    model = boosting.fit(made, boosting.Setting(rounds=1, depth=1, step=0.1, subsample=1.0, columns=1.0), bins=16)
+    tree, edges = model.trees()[0], model.state["edges"]
+    cuts = [*edges[tree.column[0]], float("inf")]
+    row = (tree.column[0], round(cuts[tree.cut[0] - 1], 6), tree.missing[0], round(tree.value[1], 9), round(tree.value[2], 9))
+    return spark.createDataFrame([row], "feature int, edge double, missing_left int, left_value double, right_value double")
+
+
 @query("ml02_random_forest")
 def ml02(spark, d):
     train, _, test = frame(spark, d)
@@ -278,10 +304,12 @@ def ml14(spark, d):
     train, _, test = frame(spark, d)
     fits = {"logistic": plain_logistic, "logistic plain": lambda t: M.logistic(t, balanced=False), "forest": M.random_forest, "boosted": M.boosted_trees}
     runs = {name: (fit, train, test) for name, fit in fits.items()} | matrix(train, test)
-    rows = None
-    for name, (fit, known, held) in runs.items():
-        r = M.all_metrics(M.score(fit(known), held), name)
-        rows = r if rows is None else rows.unionByName(r)
+    def one(name):
+        fit, known, held = runs[name]
+        return persist_table(M.all_metrics(M.score(fit(known), held), name), "compared")
+
+    with ThreadPoolExecutor(4) as pool:  # the driver only waits; each fit is a Spark job of its own
+        rows = reduce(DataFrame.unionByName, pool.map(one, runs))
     return M.leaderboard(rows)
 
 
