@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.scalars import amount_item
+from riskspark.operators.patterns import frequent_itemsets  # noqa: F401
 
 
 def fit_top_levels(df: DataFrame, column: str, n: int) -> list[str]:
@@ -35,25 +36,12 @@ def to_basket(df: DataFrame, top_domains: list[str], label: str | None = None) -
 
 
 def subsets(items):
-    """All non-empty sub-lists of a sorted array column. Rows hold one item per source column, so lists stay short."""
+    """All non-empty sub-lists of a sorted array column; of a frequent itemset they are frequent itemsets themselves."""
     empty = F.expr("array(cast(array() as array<string>))")
     grown = F.aggregate(items, empty, lambda acc, x: F.concat(acc, F.transform(acc, lambda s: F.concat(s, F.array(x)))))
     return F.filter(grown, lambda s: F.size(s) > 0)
 
 
-def frequent_itemsets(baskets: DataFrame, min_support: float) -> DataFrame:
-    """(items, size, freq, support) of all itemsets with enough support.
-
-    Rows are first counted per distinct basket; the subsets of a basket then carry that count, so the second step works on
-    distinct baskets only, whatever the number of rows.
-    """
-    n = baskets.count()
-    distinct = baskets.groupBy("items").agg(F.count("*").alias("c"))
-    sets = distinct.select(F.explode(subsets(F.col("items"))).alias("items"), "c").groupBy("items").agg(F.sum("c").alias("freq"))
-    support = F.col("freq") / F.lit(float(max(n, 1)))
-    return sets.select("items", F.size("items").alias("size"), "freq", support.alias("support")).where(F.col("support") >= min_support)
-
-
 def association_rules(itemsets: DataFrame, min_confidence: float, consequent_item: str | None = None) -> DataFrame:
     """Rules antecedent -> consequent from every split of a frequent itemset, with support, confidence and lift.
 
@@ -80,7 +68,7 @@ def top_rules(rules: DataFrame, n: int) -> DataFrame:
 
 
 def rule_score(antecedents: list[list[str]]):
-    """Number of rules whose items are all in ``items``; the rules are the few fitted ones, so this is a projection."""
+    """Number of rules whose items are all in ``items``, as a projection for a few rules; ``patterns.rule_scores`` is for many."""
     score = F.lit(0)
     for items in antecedents:
         have = F.lit(True)

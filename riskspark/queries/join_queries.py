@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskspark.operators import io_checks, joins, neighbours, rules, selection
+from riskspark.operators import io_checks, joins, neighbours, patterns, rules, selection
+from riskspark.plans.scratch import persist_table
 from riskspark.queries.registry import query
 from riskspark.queries.scalar_queries import _CUT, _ITEMS
 from riskspark.sources.views import V_COLUMNS, identity, scored, table, txn, vectors, wide
@@ -109,3 +110,17 @@ def jn09(spark, d):
     t = txn(spark, d)
     b = rules.to_basket(t, rules.fit_top_levels(t, "P_emaildomain", 6))
     return b.select("TransactionID", rules.rule_score([["Amt=Low", "email=other"], ["Amt=High"], ["card4=BUILDING", "Amt=Mid"]]).alias("score"))
+
+
+@query("jn09_many_rules", f"""
+WITH {_ITEMS.strip()},
+r AS (SELECT DISTINCT list_sort([a, b]) AS needed FROM (SELECT unnest(items) AS a, items FROM basket) x, unnest(x.items) AS t(b))
+SELECT TransactionID, CAST((SELECT count(*) FROM r WHERE list_has_all(basket.items, needed)) AS INT) AS score FROM basket""", "txn")
+def jn09_many(spark, d):
+    """Every single item and every pair of items that occurs together as a rule of its own, matched by the item index."""
+    t = txn(spark, d)
+    b = persist_table(rules.to_basket(t, rules.fit_top_levels(t, "P_emaildomain", 6)).select("TransactionID", "items"), "rule_baskets")
+    pairs = b.select("items").distinct().select(F.explode("items").alias("a"), "items").select("a", F.explode("items").alias("b"))
+    made = pairs.select(F.array_distinct(F.sort_array(F.array("a", "b"))).alias("antecedent")).distinct()
+    made = made.withColumn("rule", F.array_join("antecedent", ";"))
+    return patterns.rule_scores(b, made, "TransactionID").select("TransactionID", "score")
