@@ -9,7 +9,7 @@ from riskspark.operators import timeseries
 from riskspark.queries.profile_queries import rounded
 from riskspark.queries.registry import query
 from riskspark.sources.views import ORIGIN, table, txn
-from riskspark.streaming import streams
+from riskspark.streaming import keyed, streams
 
 
 def event_stream(spark, d):
@@ -42,8 +42,9 @@ _VELOCITY = "".join(
     f"SELECT '{e}' AS entity, id{_VELOCITY} FROM (SELECT event_id AS id, date_diff('second', TIMESTAMP '{ORIGIN}', ts) AS t, CAST({e} AS VARCHAR) AS k FROM events)"
     for e in ("user_id", "event_type")))
 def str02(spark, d):
-    sink = streams.VelocityStream(spark, ["user_id", "event_type"], "t", "event_id")
-    out = streams.run_available(event_stream(spark, d), tag="velocity", sink=sink)
+    entities = ["user_id", "event_type"]
+    salts = keyed.hot_values(table(spark, d, "events"), entities)
+    out = keyed.velocity_counts(keyed.velocity_stream(event_stream(spark, d), entities, "ts", "event_id", salts=salts))
     return out.select("entity", "id", *[f"cnt_{w}s" for w in streams.VELOCITY_WINDOWS])
 
 
