@@ -14,42 +14,46 @@ from riskspark.plans.quantiles import column_quantiles, indexed_long_form, per_c
 FLAT = 1e-12  # a column counts as constant when its variance is at most this share of its mean square around the centre
 
 
+#: Up to so many columns meet the label in one plain aggregation; more go through one line per cell.
+FEW_COLUMNS = 100
+
+
 def _numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     """Columns as doubles; NaN counts as missing."""
     cells = {f"_{i}": F.col(c).cast("double") for i, c in enumerate(columns)}
-    return df.select(*[F.when(~F.isnan(x), x).alias(n) for n, x in cells.items()]).coalesce(df.sparkSession.sparkContext.defaultParallelism)
+    return df.select(*[F.when(~F.isnan(x), x).alias(n) for n, x in cells.items()])
 
 
 def _centres(typed: DataFrame) -> np.ndarray:
-    """Means of the finite values of every column, from one row of sums per task; 0 for a column without any."""
-    import pandas as pd
-
-    p = len(typed.columns)
-
-    def sums(batches):
-        total, count = np.zeros(p), np.zeros(p)
-        for pdf in batches:
-            raw = pdf.to_numpy(dtype=float)
-            ok = np.isfinite(raw)
-            total += np.where(ok, raw, 0.0).sum(0)
-            count += ok.sum(0)
-        yield pd.DataFrame({"i": np.arange(p), "s": total, "n": count})
-
-    rows = typed.mapInPandas(sums, "i int, s double, n double").groupBy("i").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
-    centre = np.zeros(p)
-    for r in rows:
-        centre[r["i"]] = r["s"] / r["n"] if r["n"] else 0.0
-    return centre
+    """Means of the finite values of every column; 0 for a column without any."""
+    row = typed.agg(*[F.avg(F.when(F.abs(c) < float("inf"), F.col(c))) for c in typed.columns]).first()
+    return np.array([v or 0.0 for v in row])
+
+
+def _few_with_label(df: DataFrame, columns: list[str], label: str) -> list[float | None]:
+    """r of each column with the label, as in ``_moment_correlations``, in one aggregation."""
+    typed = _numbers(df, [*columns, label])
+    y = F.col(f"_{len(columns)}")
+    sums = []
+    for i in range(len(columns)):
+        x = F.col(f"_{i}")
+        sums += [F.covar_pop(x, y), F.var_pop(F.when(y.isNotNull(), x)), F.var_pop(F.when(x.isNotNull(), y))]
+    row = typed.agg(*sums).first()
+    found = []
+    for cov, vx, vy in zip(row[::3], row[1::3], row[2::3]):
+        known = None not in (cov, vx, vy) and np.isfinite([cov, vx, vy]).all() and vx > 0 and vy > 0
+        found.append(float(cov / (np.sqrt(vx) * np.sqrt(vy))) if known else None)
+    return found
 
 
 def _moment_correlations(df: DataFrame, left: list[str], right: list[str] | None = None) -> DataFrame:
     """(i, j, r) of the pairs i < j of ``left``, or of every ``left`` with every ``right`` column.
 
     Each pair counts the rows where both sides are present; NaN is missing. r is NULL when a side is constant on them or
-    holds an infinite value. Every task adds up matrices of products around common centres, for as many tasks as run at
-    once, and gives out one line per column.
+    holds an infinite value. Every task adds up matrices of products around common centres and gives out one line per column;
+    grouped sums add them up.
     """
-    import pandas as pd
+    import pyarrow as pa
 
     p, columns = len(left), left + (right or [])
     typed = _numbers(df, columns)
@@ -57,8 +61,8 @@ def _moment_correlations(df: DataFrame, left: list[str], right: list[str] | None
 
     def sums(batches):
         total, seen = 0.0, False
-        for pdf in batches:
-            raw = pdf.to_numpy(dtype=float)
+        for batch in batches:
+            raw = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
             here = ~np.isnan(raw)
             with np.errstate(invalid="ignore", over="ignore"):
                 x = np.where(here, raw - centre, 0.0)
@@ -69,9 +73,10 @@ def _moment_correlations(df: DataFrame, left: list[str], right: list[str] | None
                 ])
             seen = True
         if seen:
-            yield pd.DataFrame({"i": np.arange(p), **{f"m{t}": list(total[t]) for t in range(6)}})
+            lines = [pa.array(list(total[t]), pa.list_(pa.float64())) for t in range(6)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(p, dtype=np.int32)), *lines], ["i", *[f"m{t}" for t in range(6)]])
 
-    parts = typed.mapInPandas(sums, "i int, " + ", ".join(f"m{t} array<double>" for t in range(6)))
+    parts = typed.mapInArrow(sums, "i int, " + ", ".join(f"m{t} array<double>" for t in range(6)))
     cells = parts.select("i", F.posexplode(F.arrays_zip(*[f"m{t}" for t in range(6)])).alias("j", "m"))
     if not right:
         cells = cells.where(F.col("j") > F.col("i"))
@@ -86,8 +91,16 @@ def _moment_correlations(df: DataFrame, left: list[str], right: list[str] | None
 
 
 def label_correlations(df: DataFrame, columns: list[str], label: str = "isFraud") -> DataFrame:
-    """(column, ordinal, r) for all columns in one pass of products with the label."""
-    long = _moment_correlations(df, columns, [label])
+    """(column, ordinal, r) for all columns with the label in one aggregation, of a few columns or of one line per cell."""
+    if len(columns) <= FEW_COLUMNS:
+        found = _few_with_label(df, columns, label)
+        return df.sparkSession.createDataFrame([(c, i + 1, r) for i, (c, r) in enumerate(zip(columns, found))], "column string, ordinal bigint, r double")
+    y = F.col(label).cast("double")
+    long = indexed_long_form(df.select(*columns, F.when(~F.isnan(y), y).alias("_y")), [F.col(c) for c in columns], ["_y"])
+    long = long.where(~F.isnan("v") & F.col("_y").isNotNull())
+    sums = long.groupBy(F.col("ci").alias("i")).agg(F.covar_pop("v", "_y").alias("c"), F.var_pop("v").alias("vx"), F.var_pop("_y").alias("vy"))
+    r = F.when((F.col("vx") > 0) & (F.col("vy") > 0), F.try_divide(F.col("c"), F.sqrt("vx") * F.sqrt("vy")))
+    long = sums.select("i", F.when(~F.isnan(r), r).alias("r"))
     lines = df.sparkSession.createDataFrame(list(enumerate(columns)), "i int, column string")
     return lines.join(long, "i", "left").select("column", (F.col("i") + 1).cast("bigint").alias("ordinal"), "r")
 
