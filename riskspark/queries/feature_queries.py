@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskspark.functions import scalars as S
-from riskspark.operators import behavior as B
+from riskspark.operators import behavior as B, information
 from riskspark.operators import represent, resample, rules, selection, stages
 from riskspark.queries.profile_queries import TXN_DEVICE, _norm, rounded, txn_with_device
 from riskspark.queries.registry import query
@@ -68,6 +68,28 @@ left_over AS (SELECT "column", mi FROM ({_MI}) WHERE "column" NOT IN (SELECT c F
   AND "column" NOT IN (SELECT b FROM pairs WHERE abs(r) > 0.98 AND a NOT IN (SELECT c FROM gone)))"""
 
 
+def _digamma_sql(n):
+    return (f"(ln({n} + 10.0::DOUBLE) - 1 / (2 * ({n} + 10.0::DOUBLE)) - 1 / (12 * ({n} + 10.0::DOUBLE) ** 2) + 1 / (120 * ({n} + 10.0::DOUBLE) ** 4) - 1 / (252 * ({n} + 10.0::DOUBLE) ** 6)"
+            f" + 1 / (240 * ({n} + 10.0::DOUBLE) ** 8) - list_sum(list_transform(range(10), lambda i: 1.0::DOUBLE / ({n} + i))))")
+
+
+_NEAR_COLUMNS = {"card1": "card1", "cents": "round(TransactionAmt * 100)", "dist": "round(dist1 * 100)", "addr1": "addr1"}
+
+
+@query("fs04_neighbour_information", f"""
+WITH l AS (SELECT isFraud AS y, unnest([{", ".join(f"'{c}'" for c in _NEAR_COLUMNS)}]) AS c, unnest([{", ".join(f"coalesce(({x})::DOUBLE, -1)" for x in _NEAR_COLUMNS.values())}]) AS v FROM txn),
+r AS (SELECT *, count(*) OVER (PARTITION BY c, y) AS ny, count(*) OVER (PARTITION BY c) AS n,
+  list_sort(list_filter([v - lag(v, 1) OVER w, v - lag(v, 2) OVER w, v - lag(v, 3) OVER w, lead(v, 1) OVER w - v, lead(v, 2) OVER w - v, lead(v, 3) OVER w - v], lambda d: d IS NOT NULL))[3] AS r
+  FROM l WINDOW w AS (PARTITION BY c, y ORDER BY v)),
+m AS (SELECT *, count(*) OVER (PARTITION BY c ORDER BY v RANGE BETWEEN r PRECEDING AND r FOLLOWING) - CASE WHEN r > 0 THEN
+  count(*) OVER (PARTITION BY c ORDER BY v RANGE BETWEEN r PRECEDING AND r PRECEDING) + count(*) OVER (PARTITION BY c ORDER BY v RANGE BETWEEN r FOLLOWING AND r FOLLOWING) ELSE 0 END AS m FROM r)
+SELECT c AS "column", round(greatest(0, any_value({_digamma_sql("n")}) + {_digamma_sql("3")} - avg({_digamma_sql("ny")}) - avg({_digamma_sql("m")})), 6) AS mi FROM m GROUP BY c""", "txn")
+def fs04_near(spark, d):
+    """Whole-numbered columns, so that both engines compare exact distances."""
+    t = txn(spark, d).select("isFraud", *[F.expr(x).cast("double").alias(c) for c, x in _NEAR_COLUMNS.items()])
+    return information.neighbour_information(t, list(_NEAR_COLUMNS)).select("column", r6("mi").alias("mi"))
+
+
 @query("fs05_pruned_columns", f"""WITH {_LEFT} SELECT "column" FROM left_over ORDER BY round(mi, 12) DESC, "column" LIMIT 3""", "wide")
 def fs05(spark, d):
     model = stages.ColumnPruner(keep=3).fit(wide(spark, d).withColumn("TransactionID", F.lit(0)))
