@@ -5,13 +5,13 @@ from __future__ import annotations
 import numpy as np
 from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.operators import boosting
+from riskspark.operators import boosting, kernel
 from riskspark.operators import evaluate as E
 from riskspark.operators.resample import assign_folds
 from riskspark.operators.timeseries import lag_frame
@@ -97,6 +97,26 @@ def svm_margin(model, df: DataFrame) -> DataFrame:
     return made.drop("rawPrediction", "prediction")
 
 
+class KernelSvm:
+    """Support vectors with a radial kernel: a landmark map, linear support vectors on its image, a logistic calibration of the margin."""
+
+    def __init__(self, kernel_map, linear, calibration):
+        self.kernel_map, self.linear, self.calibration = kernel_map, linear, calibration
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``probability``, a vector of two; its own features stay."""
+        made = self.kernel_map.transform(df.withColumn("_raw", F.col("features")))
+        p = apply_platt(self.calibration, svm_margin(self.linear, made), "margin", "_p").drop("margin", "features").withColumnRenamed("_raw", "features")
+        return p.withColumn("probability", array_to_vector(F.array(1 - F.col("_p"), F.col("_p")))).drop("_p")
+
+
+def kernel_svm(train: DataFrame, landmarks: int = 200, gamma: float | None = None, reg: float = 0.001, max_iter: int = 100) -> KernelSvm:
+    """Balanced support vectors on the whitened kernel map of ``landmarks`` rows; the solver and the calibration see all rows."""
+    kernel_map = kernel.fit_map(train, landmarks, gamma)
+    linear, calibration = linear_svm(persist_table(kernel_map.transform(train), "mapped"), reg, max_iter)
+    return KernelSvm(kernel_map, linear, calibration)
+
+
 # ---- calibration ----------------------------------------------------------------------------------------------------
 
 def isotonic(df: DataFrame, column: str = "p"):

@@ -91,6 +91,66 @@ def ml04(spark, d):
     return M.all_metrics(M.apply_platt(calibration, M.svm_margin(model, test), "margin"), "linear svm")
 
 
+def rings(spark, d):
+    """(train, test) of card rows by hash of the id; the label is whether amount and balance lie inside an ellipse, which no line can cut out."""
+    t = txn(spark, d).where("dist1 is not null")
+    r = t.agg(*[f(c) for c in ("TransactionAmt", "dist1") for f in (F.avg, F.stddev_pop)]).first()
+    u, v = (F.col("TransactionAmt") - r[0]) / r[1], (F.col("dist1") - r[2]) / r[3]
+    made = t.select("TransactionID", u.alias("u"), v.alias("v"), (u * u + v * v < 0.8).cast("int").alias("isFraud"))
+    made = persist_table(M.assemble(made, ["u", "v"]).select("TransactionID", "isFraud", "label", "features"), "rings")
+    return made.where("TransactionID % 5 <> 0"), made.where("TransactionID % 5 = 0")
+
+
+_RINGS_SQL = """
+WITH t AS (SELECT TransactionID, TransactionAmt AS a, dist1 AS b FROM txn WHERE dist1 IS NOT NULL), r AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb FROM t)
+SELECT {model} AS model, count(*) AS n_rows, CAST(sum(CAST(((a - ma) / sa) ** 2 + ((b - mb) / sb) ** 2 < 0.8 AS INT)) AS BIGINT) AS positives, 1 AS ids_once, 1 AS in_range, {better} AS better_than_chance
+FROM t, r WHERE TransactionID % 5 = 0"""
+
+
+def checked(scored, name, margin=0.2):
+    """One row on a scored test table: every id once, chances in range, and a ROC area of at least one half plus ``margin``."""
+    held = persist_table(scored.select("TransactionID", "isFraud", "p"), "checked")
+    area = E.ranking_metrics(held).first()["auc_roc"]
+    return held.agg(F.lit(name).alias("model"), F.count("*").alias("n_rows"), F.sum("isFraud").cast("bigint").alias("positives"),
+                    (F.count("*") == F.countDistinct("TransactionID")).cast("int").alias("ids_once"), F.min(F.col("p").between(0, 1).cast("int")).alias("in_range"),
+                    F.lit(int(area >= 0.5 + margin)).alias("better_than_chance"))
+
+
+@query("ml04_kernel_svm", " UNION ALL ".join(_RINGS_SQL.strip().replace("WITH ", "SELECT * FROM (WITH ").format(model=f"'{m}'", better=b) + ")" for m, b in (("kernel", 1), ("linear", 0))), "txn")
+def ml04_kernel(spark, d):
+    """The kernel machine finds the ellipse with a ROC area of at least .9; linear support vectors stay within .2 of chance."""
+    train, test = rings(spark, d)
+    curved = checked(M.score(M.kernel_svm(train), test), "kernel", 0.4)
+    model, calibration = M.linear_svm(train)
+    return curved.unionByName(checked(M.apply_platt(calibration, M.svm_margin(model, test), "margin"), "linear"))
+
+
+@query("ml02_forest_check", _RINGS_SQL.format(model="'forest'", better=1), "txn")
+def ml02_check(spark, d):
+    train, test = rings(spark, d)
+    return checked(M.score(M.random_forest(train, balanced=True), test), "forest", 0.4)
+
+
+@query("ml01_boosted_check", _RINGS_SQL.format(model="'boosted'", better=1), "txn")
+def ml01_check(spark, d):
+    train, test = rings(spark, d)
+    return checked(M.score(M.boosted_trees(train), test), "boosted", 0.4)
+
+
+@query("ml06_network_check", _RINGS_SQL.format(model="'network'", better=1), "txn")
+def ml06_check(spark, d):
+    train, test = rings(spark, d)
+    return checked(M.score(M.dense_network(train, 2), test), "network", 0.3)
+
+
+@query("ml08_stacking_refit", " UNION ALL ".join(_RINGS_SQL.strip().replace("WITH ", "SELECT * FROM (WITH ").replace("% 5 = 0", f"% 5 {op} 0").format(model=f"'{m}'", better=1) + ")" for m, op in (("out of fold", "<>"), ("refit", "="))), "txn")
+def ml08_refit(spark, d):
+    """Boosted trees and a logistic base below a logistic meta model; the test rows are scored by bases refitted on all training rows."""
+    train, test = rings(spark, d)
+    oof, held = M.stack(train, test, {"lr": plain_logistic, "gbt": lambda t: M.boosted_trees(t, 100, 6, 0.1)}, "TransactionID", refit=True)
+    return checked(oof, "out of fold", 0.4).unionByName(checked(held, "refit", 0.4))
+
+
 @query("ml05_knn_classifier", """
 WITH h AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || vec_id), vec_id) - 1 AS rk, count(*) OVER (PARTITION BY label) AS nc FROM vectors),
 s AS (SELECT *, rk < floor(0.8::DOUBLE * nc) AS tr FROM h),
