@@ -8,8 +8,6 @@ automata stay small however the table grows.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -83,8 +81,8 @@ class Shard:
 
 
 _KEPT = [T.StructField(ROW, T.LongType()), T.StructField(DOC, T.LongType()), T.StructField("n_words", T.LongType()),
-         T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()), T.StructField("kept_sha256", T.StringType())]
-_ARROW = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+         T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
+_ARROW = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
 
 
 def _joined_spans(begin: np.ndarray, end: np.ndarray, first: np.ndarray):
@@ -95,8 +93,8 @@ def _joined_spans(begin: np.ndarray, end: np.ndarray, first: np.ndarray):
     return zip(b.tolist(), e.tolist(), last.tolist())
 
 
-def kept_words(rows: DataFrame, length: int = 13, automaton_chars: int = 400_000, with_kept: bool = True) -> DataFrame:
-    """(_row, _doc, n_words, n_removed, kept, kept_sha256), and ``rest`` where there is one, for keyed rows; see ``remove_passages``."""
+def kept_words(rows: DataFrame, length: int = 13, automaton_chars: int = 400_000) -> DataFrame:
+    """(_row, _doc, n_words, n_removed, kept), and ``rest`` where there is one, for keyed rows; see ``remove_passages``."""
     each = passages(rows.select(ROW, DOC, "text"), length).groupBy(ROW).agg(F.collect_list(F.struct("begin", "end", "first")).alias("found"))
     also = ["rest"] if "rest" in rows.columns else []
     schema = T.StructType(_KEPT + [rows.schema[c] for c in also])
@@ -110,7 +108,7 @@ def kept_words(rows: DataFrame, length: int = 13, automaton_chars: int = 400_000
             else:
                 left = words
             body = b" ".join(left)
-            out.append((row, doc, len(words), len(words) - len(left), body.decode() if with_kept else None, hashlib.sha256(body).hexdigest()))
+            out.append((row, doc, len(words), len(words) - len(left), body.decode()))
         columns = [pa.array(c, t) for c, t in zip(zip(*out), _ARROW)]
         return pa.RecordBatch.from_arrays(columns + ([pa.concat_arrays(rest)] if also else []), schema.fieldNames())
 
@@ -137,10 +135,8 @@ def kept_words(rows: DataFrame, length: int = 13, automaton_chars: int = 400_000
     return joined.mapInArrow(tidy(cut), schema)
 
 
-def remove_passages(
-    docs: DataFrame, length: int = 13, text: str = "text", key: str = "doc_id", automaton_chars: int = 400_000, with_kept: bool = True
-) -> DataFrame:
-    """(key, n_words, n_removed, kept, kept_sha256): texts without words that an earlier document already has.
+def remove_passages(docs: DataFrame, length: int = 13, text: str = "text", key: str = "doc_id", automaton_chars: int = 400_000) -> DataFrame:
+    """(key, n_words, n_removed, kept): texts without words that an earlier document already has.
 
     Words are what ASCII white space separates, unchanged. A word goes if it lies in a window of ``length`` words that also
     starts in a document with a smaller id; windows are judged on the input. ``kept`` joins the other words by one space.
@@ -149,8 +145,8 @@ def remove_passages(
     nor larger; rows with equal ids take nothing from each other. Texts shorter than ``length`` words stay whole, an empty
     table gives an empty table, and columns other than ``key`` and ``text`` are not looked at.
     """
-    out = kept_words(keyed(docs, text, key), length, automaton_chars, with_kept)
-    return out.drop(ROW, *([] if with_kept else ["kept"])).withColumnRenamed(DOC, key)
+    out = kept_words(keyed(docs, text, key), length, automaton_chars)
+    return out.drop(ROW).withColumnRenamed(DOC, key)
 
 
 def without_passages(docs: DataFrame, length: int = 13, text: str = "text", key: str = "doc_id", size: str | None = "n_chars") -> DataFrame:

@@ -7,8 +7,6 @@ windows, and the rest goes to the next pass with a finer digit until single wind
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,12 +36,12 @@ def spans(rows: DataFrame, length: int = 400) -> DataFrame:
 
 _KEPT = T.StructType(
     [T.StructField(DOC, T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
-     T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType()), T.StructField("kept_sha256", T.StringType())]
+     T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())]
 )
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", key: str = "doc_id", with_kept: bool = True) -> DataFrame:
-    """(key, n_bytes, n_removed, n_spans, kept, kept_sha256): each text without the bytes of repeated ``length``-byte strings.
+def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, n_bytes, n_removed, n_spans, kept): each text without the bytes of repeated ``length``-byte strings.
 
     A byte goes if a string of ``length`` bytes that covers it also starts anywhere else, in the same text too; strings are
     judged on the input. ``n_spans`` counts maximal removed stretches, ``kept`` are the other bytes in order.
@@ -67,18 +65,17 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", key:
                 body = unpress(z)
                 n, g = len(body), removed[i].values
                 if g is None or not len(g):
-                    out.append((doc, n, 0, 0, body if with_kept else None, hashlib.sha256(body).hexdigest()))
+                    out.append((doc, n, 0, 0, body))
                     continue
                 begin, end = repeats.merged(g.field(0).to_numpy().astype(np.int64), g.field(1).to_numpy().astype(np.int64))
                 stops = [0, *np.column_stack((begin, end)).ravel().tolist(), n]
                 kept = b"".join([body[a:e] for a, e in zip(stops[::2], stops[1::2])])
-                out.append((doc, n, n - len(kept), begin.size, kept if with_kept else None, hashlib.sha256(kept).hexdigest()))
+                out.append((doc, n, n - len(kept), begin.size, kept))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _ARROW)], _KEPT.fieldNames())
 
     joined = packed(rows).join(each, ROW, "left").select(DOC, "z", "gone")
-    out = joined.mapInArrow(tidy(cut), _KEPT)
-    return out.withColumnRenamed(DOC, key) if with_kept else out.drop("kept").withColumnRenamed(DOC, key)
+    return joined.mapInArrow(tidy(cut), _KEPT).withColumnRenamed(DOC, key)
 
 
-_ARROW = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
+_ARROW = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]

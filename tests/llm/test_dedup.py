@@ -12,6 +12,7 @@ from rows import clashing, ordered, passages
 import __spark_entry__ as entry
 from riskspark.llm import components, phrase_dedup, repeats, simhash, suffix_dedup
 from riskspark.llm.base import table
+from riskspark.llm.queries_dedup import digested
 
 
 def brute_suffix(docs, length):
@@ -56,7 +57,7 @@ def by_key(rows):
 @pytest.mark.parametrize("seed,length", [(5, 24), (6, 40)])
 def test_suffix_dedup(spark, seed, length):
     docs = passages(seed)
-    got = ordered(suffix_dedup.remove_repeats(clashing(spark, docs), length, with_kept=False))
+    got = ordered(digested(suffix_dedup.remove_repeats(clashing(spark, docs), length)))
     want = by_key(brute_suffix(docs, length))
     assert got == want
     assert sum(r[2] for r in want) > 0 and sum(r[1] - r[2] for r in want) > 0
@@ -68,7 +69,7 @@ def test_suffix_dedup_at_the_threshold_of_the_query(spark):
     shared, nearly = word(700), word(399)
     docs = [(1, word(300) + shared + word(50)), (2, shared[100:620] + word(500)), (3, word(600) + nearly), (4, nearly + word(10)),
             (5, "é" * 450), (6, "ab" * 5000), (7, shared), (8, shared), (9, ""), (10, None)]
-    got = ordered(suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), 400, with_kept=False))
+    got = ordered(digested(suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), 400)))
     assert got == by_key(brute_suffix(docs, 400))
 
 
@@ -89,7 +90,7 @@ def test_suffix_dedup_keeps_bytes(spark):
 @pytest.mark.parametrize("seed,length", [(5, 6), (7, 13)])
 def test_phrase_dedup(spark, seed, length):
     docs = passages(seed)
-    got = ordered(phrase_dedup.remove_passages(clashing(spark, docs), length, with_kept=False))
+    got = ordered(digested(phrase_dedup.remove_passages(clashing(spark, docs), length)))
     want = by_key(brute_phrases(docs, length))
     assert got == want
     assert sum(r[2] for r in want) > 0
@@ -97,7 +98,7 @@ def test_phrase_dedup(spark, seed, length):
 
 def test_phrase_dedup_with_tiny_automata(spark):
     docs = [(i, t) for i, (_, t) in enumerate(passages(9))]
-    got = ordered(phrase_dedup.remove_passages(clashing(spark, docs), 6, automaton_chars=50, with_kept=False))
+    got = ordered(digested(phrase_dedup.remove_passages(clashing(spark, docs), 6, automaton_chars=50)))
     assert got == by_key(brute_phrases(docs, 6))
 
 
@@ -213,4 +214,4 @@ def test_queries_digest_the_text_that_the_operator_returns(spark, monkeypatch, n
     got = entry.queries()[name](spark, "/root/testdata/sf0.001")
     kept = {r["doc_id"]: bytes(r["kept"]) if name.startswith("op3") else r["kept"].encode() for r in made[0].collect()}
     assert {r["doc_id"]: r["kept_sha256"] for r in got.collect()} == {k: hashlib.sha256(t).hexdigest() for k, t in kept.items()}
-    assert [c for c in made[0].columns if c != "kept"] == got.columns
+    assert [c for c in made[0].columns if c != "kept"] + ["kept_sha256"] == got.columns
