@@ -6,7 +6,6 @@ import numpy as np
 from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +13,9 @@ from pyspark.sql import functions as F
 from riskspark.operators import boosting, kernel
 from riskspark.operators import evaluate as E
 from riskspark.operators.resample import assign_folds
+from riskspark.operators.stages import _Fitted
 from riskspark.operators.timeseries import lag_frame
+from riskspark.plans.ranking import ranged
 from riskspark.plans.scratch import persist_table
 
 LABEL = "isFraud"
@@ -119,15 +120,78 @@ def kernel_svm(train: DataFrame, landmarks: int = 200, gamma: float | None = Non
 
 # ---- calibration ----------------------------------------------------------------------------------------------------
 
-def isotonic(df: DataFrame, column: str = "p"):
-    """Monotone map score -> probability. Rows of one score are one weighted row with their label rate, which gives the same fit."""
-    rows = df.groupBy(F.col(column).alias("features")).agg(F.avg("label").alias("label"), F.count("*").cast("double").alias("weight"))
-    return IsotonicRegression(weightCol="weight", featuresCol="features").fit(rows)
+class IsotonicMap(_Fitted):
+    """Score -> value: constant on the blocks of the fit, linear between them, NULL for a missing score or without any block."""
 
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return self.apply(df, "p", "p")
 
-def apply_isotonic(model, df: DataFrame, column: str = "p", out: str = "p") -> DataFrame:
-    made = model.transform(df.withColumn("_s", F.col(column)), {model.featuresCol: "_s", model.predictionCol: "_iso"})
-    return made.withColumn(out, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_iso")))).drop("_s", "_iso")
+    def apply(self, df: DataFrame, column: str, out: str) -> DataFrame:
+        blocks = self.state["blocks"]
+        if not blocks:
+            return df.withColumn(out, F.lit(None).cast("double"))
+        at = np.array([x for low, high, _ in blocks for x in ((low, high) if high > low else (low,))])
+        value = np.array([v for low, high, v in blocks for _ in range(2 if high > low else 1)])
+
+        @F.pandas_udf("double")
+        def mapped(x):
+            import pandas as pd
+
+            return pd.Series(np.interp(x.to_numpy(dtype=float), at, value))
+
+        made = mapped(F.col(column).cast("double"))
+        return df.withColumn(out, F.when(~F.isnan(made), made))
+
+
+def pool(low: list, high: list, total: list, n: list) -> tuple[list, list, list, list]:
+    """Pool adjacent violators: blocks in rising order, joined until their means rise strictly."""
+    out: tuple = ([], [], [], [])
+    for a, b, s, c in zip(low, high, total, n):
+        while out[0] and out[2][-1] * c >= s * out[3][-1]:
+            a, s, c = out[0].pop(), s + out[2].pop(), c + out[3].pop()
+            out[1].pop()
+        for o, v in zip(out, (a, b, s, c)):
+            o.append(v)
+    return out
+
+
+def isotonic(df: DataFrame, column: str = "p", together: int = 16) -> IsotonicMap:
+    """Monotone map score -> label rate by least squares; rows without a score take no part.
+
+    Equal scores are one weighted row. Each range of scores pools its violators in a task of its own; the block lists of ``together``
+    neighbouring ranges are then joined and pooled again, level by level, so the driver gets the blocks of the fit only.
+    """
+    counts = df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).groupBy(F.col(column).cast("double").alias("x"))
+    counts = counts.agg(F.sum("label").cast("double").alias("s"), F.count("*").cast("double").alias("n"))
+    rows = ranged(counts, ["x"], "isotonic")
+    parts = max(1, (rows.agg(F.max("_part")).first()[0] or 0) + 1)
+    schema = "part bigint, low array<double>, high array<double>, s array<double>, n array<double>"
+
+    def joined(key, lists):
+        import pyarrow as pa
+
+        made = pool(*lists)
+        return pa.table([pa.array([key]), *[pa.array([x], pa.list_(pa.float64())) for x in made]], names=["part", "low", "high", "s", "n"])
+
+    def first(key, table):
+        table = table.sort_by("x")
+        x = table.column("x").to_pylist()
+        return joined(key[0].as_py(), (x, x, table.column("s").to_pylist(), table.column("n").to_pylist()))
+
+    def merge(key, table):
+        table = table.sort_by("part")
+        return joined(key[0].as_py(), [[v for row in table.column(c).to_pylist() for v in row] for c in ("low", "high", "s", "n")])
+
+    blocks = rows.select(F.col("_part").cast("bigint").alias("part"), "x", "s", "n").groupBy("part").applyInArrow(first, schema)
+    while parts > 1:
+        parts = -(-parts // together)
+        blocks = persist_table(blocks, "pooled").withColumn("up", F.expr(f"part div {together}")).groupBy("up").applyInArrow(merge, schema)
+    found = blocks.first()
+    return IsotonicMap({"blocks": [[a, b, s / n] for a, b, s, n in zip(*(found[c] for c in ("low", "high", "s", "n")))] if found else []})
+
+
+def apply_isotonic(model: IsotonicMap, df: DataFrame, column: str = "p", out: str = "p") -> DataFrame:
+    return model.apply(df, column, out)
 
 
 def platt(df: DataFrame, column: str = "p"):

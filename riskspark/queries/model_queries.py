@@ -204,6 +204,10 @@ def ml09(spark, d):
     return M.all_metrics(e.transform(test), "weighted ensemble", threshold=e.threshold)
 
 
+def rounded_at(df, column, digits):
+    return df.withColumn(column, F.round(column, digits))
+
+
 def _labelled(spark, d):
     return scored(spark, d).withColumn("label", F.col("isFraud").cast("double"))
 
@@ -215,6 +219,16 @@ def ml10(spark, d):
     return out.groupBy("p").agg(F.max("calibrated").alias("calibrated"), F.count("*").alias("n"))
 
 
+@query("ml10_isotonic_values", """
+WITH g AS (SELECT p, sum(isFraud)::DOUBLE AS s, count(*) AS n FROM scored GROUP BY p),
+j AS (SELECT a.p AS low, b.p AS high, sum(c.s) / sum(c.n) AS mean FROM g a JOIN g b ON b.p >= a.p JOIN g c ON c.p BETWEEN a.p AND b.p GROUP BY ALL),
+k AS (SELECT g.p, low, min(mean) AS least FROM g JOIN j ON j.low <= g.p AND j.high >= g.p GROUP BY ALL)
+SELECT k.p, round(max(least), 9) AS calibrated, any_value(n) AS n FROM k JOIN g ON k.p = g.p GROUP BY k.p""", "scored")
+def ml10_values(spark, d):
+    """Every value of the monotone fit: the largest over all starts of the smallest mean over all ends."""
+    return rounded_at(ml10(spark, d), "calibrated", 9)
+
+
 @query("ml11_platt")
 def ml11(spark, d):
     s = _labelled(spark, d)

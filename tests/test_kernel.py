@@ -24,11 +24,11 @@ def circles(spark):
 
 def test_rings_are_separated(circles):
     _, df = circles
-    model = M.kernel_svm(df.where("id % 3 > 0"), landmarks=40)
+    model = M.kernel_svm(df.where("id % 3 > 0"), landmarks=40, max_iter=20)
     held = M.score(model, df.where("id % 3 = 0"))
     assert sorted(held.columns) == sorted([*df.columns, "p"])
     assert E.ranking_metrics(held).first()["auc_roc"] > 0.98
-    line, calibration = M.linear_svm(df.where("id % 3 > 0"))
+    line, calibration = M.linear_svm(df.where("id % 3 > 0"), max_iter=20)
     flat = M.apply_platt(calibration, M.svm_margin(line, df.where("id % 3 = 0")), "margin")
     assert abs(E.ranking_metrics(flat).first()["auc_roc"] - 0.5) < 0.3
 

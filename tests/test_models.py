@@ -78,6 +78,34 @@ def test_isotonic_is_monotone(spark, sf_dir):
     assert c == sorted(c) and 0 <= c[0] and c[-1] <= 1
 
 
+@pytest.mark.parametrize("together", [2, 16])
+def test_isotonic_by_ranges_is_the_sequential_fit(spark, together):
+    """Ties, gaps and copies, over many ranges of scores."""
+    r = np.random.default_rng(5)
+    p = np.round(r.random(900), 2)
+    y = (r.random(900) < p**2).astype(float)
+    p[:200], y[:200] = 0.31, 1.0
+    rows = [(float(a), float(b)) for a, b in zip(p, y)] + [(None, 1.0), (float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "p double, label double").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = M.isotonic(df, together=together).state["blocks"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    x = np.unique(p)
+    s, n = (np.array([f(y[p == v]) for v in x], dtype=float) for f in (sum, len))
+    low, high, total, count = M.pool(x.tolist(), x.tolist(), s.tolist(), n.tolist())
+    assert got == [[a, b, c / d] for a, b, c, d in zip(low, high, total, count)]
+    for a, b, v in got:
+        i = np.searchsorted(x, a)
+        want = max(min(s[j : k + 1].sum() / n[j : k + 1].sum() for k in range(i, len(x))) for j in range(i + 1))
+        assert v == pytest.approx(want, abs=1e-12)
+    out = {r["p"]: r["c"] for r in M.apply_isotonic(M.IsotonicMap({"blocks": got}), df, "p", "c").collect()}
+    assert out[None] is None and out[0.31] == next(v for a, b, v in got if a <= 0.31 <= b)
+    none = M.isotonic(df.limit(0))
+    assert {r["c"] for r in M.apply_isotonic(none, df, "p", "c").collect()} == {None}
+
+
 def test_ridge_matches_normal_equations(spark, sf_dir):
     series = timeseries.hourly(txn(spark, sf_dir))
     got = M.ridge_forecast(series).orderBy("hour_window").collect()
