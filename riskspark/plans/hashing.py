@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Strata of a cut: each is one line on the driver and one term of a filter.
+MOST_STRATA = 1000
 
 
 def hash_order(key: Column, seed: int = 0) -> Column:
@@ -65,7 +67,10 @@ def hash_cut(df: DataFrame, key: str, quota, strata: list[str] = (), seed: int =
     last = near.withColumn("_rn", F.row_number().over(order)).where(F.col("_off") + F.col("_rn") == F.col("_quota"))
     keep = F.lit(False)
     h = hash_order(F.col(key), seed)
-    for cut in last.select(*strata, "_h", key).collect():
+    cuts = last.select(*strata, "_h", key).limit(MOST_STRATA + 1).collect()
+    if len(cuts) > MOST_STRATA:
+        raise ValueError(f"more than {MOST_STRATA} strata; strata are classes, not entity keys")
+    for cut in cuts:
         mine = (h < cut["_h"]) | ((h == cut["_h"]) & (F.col(key) <= F.lit(cut[key])))
         for c in strata:
             mine = mine & F.col(c).eqNullSafe(F.lit(cut[c]))

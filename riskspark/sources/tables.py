@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,20 +107,33 @@ def blank_nulls(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
 
 
-def to_document(df: DataFrame, by: list[str], items: list[str], out: str = "document") -> DataFrame:
+#: Items that one document may hold.
+MOST_ITEMS = 100_000
+
+
+def _require_short(df: DataFrame, by: list[str], most: int) -> None:
+    """Raise if a key has more than ``most`` items: a document is one row, so its group must fit in a task."""
+    long = df.groupBy(*by).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select("_n").first()
+    if long is not None:
+        raise ValueError(f"a document would hold {long[0]} items; at most {most} are allowed")
+
+
+def to_document(df: DataFrame, by: list[str], items: list[str], out: str = "document", most: int = MOST_ITEMS) -> DataFrame:
     """One JSON text per row of keys: an array of the items, sorted by the first item.
 
-    Meant for result tables, whose groups are short (hours, rules, features).
+    Meant for result tables, whose groups are short (hours, rules, features); more than ``most`` items of a key raise an error.
     """
+    _require_short(df, by, most)
     body = F.array_sort(F.collect_list(F.struct(*items)))
     return df.groupBy(*by).agg(F.to_json(F.struct(body.alias("items"))).alias(out))
 
 
-def write_documents(df: DataFrame, by: list[str], lists: dict[str, list[str]], path: str) -> None:
+def write_documents(df: DataFrame, by: list[str], lists: dict[str, list[str]], path: str, most: int = MOST_ITEMS) -> None:
     """One nested JSON document per key: under each name of ``lists`` an array of its columns, sorted by the first of them.
 
-    Meant for result tables, whose groups are short (hours, rules, features).
+    Meant for result tables, whose groups are short (hours, rules, features); more than ``most`` items of a key raise an error.
     """
+    _require_short(df, by, most)
     bodies = [F.array_sort(F.collect_list(F.struct(*columns))).alias(name) for name, columns in lists.items()]
     df.groupBy(*by).agg(*bodies).write.mode("overwrite").json(path)
 
@@ -136,7 +150,11 @@ def report_lines(sections: list[tuple[str, DataFrame]]) -> DataFrame:
 # ---- models ---------------------------------------------------------------------------------------------------------
 
 def _register(spark, root: str, version: str, path: str, event: str) -> None:
-    row = [(version, path, int(time.time() * 1000), event)]
+    try:
+        last = spark.read.schema(REGISTRY_SCHEMA).parquet(f"{root}/registry").agg(F.max("created_at")).first()[0] or 0
+    except AnalysisException:  # the first entry
+        last = 0
+    row = [(version, path, max(int(time.time() * 1000), last + 1), event)]  # later entries sort later, also within a millisecond
     spark.createDataFrame(row, REGISTRY_SCHEMA).write.mode("append").parquet(f"{root}/registry")
 
 
