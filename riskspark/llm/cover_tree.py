@@ -125,7 +125,8 @@ def top_k(
 
     Rows whose vector or id is null, or whose vector is empty or holds null or non-finite components, take no part; vectors
     of different lengths are not compared. Repeated rows are rows of their own: a query finds its copy, and equal ids each
-    get their ranks. An empty table or one without queries gives an empty table; other columns are not looked at.
+    get their ranks. An empty table or one without queries gives an empty table; other columns are not looked at. Sums of products beyond
+    2**53 are rounded like doubles, and scores beyond the range of a long end at its ends; ranks then follow the rounded sums.
     """
     slim = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull())
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
@@ -153,7 +154,7 @@ def top_k(
         hit = found.at >= 0
         which = np.repeat(np.arange(queries.num_rows), hit.sum(1))
         at = found.at[hit]
-        columns = get(queries, "row")[which], get(queries, "id")[which], own[at], ids[at], found.score[hit].astype(np.int64)
+        columns = get(queries, "row")[which], get(queries, "id")[which], own[at], ids[at], np.clip(found.score[hit], -(2.0**63), 2.0**63 - 1024).astype(np.int64)
         return pa.table({n: pa.array(c) for n, c in zip(_FOUND.fieldNames(), columns)})
 
     keys = ["dim", "d", "q"]

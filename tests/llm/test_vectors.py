@@ -36,6 +36,13 @@ def test_odd_vectors(spark):
     assert cover_tree.top_k(table(spark, rows).limit(0), lambda i: i % 10 == 0, 5).count() == 0
 
 
+def test_huge_components_end_at_the_range_of_a_long(spark):
+    rows = [(0, [3e37, 0.0]), (1, [3e37, 1.0]), (2, [-3e37, 1.0]), (3, [1.0, 1.0])]
+    got = ordered(cover_tree.top_k(table(spark, rows), lambda i: i == 0, 5))
+    assert [r[:3] for r in got] == [(0, 1, 1), (0, 2, 3), (0, 3, 2)]
+    assert got[0][3] > 9e18 and got[1][3] > 9e18 and got[2][3] == -(2**63)
+
+
 def test_pairs_are_pruned():
     r = np.random.default_rng(1)
     centres = np.floor(r.normal(0, 1000, (40, 16)))
