@@ -13,7 +13,7 @@ from riskspark.plans.scratch import persist_table
 def digamma(n: Column) -> Column:
     """Of a whole number of at least 1: ten steps of the recurrence, then the asymptotic series."""
     x = n.cast("double") + 10
-    series = F.log(x) - 1 / (2 * x) - 1 / (12 * x**2) + 1 / (120 * x**4) - 1 / (252 * x**6) + 1 / (240 * x**8)
+    series = F.log(x) - 1 / (2 * x) - 1 / (12 * x**2) + 1 / (120 * x**4) - 1 / (252 * x**6) + 1 / (240 * x**8) - 1 / (132 * x**10)
     return series - sum((1 / (n.cast("double") + i) for i in range(10)), F.lit(0.0))
 
 

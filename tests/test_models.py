@@ -71,6 +71,40 @@ def test_clusters_cover_all_rows(spark, points):
     assert got == {0: 60, 1: 150, 2: 60}
 
 
+def test_all_restarts_in_one_scan_are_the_best_single_run(spark, monkeypatch):
+    """Every run as plain numpy from the same first centres; the one of least cost is the result."""
+    r = np.random.default_rng(4)
+    x = np.vstack([r.normal(c, 1.0, (80, 2)) for c in ((0, 0), (4, 1), (1, 5), (6, 6))]).round(2)
+    x[:60] = x[0]
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in x], "a double, b double").repartition(5)
+    starts = []
+    kept = represent.first_centres
+    monkeypatch.setattr(represent, "first_centres", lambda *a: starts.append(kept(*a)) or starts[-1])
+    got = represent.fit_clusters(df, ["a", "b"], 9, restarts=6)
+    assert len(starts) == 6
+    runs = []
+    for c in starts:
+        for _ in range(300):
+            near = ((x[:, None] - c[None]) ** 2).sum(2).argmin(1)
+            moved = np.array([x[near == j].mean(0) if (near == j).any() else c[j] for j in range(len(c))])
+            still = ((moved - c) ** 2).sum(1).max() <= 1e-8
+            c = moved
+            if still:
+                break
+        runs.append((((x[:, None] - c[None]) ** 2).sum(2).min(1).sum(), sorted(c.tolist())))
+    cost, centres = min(runs)
+    assert got["cost"] == pytest.approx(cost) and np.array(got["centres"]) == pytest.approx(np.array(centres))
+    assert len({round(c, 6) for c, _ in runs}) > 1
+
+
+def test_fewer_rows_than_centres(spark):
+    df = spark.createDataFrame([(1.0, None)] * 5 + [(2.0, 3.0)], "a double, b double")
+    got = represent.fit_clusters(df, ["a", "b"], 4, restarts=2)
+    assert got["centres"] == [[1.0, 0.0], [2.0, 3.0]] and got["cost"] == 0
+    with pytest.raises(ValueError):
+        represent.fit_clusters(df.limit(0), ["a", "b"])
+
+
 def test_isotonic_is_monotone(spark, sf_dir):
     s = scored(spark, sf_dir).withColumn("label", F.col("isFraud").cast("double"))
     out = M.apply_isotonic(M.isotonic(s), s, out="c").select("p", "c").distinct().orderBy("p").collect()
