@@ -249,3 +249,35 @@ def test_balanced_rows_of_the_comparison(spark):
     train = M.assemble(spark.createDataFrame(rows, "TransactionID bigint, isFraud int, a double, b double"), ["a", "b"])
     got = {r["label"]: r["count"] for r in Q.synthetic_balance(train).groupBy("label").count().collect()}
     assert got == {1.0: 76, 0.0: 152}  # a fifth of 380 negatives, then two negatives for each positive
+
+
+@pytest.mark.parametrize("shift,digits", [(0.0, 2), (1e6, 0)])
+def test_block_search_by_products_is_the_exact_order(shift, digits):
+    """Distances by a matrix product only choose what is measured: ids, ties and distances are those of plain sums."""
+    import pandas as pd
+
+    r = np.random.default_rng(8)
+    asked, points = (np.unique(r.normal(size=(n, 3)).round(digits), axis=0) + shift for n in (300, 400))
+    free = iter(r.permutation(4 * len(points)).tolist())
+    ids = [sorted(next(free) for _ in range(1 + i % 3)) for i in range(len(points))]
+    got = neighbours._best(4)(pd.DataFrame({"x": list(asked)}), pd.DataFrame({"x": list(points), "ids": ids}))
+    dist = neighbours._distances(asked, points)
+    want = [sorted((d, i) for d, some in zip(row, ids) for i in some)[:4] for row in dist]
+    assert list(zip(got["dist"], got["nn"])) == [p for row in want for p in row]
+    kth = np.sort(dist, axis=1)[:, 3]
+    bound = neighbours._bound(asked, points, 4)
+    assert (bound >= kth).all() and bound == pytest.approx(kth, rel=1e-5, abs=0.5 if shift else 1e-5)
+
+
+def test_a_block_measures_few_pairs():
+    r = np.random.default_rng(9)
+    i, _, _ = neighbours._near_pairs(r.normal(size=(100, 16)), r.normal(size=(500, 16)), 5)
+    assert len(i) == 500
+
+
+def test_a_fit_of_many_rows_is_dealt_to_tasks(spark, monkeypatch):
+    monkeypatch.setattr(M, "TASK_ROWS", 100)
+    df = spark.range(450).select("id", (F.col("id") % 2).cast("double").alias("label")).coalesce(1)
+    made = M.dealt(df)
+    assert made.rdd.getNumPartitions() == 5 and made.count() == 450 and made.distinct().count() == 450
+    assert M.dealt(df.limit(90)).rdd.getNumPartitions() == 1
