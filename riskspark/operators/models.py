@@ -77,7 +77,7 @@ def boosted_trees(train: DataFrame, max_iter: int = 500, depth: int = 12, step:
 
 def random_forest(train: DataFrame, trees: int = 100, depth: int = 15, balanced: bool = False, seed: int = 42):
     frame = weighted(train, class_weights(train, "balanced") if balanced else {0.0: 1.0, 1.0: 1.0})
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, weightCol="weight", seed=seed).fit(dealt(frame))
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, weightCol="weight", seed=seed, cacheNodeIds=True).fit(dealt(frame))
 
 
 def forest_importance(train: DataFrame, columns: list[str], top: int = 20, trees: int = 50, depth: int = 10, seed: int = 42) -> DataFrame:
