@@ -97,6 +97,22 @@ def test_all_restarts_in_one_scan_are_the_best_single_run(spark, monkeypatch):
     assert len({round(c, 6) for c, _ in runs}) > 1
 
 
+def test_cells_give_the_sums_of_all_rows_and_leave_few_to_measure(spark):
+    """Sums by cells against every row measured, for even, repeated and missing values; most rows are counted by whole cells."""
+    r = np.random.default_rng(7)
+    for x in (r.normal(0, 1, (20_000, 2)), np.column_stack((r.integers(0, 3, 9_001), r.integers(0, 2_000_000, 9_001))).astype(float), np.ones((130, 3)),
+              np.vstack((r.normal(0, 1, (500, 2)), [[np.nan, 1.0], [np.inf, 0.0]]))):
+        x = x[represent.near_order(x)]
+        cells, centres = represent.cell_table(x), x[:: max(1, len(x) // 6)][:5]
+        with np.errstate(invalid="ignore"):
+            gap = ((x[:, None] - centres[None]) ** 2).sum(2)
+        near = gap.argmin(1)
+        want = np.array([[*x[near == j].sum(0), (near == j).sum(), gap[near == j, j].sum()] for j in range(len(centres))])
+        assert represent.block_sums(cells, x, centres) == pytest.approx(want, rel=1e-9, nan_ok=True)
+        if len(x) > 9_000:
+            assert cells[represent.whole_cells(cells, centres)[1], -1].sum() > 0.6 * len(x)
+
+
 def test_fewer_rows_than_centres(spark):
     df = spark.createDataFrame([(1.0, None)] * 5 + [(2.0, 3.0)], "a double, b double")
     got = represent.fit_clusters(df, ["a", "b"], 4, restarts=2)
