@@ -43,8 +43,9 @@ _VELOCITY = "".join(
     for e in ("user_id", "event_type")))
 def str02(spark, d):
     entities = ["user_id", "event_type"]
-    salts = keyed.hot_values(table(spark, d, "events"), entities)
-    out = keyed.velocity_counts(keyed.velocity_stream(event_stream(spark, d), entities, "ts", "event_id", salts=salts))
+    history = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    salts, buckets = keyed.crowded_values(history, entities, "ts"), keyed.bucket_count(history, "ts")
+    out = keyed.velocity_counts(keyed.velocity_stream(event_stream(spark, d), entities, "ts", "event_id", salts=salts, buckets=buckets))
     return out.select("entity", "id", *[f"cnt_{w}s" for w in streams.VELOCITY_WINDOWS])
 
 

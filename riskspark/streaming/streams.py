@@ -29,10 +29,11 @@ def run_available(stream: DataFrame, mode: str = "append", tag: str = "stream",
         return spark.createDataFrame([], schema or stream.schema)
 
 
-def run_latest(stream: DataFrame, keys: list[str], tag: str = "stream") -> DataFrame:
+def run_latest(stream: DataFrame, keys: list[str], tag: str = "stream", by: list[str] | None = None) -> DataFrame:
     """As ``run_available``, with the last state of every key: windows that are still open at the end come out too.
 
-    Each batch writes the rows that it changed; a batch that is run again replaces its own.
+    Each batch writes the rows that it changed; a batch that is run again replaces its own. ``by`` names the keys by which
+    the result is grouped again, so that its rows move once.
     """
     schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
 
@@ -41,7 +42,7 @@ def run_latest(stream: DataFrame, keys: list[str], tag: str = "stream") -> DataF
 
     changed = run_available(stream, "update", tag, write, schema)
     rest = [c for c in stream.columns if c not in keys]
-    last = changed.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_last"))
+    last = (changed.repartition(*by) if by else changed).groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_last"))
     return last.select(*keys, "_last.*").select(*stream.columns)
 
 

@@ -66,6 +66,26 @@ def test_rows_behind_the_watermark_are_dropped_and_old_state_goes(spark, tmp_pat
     assert got == {1: 0, 2: 0, 3: 1, 5: 0}
 
 
+def test_a_state_holds_many_values_of_one_time_slice(spark, tmp_path):
+    """Few states however many values there are: each bucket and slice has one, and late rows still correct what they come in front of."""
+    all_rows = [(i, 1_700_000_000 + 37 * i, f"c{i % 150}", "x") for i in range(600)]
+    r = random.Random(3)
+    parts = [[], []]
+    for row in all_rows:
+        parts[r.random() < 0.4].append(row)
+    for part in parts:
+        frame(spark, part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    stream = keyed.velocity_stream(source, ["card", "kind"], "ts", "id", WINDOWS, "30 days", {("kind", "x"): 2}, buckets=3)
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "bucket" in plan and "slice" in plan
+    got = keyed.velocity_counts(stream, "keyed-test")
+    assert sorted(map(tuple, got.collect())) == batch(spark, all_rows)
+    df = frame(spark, all_rows)
+    assert keyed.bucket_count(df, "ts", WINDOWS, 100) == 6 and keyed.bucket_count(df.limit(0), "ts", WINDOWS, 100) == 1
+    assert keyed.crowded_values(df, ["card", "kind"], "ts", WINDOWS, 300) == {("kind", "x"): 2}
+
+
 def test_hot_values_are_those_above_the_share(spark):
     df = frame(spark, rows(spark, 400))
     got = keyed.hot_values(df, ["card", "kind"], 0.1, 4)
