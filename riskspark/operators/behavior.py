@@ -276,8 +276,12 @@ def _velocity_by_frames(rows: DataFrame, windows: list[int]) -> DataFrame:
     return rows.select("entity", "id", *[(earlier - older(w)).cast("bigint").alias(f"cnt_{w}s") for w in windows])
 
 
-def _velocity_by_rank(rows: DataFrame, windows: list[int]) -> DataFrame:
-    """Counts as differences of global ranks; any key may hold any share of the rows.
+#: Points of one range when counts are differences of global ranks.
+RANGE_POINTS = 1_000_000
+
+
+def _velocity_by_rank(rows: DataFrame, hot: DataFrame, n_rows: int, windows: list[int]) -> DataFrame:
+    """Counts as differences of global ranks for the (entity, key) numbered in ``hot``; any key may hold any share of the rows.
 
     Each row also sends one probe per window to (key, t - w). In one range-partitioned order the running count of rows at
     the probe is subtracted from the running count at the row itself.
@@ -286,8 +290,12 @@ def _velocity_by_rank(rows: DataFrame, windows: list[int]) -> DataFrame:
         F.struct(F.col("t").alias("at"), F.lit(1).alias("is_row"), F.lit(0).alias("w")),
         *[F.struct((F.col("t") - w).alias("at"), F.lit(0).alias("is_row"), F.lit(w).alias("w")) for w in windows],
     )
-    points = rows.select("entity", "key", "id", F.explode(marks).alias("m")).select("entity", "key", "id", "m.*")
-    counted = running_totals(points, ["entity", "key", "at", "is_row", "id", "w"], {"seen": F.col("is_row")}, "velocity")
+    numbered = rows.join(F.broadcast(hot), ["entity", "key"])
+    points = numbered.select("number", "id", F.explode(marks).alias("m")).select("number", "id", "m.*")
+    n_points, usual = n_rows * (len(windows) + 1), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, -(-n_points // RANGE_POINTS), min(usual, n_points // (RANGE_POINTS // 20)))
+    counted = running_totals(points, ["number", "at", "is_row", "id", "w"], {"seen": F.col("is_row")}, "velocity", parts)
+    counted = counted.join(F.broadcast(hot.select("number", "entity")), "number")
     here = F.max(F.when(F.col("is_row") == 1, F.col("seen")))
     there = lambda w: F.max(F.when((F.col("is_row") == 0) & (F.col("w") == w), F.col("seen")))
     return counted.groupBy("entity", "id").agg(*[(here - there(w)).alias(f"cnt_{w}s") for w in windows])
@@ -311,10 +319,11 @@ def velocity(df: DataFrame, entities: list[str], time: str, id_col: str, windows
         return _velocity_by_frames(rows, windows)
     # fewer than hot_share values per entity
     is_hot = (F.col("_n") >= min_hot_rows) & (F.col("_n") * hot_share > per_entity)
-    hot = persist_table(sizes.where(is_hot).select("entity", "key"), "hotkeys")
+    hot = persist_table(sizes.where(is_hot).select("entity", "key", "_n", F.monotonically_increasing_id().alias("number")), "hotkeys")
+    n_hot = hot.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    hot = hot.drop("_n")
     cold_rows = rows.join(F.broadcast(hot), ["entity", "key"], "left_anti")
-    hot_rows = rows.join(F.broadcast(hot), ["entity", "key"], "left_semi")
-    return _velocity_by_frames(cold_rows, windows).unionByName(_velocity_by_rank(hot_rows, windows))
+    return _velocity_by_frames(cold_rows, windows).unionByName(_velocity_by_rank(rows, hot, n_hot, windows))
 
 
 def with_velocity(df: DataFrame, entities: list[str], time: str, id_col: str, windows: list[int] = VELOCITY_WINDOWS, **kw) -> DataFrame:

@@ -7,24 +7,44 @@ partition, so callers end the order with a unique column or aggregate by the ord
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskspark.plans.scratch import persist_table
 
 _POSITION_BITS = 33  # layout of monotonically_increasing_id: partition in the upper bits, row in the lower 33
 
 
-def ranged(df: DataFrame, order_by: list, tag: str) -> DataFrame:
-    """Globally sorted, stored copy with ``_part`` (rising with the order) and ``_seq`` (position in the part)."""
-    placed = (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
-    stored = persist_table(placed, tag)
+def ranged(df: DataFrame, order_by: list, tag: str, parts: int | None = None, totals: dict[str, Column] | None = None) -> DataFrame:
+    """Globally sorted, stored copy with ``_part`` (rising with the order) and ``_seq`` (position in the part).
+
+    ``parts`` is the number of ranges, that of a shuffle if not given. Each of ``totals`` adds ``_l_<name>``, its sum over the rows
+    before this one in the part, counted while the sorted rows are written.
+    """
+    added = {f"_l_{n}": F.coalesce(c, F.lit(0)).cast("bigint") for n, c in (totals or {}).items()}
+    placed = df.select("*", *[c.alias(n) for n, c in added.items()])
+    placed = (placed.repartitionByRange(parts, *order_by) if parts else placed.repartitionByRange(*order_by)).sortWithinPartitions(*order_by)
+    if added:
+        names = list(added)
+
+        def before(batches):
+            carry = dict.fromkeys(names, 0)
+            for b in batches:
+                columns = dict(zip(b.schema.names, b.columns))
+                for n in names:
+                    run = carry[n] + np.cumsum(columns[n].to_numpy())
+                    columns[n] = pa.array(run - columns[n].to_numpy())
+                    carry[n] = int(run[-1]) if len(run) else carry[n]
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+        placed = placed.mapInArrow(before, T.StructType([T.StructField(f.name, f.dataType) for f in placed.schema.fields]))
+    stored = persist_table(placed.withColumn("_mid", F.monotonically_increasing_id()), tag)
     return stored.select(
         *df.columns,
+        *added,
         F.shiftright("_mid", _POSITION_BITS).alias("_part"),
         F.col("_mid").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_seq"),
     )
@@ -47,15 +67,13 @@ def global_position(df: DataFrame, order_by: list, out: str = "pos", tag: str =
     )
 
 
-def running_totals(df: DataFrame, order_by: list, totals: dict[str, Column], tag: str = "run") -> DataFrame:
-    """Add, for each integer expression in ``totals``, its sum over all rows strictly before this one."""
-    rows = ranged(df, order_by, tag)
+def running_totals(df: DataFrame, order_by: list, totals: dict[str, Column], tag: str = "run", parts: int | None = None) -> DataFrame:
+    """Add, for each integer expression in ``totals``, its sum over all rows strictly before this one; ``parts`` as in :func:`ranged`."""
+    rows = ranged(df, order_by, tag, parts, totals)
     names = list(totals)
     offsets = _part_offsets(
         rows.groupBy("_part").agg(*[F.sum(totals[n]).alias(f"_t_{n}") for n in names]), names
     )
-    before = Window.partitionBy("_part").orderBy("_seq").rowsBetween(Window.unboundedPreceding, -1)
-    local = rows.select("*", *[F.coalesce(F.sum(totals[n]).over(before), F.lit(0)).alias(f"_l_{n}") for n in names])
-    return local.join(F.broadcast(offsets), "_part").select(
+    return rows.join(F.broadcast(offsets), "_part").select(
         *df.columns, *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in names]
     )
