@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.scalars import clean_text, composite_key, user_key
-from riskspark.plans.quantiles import column_quantiles, grouped_quantiles
+from riskspark.plans.quantiles import column_quantiles, counted_quantiles, grouped_quantiles
 from riskspark.plans.ranking import global_position, running_totals
 from riskspark.plans.scratch import persist_table
 from riskspark.plans.skew import BROADCAST_ROWS, HOT_SHARE, lookup_join, stored_sizes
@@ -183,9 +183,7 @@ def key_set_stats(df: DataFrame, key_sets: list[list[str]], amount: str = "Trans
     long = df.select(amount, F.explode(F.array(*[
         F.struct(F.lit("__".join(ks)).alias("key_set"), composite_key(ks).alias("key")) for ks in key_sets])).alias("s"))
     long = long.select("s.key_set", "s.key", amount)
-    counts = long.groupBy("key_set", "key").agg(F.count("*").alias("rows"))
-    medians = grouped_quantiles(long, ["key_set", "key"], amount, {"amt_median": 0.5}).drop("n")
-    return counts.join(medians, ["key_set", "key"], "left")
+    return counted_quantiles(long, ["key_set", "key"], amount, {"amt_median": 0.5}, "rows").drop("n")
 
 
 def _lookup_parts(df: DataFrame, stats: DataFrame, part: str, keys: dict, values: list[str], id_col: str, rows: str, sizes: dict) -> DataFrame:

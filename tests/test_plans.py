@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskspark.plans.hashing import hash_rank, hash_take
-from riskspark.plans.quantiles import SMALL_VALUES, column_quantiles, grouped_quantiles
+from riskspark.plans.quantiles import SMALL_VALUES, column_quantiles, counted_quantiles, grouped_quantiles
 from riskspark.plans.ranking import global_position, running_totals
 from riskspark.plans.scratch import scratch_root
 from riskspark.plans.skew import lookup_join
@@ -32,6 +32,21 @@ def test_global_position_with_ties(spark, skewed):
     assert sorted(got.values()) == list(range(len(want)))
 
 
+@pytest.mark.parametrize("cell", [10, 600, 10**6])
+def test_counted_quantiles_rank_only_groups_in_full_cells(spark, skewed, cell):
+    """Groups in full cells and in others, one of them without any value: counts of all rows, values and quantiles."""
+    rows, df = skewed
+    df = df.select("key", "v").unionByName(spark.createDataFrame([("none", None)] * 3, "key string, v double"))
+    out = counted_quantiles(df, ["key"], "v", {"q": 0.25, "m": 0.5}, "rows", small_values=0, cell_values=cell)
+    assert ("Window" in out._jdf.queryExecution().optimizedPlan().toString()) == (cell < 10**6)
+    got = {r["key"]: r for r in out.collect()}
+    assert set(got) == {"hot", "a", "b", None, "none"} and (got["none"]["rows"], got["none"]["n"], got["none"]["m"]) == (3, 0, None)
+    for key in ("hot", "a", "b", None):
+        values = [x[2] for x in rows if x[1] == key and x[2] is not None]
+        assert (got[key]["rows"], got[key]["n"]) == (sum(x[1] == key for x in rows), len(values))
+        assert [got[key]["q"], got[key]["m"]] == pytest.approx(np.quantile(values, [0.25, 0.5]).tolist(), abs=1e-12)
+
+
 def test_running_totals_descending(spark, skewed):
     rows, df = skewed
     per_value = df.where("v is not null").groupBy("v").agg(F.count("*").alias("n"))
