@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.sql import functions as F
 
 from riskspark.operators import models as M
@@ -113,6 +113,41 @@ def test_cells_give_the_sums_of_all_rows_and_leave_few_to_measure(spark):
             assert cells[represent.whole_cells(cells, centres)[1], -1].sum() > 0.6 * len(x)
 
 
+def test_centres_move_over_cells_in_memory_that_are_given_back(spark, monkeypatch):
+    r = np.random.default_rng(12)
+    df = spark.createDataFrame(r.random((500, 2)).tolist(), "a double, b double")
+    scan, seen = represent._centre_sums, []
+
+    def counted(packed, sets):
+        seen.append((packed, packed.storageLevel.useMemory and packed.storageLevel.useDisk))
+        return scan(packed, sets)
+
+    monkeypatch.setattr(represent, "_centre_sums", counted)
+    represent.fit_clusters(df, ["a", "b"], 5, restarts=2)
+    assert len(seen) > 2 and all(kept for _, kept in seen)
+    assert not seen[0][0].storageLevel.useMemory
+
+
+def test_a_labelled_batch_is_scored_once(spark):
+    """The scores and their metrics come from one run of the chain."""
+    runs = spark.sparkContext.accumulator(0)
+    rows = spark.range(50).select(F.col("id"), (F.col("id") % 2).cast("int").alias("isFraud"), F.col("id").cast("double").alias("x"))
+    model = M.logistic(M.assemble(rows, ["x"]))
+
+    class Counting(Transformer):
+        def _transform(self, df):
+            @F.udf("double")
+            def passed(v):
+                runs.add(1)
+                return v
+
+            return df.withColumn("x", passed("x"))
+
+    got, metrics = M.score_batch(PipelineModel([Counting(), model]), rows, ["x"], "id")
+    assert got.count() == 50 and metrics.count() == 1 and got.agg(F.sum("probability")).first()[0] > 0
+    assert runs.value == 50
+
+
 def test_fewer_rows_than_centres(spark):
     df = spark.createDataFrame([(1.0, None)] * 5 + [(2.0, 3.0)], "a double, b double")
     got = represent.fit_clusters(df, ["a", "b"], 4, restarts=2)
