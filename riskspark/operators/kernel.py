@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,14 +26,13 @@ class KernelMap(_Fitted):
         mean, scale, marks, white = (np.array(s[k]) for k in ("mean", "scale", "marks", "white"))
         gamma = s["gamma"]
 
-        @F.pandas_udf("array<double>")
-        def mapped(x):
-            import pandas as pd
-
-            if not len(x):
-                return pd.Series([], dtype=object)
-            z = (np.stack([np.asarray(v, dtype=float) for v in x]) - mean) / scale
-            return pd.Series(list(_gram(z, marks, gamma) @ white))
+        @F.arrow_udf("array<double>")
+        def mapped(x: pa.Array) -> pa.Array:
+            if x.null_count:
+                raise ValueError("a row has no features")
+            z = (x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), len(mean)) - mean) / scale
+            image = _gram(z, marks, gamma) @ white
+            return pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * image.shape[1], image.ravel())
 
         return df.withColumn("features", array_to_vector(mapped(vector_to_array("features"))))
 
