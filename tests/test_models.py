@@ -332,3 +332,29 @@ def test_a_fit_of_many_rows_is_dealt_to_tasks(spark, monkeypatch):
     made = M.dealt(df)
     assert made.rdd.getNumPartitions() == 5 and made.count() == 450 and made.distinct().count() == 450
     assert M.dealt(df.limit(90)).rdd.getNumPartitions() == 1
+
+
+def test_blocks_grow_and_cells_join_before_vectors_are_copied_often(spark, monkeypatch):
+    """Of points that distances do not tell apart, few copies are made, and the neighbours are still exact."""
+    side, bundle = neighbours._bundles([20_000] * 32, [640_000] * 32, 4096)
+    assert side == 65_536 and max(bundle) == 10
+    assert neighbours._bundles([20_000] * 32, [25_000] * 32, 4096)[1] == list(range(32))
+    r = np.random.default_rng(6)
+    x = r.normal(size=(240, 12)).round(2)
+    x[5] = x[9]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, x array<double>").repartition(4)
+    monkeypatch.setattr(neighbours, "COPIES", 4)
+    seen = []
+    kept = neighbours._bundles
+    monkeypatch.setattr(neighbours, "_bundles", lambda *a: seen.append(kept(*a)) or seen[-1])
+    got = {}
+    for row in sorted(neighbours.knn_join(df, df, 4, "id", "x", exclude_self=True, block=4, pivots=8, sample=20).collect(), key=lambda row: (row["q"], row["place"])):
+        got.setdefault(row["q"], []).append(row["nn"])
+    assert got == {i: brute(x, i, 4, True) for i in range(len(x))}
+    assert seen[0][0] > 4 and len(set(seen[0][1])) < 8
+
+
+def test_single_precision_only_where_nothing_is_lost(spark):
+    one, two = (spark.createDataFrame([(v,)], "x array<double>") for v in ([0.5, 0.25], [0.1, float("nan")]))
+    assert [f.schema["x"].dataType.simpleString() for f in neighbours._narrow(one, one)] == ["array<float>"] * 2
+    assert [f.schema["x"].dataType.simpleString() for f in neighbours._narrow(one, two)] == ["array<double>"] * 2
